@@ -49,15 +49,26 @@ class PageRules:
     instruction_markers: tuple[str, ...] = K.INSTRUCTION_MARKERS
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once per row.
+
+    Inside a lambda Spark would otherwise compute it again for every element.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _decode_numbers(text: Column) -> Column:
     """Decimal character references; pieces of any other kind stay as they are."""
 
     def decoded(piece: Column) -> Column:
-        digits = F.substring(piece, 3, 7)
-        code = F.regexp_replace(digits, ";.*$", "").try_cast("int")
-        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "utf-32")
-        return F.when(F.startswith(piece, F.lit("&#")) & valid, char).otherwise(piece)
+        code = F.regexp_extract(piece, r"^&#([0-9]{1,7});$", 1).try_cast("int")
+        return _let(
+            code,
+            lambda n: F.when(
+                n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF),
+                F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "utf-32"),
+            ).otherwise(piece),
+        )
 
     pieces = F.regexp_extract_all(text, F.lit(K.RX_NUMBER_ENTITY), F.lit(0))
     return F.array_join(F.transform(pieces, decoded), "")
@@ -68,18 +79,21 @@ def decode_entities(text: Column) -> Column:
 
     The ampersand comes last, so that nothing it uncovers is decoded again.
     """
-    numbered = F.when(
-        F.contains(text, F.lit("&#")), _decode_numbers(F.replace(text, F.lit("&#38;"), F.lit("&amp;")))
-    ).otherwise(text)
     entities = sorted(K.ENTITIES.items(), key=lambda entity: entity[1] == "&")
     names = F.split(F.lit(" ".join(name for name, _ in entities)), " ")
     chars = F.split(F.lit(" ".join(char for _, char in entities)), " ")
-    named = F.aggregate(
-        F.sequence(F.lit(0), F.lit(len(entities) - 1)),
-        numbered,
-        lambda done, i: F.replace(done, F.get(names, i), F.get(chars, i)),
-    )
-    return F.when(F.contains(text, F.lit("&")), named).otherwise(text)
+
+    def decoded(raw: Column) -> Column:
+        plain_amp = F.replace(raw, F.lit("&#38;"), F.lit("&amp;"))
+        numbered = F.when(F.contains(raw, F.lit("&#")), _decode_numbers(plain_amp)).otherwise(raw)
+        named = F.aggregate(
+            F.sequence(F.lit(0), F.lit(len(entities) - 1)),
+            numbered,
+            lambda done, i: F.replace(done, F.get(names, i), F.get(chars, i)),
+        )
+        return F.when(F.contains(raw, F.lit("&")), named).otherwise(raw)
+
+    return _let(text, decoded)
 
 
 def attribute(attrs: Column, name: str) -> Column:
@@ -313,14 +327,6 @@ def _page_items(pages: DataFrame, rules: PageRules) -> DataFrame:
     )
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with the value computed once per row.
-
-    Inside a lambda Spark would otherwise compute it again for every element.
-    """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _first(items: Column, test) -> Column:
     return F.try_element_at(F.filter(items, test), F.lit(1))
 
