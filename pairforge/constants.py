@@ -5,6 +5,11 @@ Everything here has to equal the published data format for results to match.
 
 # --- patterns (valid in both Java and RE2) ----------------------------------
 WHITESPACE = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\p{Z}]"
+# the same characters one by one
+WHITESPACE_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 RX_STRIP = rf"\A{WHITESPACE}+|{WHITESPACE}+\z"
 RX_TOKEN = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]"
 RX_TOKEN_SPACED = r"(?:[\p{L}\p{N}]+|[^\s\p{L}\p{N}])\s*"

@@ -14,14 +14,23 @@ from pairforge import constants as K
 TokenCounter = Callable[[], Callable[[str], int]]
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once per row.
+
+    Spark may otherwise compute it again at each use, and always does so inside
+    a lambda.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(col: Column) -> Column:
     """Trim every kind of Unicode whitespace on both ends (not just spaces)."""
-    return F.regexp_replace(col, K.RX_STRIP, "")
+    return F.btrim(col, F.lit(K.WHITESPACE_CHARS))
 
 
 def is_blank(col: Column) -> Column:
     """True for null and for text with nothing but whitespace."""
-    return F.coalesce(~F.rlike(col, F.lit(rf"[^{K.WHITESPACE[1:]}")), F.lit(True))
+    return F.coalesce(strip(col) == "", F.lit(True))
 
 
 def tokens(col: Column) -> Column:

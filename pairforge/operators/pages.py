@@ -10,14 +10,13 @@ next block tag; text of a nested list item belongs to the nested item only.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from pairforge import constants as K
-from pairforge.functions.text import strip
+from pairforge.functions.text import let, strip
 from pairforge.functions.urls import absolute_url
 from pairforge.schemas import SCRAPED_RECIPE
 
@@ -49,20 +48,12 @@ class PageRules:
     instruction_markers: tuple[str, ...] = K.INSTRUCTION_MARKERS
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with the value computed once per row.
-
-    Inside a lambda Spark would otherwise compute it again for every element.
-    """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _decode_numbers(text: Column) -> Column:
     """Decimal character references; pieces of any other kind stay as they are."""
 
     def decoded(piece: Column) -> Column:
         code = F.regexp_extract(piece, r"^&#([0-9]{1,7});$", 1).try_cast("int")
-        return _let(
+        return let(
             code,
             lambda n: F.when(
                 n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF),
@@ -93,7 +84,7 @@ def decode_entities(text: Column) -> Column:
         )
         return F.when(F.contains(raw, F.lit("&")), named).otherwise(raw)
 
-    return _let(text, decoded)
+    return let(text, decoded)
 
 
 def attribute(attrs: Column, name: str) -> Column:
@@ -354,7 +345,7 @@ def _headers(items: Column, words: tuple[str, ...]) -> Column:
 
 
 def _list_after(items: Column, header: Column, tag: str) -> Column:
-    return _let(
+    return let(
         header["pos"], lambda at: _first(items, lambda i: _tag(i, "open", tag) & (i["pos"] > at))
     )
 
@@ -370,14 +361,14 @@ def _list_texts(items: Column, opened: Column, tag: str) -> Column:
             & (i["pos"] > list_open["pos"])
             & (i["head"][level] < list_open["head"][level]),
         )
-        return _let(
+        return let(
             F.coalesce(closing["pos"], F.lit(END_OF_PAGE)),
             lambda end: F.filter(
                 items, lambda i: _type(i, "li") & (i["pos"] > list_open["pos"]) & (i["pos"] < end)
             ),
         )
 
-    return F.transform(_let(opened, members), lambda i: strip(i["text"]))
+    return F.transform(let(opened, members), lambda i: strip(i["text"]))
 
 
 def _title(items: Column, rules: PageRules) -> Column:
@@ -398,7 +389,7 @@ def _image(items: Column, url: Column) -> Column:
         items,
         lambda i: _tag(i, "open", "meta") & (attribute(i["head"]["attrs"], "property") == "og:image"),
     )
-    absolute = _let(
+    absolute = let(
         source(in_content, "src"),
         lambda src: F.when(F.startswith(src, F.lit("http")), src).when(
             src.isNotNull(), absolute_url(url, src)
@@ -446,10 +437,10 @@ def _ingredients(items: Column, rules: PageRules) -> Column:
             F.transform(parts, strip), lambda part: (part != "") & ~F.startswith(part, F.lit("http"))
         )
 
-    return _let(
+    return let(
         listed,
         lambda found: F.when(F.size(found) > 0, found).otherwise(
-            _let(_paragraph_texts(items), after_announcement)
+            let(_paragraph_texts(items), after_announcement)
         ),
     )
 
@@ -465,7 +456,7 @@ def _following_paragraphs(items: Column, header: Column) -> Column:
         ends = _type(item, "close") & (own_level < level)
         return (item["pos"] > header["pos"]) & ((_type(item, "open") & (container | heading)) | ends)
 
-    siblings = _let(
+    siblings = let(
         F.coalesce(_first(items, stops)["pos"], F.lit(END_OF_PAGE)),
         lambda end: F.filter(
             items,
@@ -489,17 +480,17 @@ def _middle_paragraphs(paragraphs: Column) -> Column:
 
 def _instructions(items: Column, rules: PageRules) -> Column:
     def by_header(header: Column) -> Column:
-        return _let(
+        return let(
             _list_after(items, header, "ol"),
             lambda steps: F.when(
                 steps.isNotNull(), F.array_join(_list_texts(items, steps, "ol"), "\n")
             ).otherwise(_following_paragraphs(items, header)),
         )
 
-    return _let(
+    return let(
         _first(_headers(items, rules.instruction_markers), lambda i: i["head"]["inside"]),
         lambda header: F.when(header.isNotNull(), by_header(header)).otherwise(
-            _let(_paragraph_texts(items), _middle_paragraphs)
+            let(_paragraph_texts(items), _middle_paragraphs)
         ),
     )
 

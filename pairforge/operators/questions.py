@@ -30,7 +30,8 @@ def parse_questions(replies: DataFrame, text: str = "reply", lenient: bool = Fal
     ``lenient`` first removes commas before a closing bracket.
     """
     keep = [name for name in replies.columns if name != text]
-    exploded = replies.select(*keep, F.posexplode(reply_elements(F.col(text), lenient)))
+    # outer, so that each reply is parsed once; empty replies fall to the filter
+    exploded = replies.select(*keep, F.posexplode_outer(reply_elements(F.col(text), lenient)))
     raw = exploded.select(
         *keep,
         F.col("pos").cast("long").alias("position"),

@@ -136,7 +136,7 @@ def pack_sequences(
         F.col(text).alias("text"),
         order_hash(key, seed).alias("h"),
         (F.col(n_tokens) if n_tokens else token_count(F.col(text))).alias("n"),
-    ).filter(F.col("n") > 0)
+    )
     counted = counted.withColumn("bucket", _bucket(F.col("h")))
     offsets = _bucket_offsets(counted.select("bucket", "n"))
     inside = Window.partitionBy("bucket").orderBy("h", "key").rowsBetween(Window.unboundedPreceding, -1)
@@ -150,7 +150,8 @@ def pack_sequences(
     )
     first = F.floor(F.col("start") / size).cast("long")
     last = F.floor((F.col("end") - 1) / size).cast("long")
-    cut = placed.select("key", "start", "end", "pieces", F.explode(F.sequence(first, last)).alias("block"))
+    blocks = F.when(F.col("n") > 0, F.sequence(first, last))
+    cut = placed.select("key", "start", "end", "pieces", F.explode(blocks).alias("block"))
     begin = F.greatest(F.col("start"), F.col("block") * size)
     finish = F.least(F.col("end"), (F.col("block") + 1) * size)
     taken = (finish - begin).cast("int")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pairforge import constants as K
-from pairforge.functions.text import content_words, sentences
+from pairforge.functions.text import content_words, let, sentences
 
 
 def default_stop_words(language: str = "spanish") -> list[str]:
@@ -25,24 +25,34 @@ def default_stop_words(language: str = "spanish") -> list[str]:
 def word_frequency(
     texts: DataFrame, keys: Sequence[str], text: str = "text", stop_words: list[str] | None = None
 ) -> DataFrame:
-    """Occurrences of each content word per text, combined before the shuffle."""
+    """Occurrences of each content word per text.
+
+    The texts are shuffled by ``keys``: as (key, word, count) rows a text would
+    take several times the bytes.
+    """
     stop_words = default_stop_words() if stop_words is None else stop_words
     return (
-        texts.select(*keys, F.explode(content_words(F.col(text), stop_words)).alias("word"))
+        texts.select(*keys, text)
+        .repartition(*keys)
+        .select(*keys, F.explode_outer(content_words(F.col(text), stop_words)).alias("word"))
+        .filter(F.col("word").isNotNull())
         .groupBy(*keys, "word")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
-def _scored(texts: DataFrame, keys: Sequence[str], text: str, stop_words: list[str]) -> DataFrame:
-    """(keys, sentence, score) for input already partitioned by ``keys``.
+def _scored(texts: DataFrame, keys: Sequence[str], stop_words: list[str]) -> DataFrame:
+    """(keys, sentence, score) for rows with ``_sentences``, partitioned by ``keys``.
 
     Every step groups by ``keys`` plus something, so none of them shuffles.
     Repeats inside a sentence are folded first.
     """
+    # the outer forms keep Spark from testing each array for emptiness first,
+    # which would compute it twice
     per_sentence = (
-        texts.select(*keys, F.posexplode(sentences(F.col(text))).alias("sentence", "body"))
-        .select(*keys, "sentence", F.explode(content_words(F.col("body"), stop_words)).alias("word"))
+        texts.select(*keys, F.posexplode_outer("_sentences").alias("sentence", "body"))
+        .select(*keys, "sentence", F.explode_outer(content_words(F.col("body"), stop_words)).alias("word"))
+        .filter(F.col("word").isNotNull())
         .groupBy(*keys, "sentence", "word")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -60,19 +70,20 @@ def sentence_scores(
     """Sum of word frequencies over every word occurrence of a sentence."""
     stop_words = default_stop_words() if stop_words is None else stop_words
     spread = texts.select(*keys, text).repartition(*keys)
-    return _scored(spread, keys, text, stop_words).select(
+    split = spread.select(*keys, sentences(F.col(text)).alias("_sentences"))
+    return _scored(split, keys, stop_words).select(
         *keys, F.col("sentence").cast("long").alias("sentence"), "score"
     )
 
 
-def _unchanged(text: Column, k: int) -> Column:
-    return F.coalesce(
-        (text == "")
-        | F.startswith(text, F.lit("Error"))
-        | F.startswith(text, F.lit(K.TRANSCRIPT_MISSING))
-        | (F.size(sentences(text)) <= k),
-        F.lit(True),
+def _to_summarise(text: Column, k: int) -> Column:
+    """Sentences of a text that has to be shortened, null for any other text."""
+    readable = (
+        (text != "")
+        & ~F.startswith(text, F.lit("Error"))
+        & ~F.startswith(text, F.lit(K.TRANSCRIPT_MISSING))
     )
+    return F.when(readable, let(sentences(text), lambda s: F.when(F.size(s) > k, s)))
 
 
 def top_sentences(
@@ -104,24 +115,23 @@ def extractive_summary(
     closing join all reuse that partitioning.
     """
     stop_words = default_stop_words() if stop_words is None else stop_words
-    spread = texts.repartition(*keys)
-    long_texts = spread.filter(~_unchanged(F.col(text), k))
+    spread = texts.repartition(*keys).withColumn("_sentences", _to_summarise(F.col(text), k))
     best = Window.partitionBy(*keys).orderBy(F.col("score").desc(), "sentence")
     picks = (
-        _scored(long_texts, keys, text, stop_words)
+        _scored(spread, keys, stop_words)
         .withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= k)
         .groupBy(*keys)
         .agg(F.collect_list("sentence").alias("_picks"))
     )
     chosen = F.array_join(
-        F.filter(sentences(F.col(text)), lambda _, i: F.array_contains("_picks", i)), " "
+        F.filter("_sentences", lambda _, i: F.array_contains("_picks", i)), " "
     )
     return (
         spread.join(picks, list(keys), "left")
         .withColumn(
             "summary",
-            F.when(_unchanged(F.col(text), k), F.col(text)).otherwise(F.coalesce(chosen, F.lit(""))),
+            F.when(F.col("_sentences").isNull(), F.col(text)).otherwise(F.coalesce(chosen, F.lit(""))),
         )
-        .drop("_picks")
+        .drop("_picks", "_sentences")
     )

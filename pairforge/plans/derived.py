@@ -14,6 +14,7 @@ from pairforge.functions.chat import message
 from pairforge.functions.text import sentences
 from pairforge.operators.pairs import to_conversations
 from pairforge.operators.questions import map_category, map_difficulty
+from pairforge.sources.readers import spread
 
 DEFAULT_SYSTEM = "Eres un chef experto."
 BANK_LABELS = [
@@ -57,7 +58,8 @@ SHARED_IMAGE = '<head><meta property="og:image" content="https://cdn.test/og{id}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows, "doc_id") if name == "documents" else rows
 
 
 def _short_md5(key: str) -> Column:

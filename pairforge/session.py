@@ -15,6 +15,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # text work is heavy per byte, so small inputs may stay in small pieces; large
+    # ones are governed by the advisory size
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256KB",
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -13,6 +13,15 @@ from pairforge.functions.text import strip
 CORRUPT = "_corrupt_record"
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Give every core work when the files yield fewer tasks than there are cores.
+
+    A table of any size has more splits than that and is returned unchanged.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores, key) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def read_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Files that each hold one JSON array of records.
 
@@ -69,7 +78,8 @@ def salvage_arrays(texts: DataFrame, text: str, element: T.StructType) -> DataFr
         (salvaged_text(body) != strip(body)).alias("salvaged"),
     )
     return (
-        repaired.select(*keep, "salvaged", F.posexplode(json_elements(F.col("_body"))))
+        repaired.select(*keep, "salvaged", F.posexplode_outer(json_elements(F.col("_body"))))
+        .filter(F.col("pos").isNotNull())
         .select(*keep, "salvaged", F.col("pos").cast("long").alias("position"), F.from_json("col", element).alias("_row"))
         .select(*keep, "salvaged", "position", "_row.*")
     )
