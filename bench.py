@@ -51,6 +51,8 @@ def main() -> None:
             "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": "12g",
             "spark.ui.showConsoleProgress": "false",
+            # no call-site lookup per column expression
+            "spark.python.sql.dataFrameDebugging.enabled": "false",
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

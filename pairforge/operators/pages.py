@@ -233,11 +233,19 @@ def extract_links(
 
 
 def link_slice(links: DataFrame, start: int = 0, max_links: int | None = None) -> DataFrame:
-    """Cap the ordered link list, then skip the first ``start`` of it."""
+    """Cap the ordered link list, then skip the first ``start`` of it.
+
+    Without a cap the rest of the list stays distributed: the last skipped
+    position is found first and everything after it is kept by a filter.
+    """
     ordered = links.orderBy("page_id", "pos")
     if max_links:
-        ordered = ordered.limit(max_links)
-    return ordered.offset(start) if start else ordered
+        return ordered.limit(max_links).offset(start)
+    if not start:
+        return links
+    place = F.struct("page_id", "pos")
+    last_skipped = ordered.limit(start).agg(F.max(place).alias("place")).scalar()
+    return links.filter(place > last_skipped)
 
 
 def pending_links(links: DataFrame, done: DataFrame, url: str = "url") -> DataFrame:

@@ -33,7 +33,7 @@ def _cut_hash(hashes: DataFrame, test_size: float) -> Column:
     """The ceil(n * test_size)-th smallest hash, as a one-value subquery.
 
     A histogram over buckets finds the bucket the cut falls in; only that
-    bucket's hashes are ranked.
+    bucket's hashes are put in order.
     """
     share = Decimal(str(test_size))
     histogram = hashes.groupBy(_bucket(F.col("h")).alias("bucket")).agg(
@@ -68,10 +68,19 @@ def _cut_hash(hashes: DataFrame, test_size: float) -> Column:
         )
         .scalar()
     )
-    ranked = hashes.filter(_bucket(F.col("h")) == spot["bucket"]).withColumn(
-        "rank", F.row_number().over(Window.partitionBy(_bucket(F.col("h"))).orderBy("h"))
+    in_order = (
+        Window.partitionBy(_bucket(F.col("h")))
+        .orderBy("h")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return ranked.filter(F.col("rank") == spot["rank"]).agg(F.max("h").alias("cut")).scalar()
+    # counted per hash first, so copies of one key are a single row here
+    near = (
+        hashes.filter(_bucket(F.col("h")) == spot["bucket"])
+        .groupBy("h")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("reached", F.sum("n").over(in_order))
+    )
+    return near.filter(F.col("reached") >= spot["rank"]).agg(F.min("h").alias("cut")).scalar()
 
 
 def train_test_split(
@@ -80,7 +89,8 @@ def train_test_split(
     """Add ``split`` (``train`` / ``test``) without moving any row.
 
     ``exact`` puts ceil(n * test_size) rows into test; otherwise each row falls
-    into test with that probability, from its hash alone.
+    into test with that probability, from its hash alone.  Rows that share a key
+    always land on the same side.
     """
     hashed = order_hash(key, seed)
     if exact:

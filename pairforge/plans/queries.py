@@ -71,8 +71,9 @@ def _(spark, sf_dir):
     path = scratch_path(spark, "bank")
     bank = questions.with_recipe_id(D.d_question(spark, sf_dir))
     row = F.struct("recipe_id", "recipe_name", "questions", "questions_category", "question_type")
-    block = F.floor(F.col("position") / 4096).alias("block")
-    arrays = bank.groupBy("recipe_id", block).agg(F.to_json(F.collect_list(row)).alias("value"))
+    # 64 recipes and 4096 positions bound each array
+    group, block = F.floor(F.col("recipe_id") / 64), F.floor(F.col("position") / 4096)
+    arrays = bank.groupBy(group.alias("recipes"), block.alias("block")).agg(F.to_json(F.collect_list(row)).alias("value"))
     arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
     return readers.read_records(spark, path, schemas.QUESTION)
 
@@ -946,11 +947,14 @@ def _(spark, sf_dir):
 
 @query(
     "link_slice",
-    f"select page_id, pos, href from (select * from ({KEPT_SQL}) order by page_id, pos limit 40) order by page_id, pos offset 10",
+    f"""select 'capped' as kind, * from (select page_id, pos, href from (
+          select * from ({KEPT_SQL}) order by page_id, pos limit 40) order by page_id, pos offset 10)
+        union all select 'rest', * from (select page_id, pos, href from ({KEPT_SQL}) order by page_id, pos offset 15)""",
 )
 def _(spark, sf_dir):
     links = pages.extract_links(D.d_page(spark, sf_dir), "site.test")
-    return pages.link_slice(links, start=10, max_links=40)
+    capped = pages.link_slice(links, start=10, max_links=40).withColumn("kind", F.lit("capped"))
+    return capped.unionByName(pages.link_slice(links, start=15).withColumn("kind", F.lit("rest")))
 
 
 @query(
