@@ -45,22 +45,19 @@ def _scored(texts: DataFrame, keys: Sequence[str], stop_words: list[str]) -> Dat
     """(keys, sentence, score) for rows with ``_sentences``, partitioned by ``keys``.
 
     Every step groups by ``keys`` plus something, so none of them shuffles.
-    Repeats inside a sentence are folded first.
     """
     # the outer forms keep Spark from testing each array for emptiness first,
     # which would compute it twice
-    per_sentence = (
+    occurrences = (
         texts.select(*keys, F.posexplode_outer("_sentences").alias("sentence", "body"))
         .select(*keys, "sentence", F.explode_outer(content_words(F.col("body"), stop_words)).alias("word"))
         .filter(F.col("word").isNotNull())
-        .groupBy(*keys, "sentence", "word")
-        .agg(F.count(F.lit(1)).alias("n"))
     )
-    frequency = F.sum("n").over(Window.partitionBy(*keys, "word"))
+    frequency = F.count(F.lit(1)).over(Window.partitionBy(*keys, "word"))
     return (
-        per_sentence.select(*keys, "sentence", (F.col("n") * frequency).alias("weight"))
+        occurrences.select(*keys, "sentence", frequency.alias("n"))
         .groupBy(*keys, "sentence")
-        .agg(F.sum("weight").alias("score"))
+        .agg(F.sum("n").alias("score"))
     )
 
 
