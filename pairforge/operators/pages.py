@@ -93,10 +93,8 @@ def attribute(attrs: Column, name: str) -> Column:
     return decode_entities(F.regexp_replace(value, r"""^["']|["']$""", ""))
 
 
-def has_class(attrs: Column, wanted: str | None) -> Column:
-    if wanted is None:
-        return F.lit(True)
-    return F.array_contains(F.split(attribute(attrs, "class"), r"\s+"), wanted)
+def _has_class(wanted: str | None) -> Column:
+    return F.lit(True) if wanted is None else F.array_contains("classes", wanted)
 
 
 def _tokens(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -164,9 +162,11 @@ def _locate(tokens: DataFrame, blocks: dict[str, Selector], layers: dict[str, Co
 
     ``layers`` are further running expressions computed in the same pass.
     """
+    classes = F.when(F.col("kind") == "open", F.split(attribute(F.col("attrs"), "class"), r"\s+"))
+    tokens = tokens.withColumn("classes", classes)
     starts = {
         f"{name}_start": F.min(
-            F.when(_is("open", tag) & has_class(F.col("attrs"), cls), F.col("pos"))
+            F.when(_is("open", tag) & _has_class(cls), F.col("pos"))
         ).over(_whole_page())
         for name, (tag, cls) in blocks.items()
     }
@@ -264,6 +264,14 @@ def _layer(own: list[str], ends: list[str]) -> Column:
     return F.coalesce(F.last(mark, ignorenulls=True).over(_so_far()), F.lit(-1))
 
 
+def _value() -> Column:
+    """What an image, frame or shared-image tag points to."""
+    attrs = F.col("attrs")
+    return F.when(_is("open", "img", "iframe"), attribute(attrs, "src")).when(
+        _is("open", "meta") & (attribute(attrs, "property") == "og:image"), attribute(attrs, "content")
+    )
+
+
 def _page_items(pages: DataFrame, rules: PageRules) -> DataFrame:
     """One row per page with its items in order.
 
@@ -283,7 +291,14 @@ def _page_items(pages: DataFrame, rules: PageRules) -> DataFrame:
             "ul_level": _nesting("ul"),
             "ol_level": _nesting("ol"),
         },
-    ).withColumns({"inside": _inside("content"), "in_featured": _inside("featured")})
+    ).withColumns(
+        {
+            "inside": _inside("content"),
+            "in_featured": _inside("featured"),
+            "is_title": _is("open", rules.title[0]) & _has_class(rules.title[1]),
+            "value": _value(),
+        }
+    )
 
     def member(kind: str) -> Column:
         owner = F.col(kind)
@@ -307,7 +322,7 @@ def _page_items(pages: DataFrame, rules: PageRules) -> DataFrame:
     )
     rows = located.select("*", F.explode(memberships).alias("item"))
     head = F.struct(
-        "tag", "attrs", "inside", "in_featured", "level", "ul_level", "ol_level", (F.col("p") >= 0).alias("in_p"),
+        "tag", "value", "is_title", "inside", "in_featured", "level", "ul_level", "ol_level", (F.col("p") >= 0).alias("in_p"),
         F.col("content_start").isNotNull().alias("has_content"),
     )
     texts = F.array_sort(F.collect_list(F.when(F.col("kind") == "text", F.struct("pos", "text"))))
@@ -379,44 +394,33 @@ def _list_texts(items: Column, opened: Column, tag: str) -> Column:
     return F.transform(let(opened, members), lambda i: strip(i["text"]))
 
 
-def _title(items: Column, rules: PageRules) -> Column:
-    tag, cls = rules.title
-    found = _first(
-        items, lambda i: _type(i, "h") & (i["head"]["tag"] == tag) & has_class(i["head"]["attrs"], cls)
-    )
+def _title(items: Column) -> Column:
+    found = _first(items, lambda i: _type(i, "h") & i["head"]["is_title"])
     return F.coalesce(strip(found["text"]), F.lit(K.UNKNOWN_TITLE))
 
 
 def _image(items: Column, url: Column) -> Column:
-    def source(item: Column, name: str) -> Column:
-        return F.nullif(attribute(item["head"]["attrs"], name), F.lit(""))
+    def source(item: Column) -> Column:
+        return F.nullif(item["head"]["value"], F.lit(""))
 
     featured = _first(items, lambda i: _tag(i, "open", "img") & i["head"]["in_featured"])
     in_content = _first(items, lambda i: _tag(i, "open", "img") & i["head"]["inside"])
-    meta = _first(
-        items,
-        lambda i: _tag(i, "open", "meta") & (attribute(i["head"]["attrs"], "property") == "og:image"),
-    )
+    shared = _first(items, lambda i: _tag(i, "open", "meta") & i["head"]["value"].isNotNull())
     absolute = let(
-        source(in_content, "src"),
+        source(in_content),
         lambda src: F.when(F.startswith(src, F.lit("http")), src).when(
             src.isNotNull(), absolute_url(url, src)
         ),
     )
-    return F.coalesce(source(featured, "src"), absolute, source(meta, "content"), F.lit(""))
+    return F.coalesce(source(featured), absolute, source(shared), F.lit(""))
 
 
 def _video(items: Column) -> Column:
     frame = _first(
         items,
-        lambda i: _tag(i, "open", "iframe")
-        & F.contains(attribute(i["head"]["attrs"], "src"), F.lit(K.IFRAME_MARK)),
+        lambda i: _tag(i, "open", "iframe") & F.contains(i["head"]["value"], F.lit(K.IFRAME_MARK)),
     )
-    return F.coalesce(attribute(frame["head"]["attrs"], "src"), F.lit(""))
-
-
-def _paragraphs(items: Column) -> Column:
-    return F.filter(items, lambda i: _type(i, "p") & i["head"]["inside"])
+    return F.coalesce(frame["head"]["value"], F.lit(""))
 
 
 def _paragraph_texts(items: Column) -> Column:
@@ -511,7 +515,7 @@ def _fields(pages: DataFrame, rules: PageRules, *names: str) -> DataFrame:
     """The named fields of every readable page, keyed by ``page_id``."""
     items = F.col("items")
     build = {
-        "title": lambda: _title(items, rules),
+        "title": lambda: _title(items),
         "url": lambda: F.col("url"),
         "image_url": lambda: _image(items, F.col("url")),
         "youtube_url": lambda: _video(items),
