@@ -107,7 +107,7 @@ def _(spark, sf_dir):
 
 @query(
     "salvage_json_array",
-    """select conv_id, turn, p.k as position, text as question, conv_id % 3 = 1 as salvaged
+    """select conv_id, turn, cast(p.k as bigint) as position, text as question, conv_id % 3 = 1 as salvaged
        from conversations, (select unnest([0, 1]) as k) p
        where role = 'user' and conv_id % 3 <> 2""",
 )
