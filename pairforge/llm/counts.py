@@ -16,6 +16,7 @@ compose associatively and are combined by a parallel prefix scan.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -23,10 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairforge.llm.common import raw_texts, slices
-from pairforge.llm.tokens import SPACE, Pieces, WordMemo, bare_words
+from pairforge.llm.tokens import SPACE, Pieces, WordMemo, by_pieces
 
 #: Characters per chunk.
 CHUNK = 1 << 16
+_EDGE = re.compile(f"[^{SPACE}]*")
 
 
 class Transducer:
@@ -154,6 +156,7 @@ class TokenCounter:
         self.transducer = Transducer(path)
         self.piece_counts = WordMemo(lambda pieces: [1 if p[0] == "\0" else self.transducer.count(p) for p in pieces])
         self.memo = WordMemo(self._many)
+        self.plain = WordMemo(lambda pieces: [self.transducer.count(self.pieces.spelt(p)) for p in pieces])
 
     def _many(self, words: list[str]) -> list[int]:
         cut = [self.pieces.of(w) for w in words]
@@ -164,11 +167,12 @@ class TokenCounter:
     def counts(self, texts: list[str]) -> list[int]:
         if len(self.transducer.content) > self.MAX_STATES:
             self.transducer = Transducer(self.path)
-        chunks = [[t[i : i + CHUNK] for i in range(0, len(t), CHUNK)] if len(t) > CHUNK else None for t in texts]
-        split = [bare_words(t) if c is None else [] for t, c in zip(texts, chunks, strict=True)]
-        self.memo.learn(split)
-        get = self.memo.__getitem__
-        return [sum(map(get, words)) if c is None else self._long(c) for words, c in zip(split, chunks, strict=True)]
+        long = [self._long([t[i : i + CHUNK] for i in range(0, len(t), CHUNK)]) if len(t) > CHUNK else None for t in texts]
+        short = iter(self._short([t for t in texts if len(t) <= CHUNK]))
+        return [next(short) if n is None else n for n in long]
+
+    def _short(self, texts: list[str]) -> list[int]:
+        return by_pieces(texts, self.pieces, self.plain, self.memo, sum)
 
     def _one(self, word: str) -> int:
         return self._many([word])[0] if word else 0
@@ -176,13 +180,11 @@ class TokenCounter:
     def chunk_map(self, chunk: str) -> tuple[str, int | None, str]:
         """(open head, tokens of the closed words, open tail); a chunk without
         white space is all head and has no count."""
-        words = bare_words(chunk)
-        if len(words) == 1 and len(words[0]) == len(chunk):
+        first = _EDGE.match(chunk).end()
+        if first == len(chunk):
             return chunk, None, ""
-        head = words.pop(0) if words and chunk[0] not in _BLANK else ""
-        tail = words.pop() if words and chunk[-1] not in _BLANK else ""
-        self.memo.learn([words])
-        return head, sum(map(self.memo.__getitem__, words)), tail
+        last = max(map(chunk.rfind, SPACE)) + 1
+        return chunk[:first], self._short([chunk[first:last]])[0], chunk[last:]
 
     def compose(self, a: tuple, b: tuple) -> tuple:
         if a[1] is None and b[1] is None:
@@ -198,7 +200,6 @@ class TokenCounter:
         return self._one(head) + (body or 0) + self._one(tail)
 
 
-_BLANK = frozenset(SPACE.replace(" - ", "".join(map(chr, range(0x2000, 0x200B)))))
 
 
 def scan(maps: list, compose) -> list:

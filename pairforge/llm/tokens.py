@@ -67,11 +67,11 @@ class WordMemo(dict):
 
 
 _LATIN = "\xc0-\xd6\xd8-\xf6\xf8-\xff"
-#: Words whose normal form and pieces need no Unicode tables.
-_PLAIN = re.compile(f" ?[!-~{_LATIN}]+").fullmatch
+#: Texts whose normal form and pieces need no Unicode tables.
 _SHORT = "'s|'t|'re|'ve|'m|'ll|'d|"
-_PLAIN_DROPPED = re.compile(f"{_SHORT}[a-z{_LATIN}]+|[0-9]|[^a-z0-9{_LATIN}]+").findall
-_PLAIN_SPACED = re.compile(f"{_SHORT} ?[A-Za-z{_LATIN}]+| ?[0-9]+| ?[^ A-Za-z0-9{_LATIN}]+").findall
+_PLAIN_TEXT = re.compile(f"[\\n -~{_LATIN}]*").fullmatch
+_PLAIN_DROPPED = re.compile(f"{_SHORT}[a-z{_LATIN}]+|[0-9]|[^\\sa-z0-9{_LATIN}]+").findall
+_PLAIN_SPACED = re.compile(f"{_SHORT} ?[A-Za-z{_LATIN}]+| ?[0-9]+| ?[^\\sA-Za-z0-9{_LATIN}]+|\\s+(?!\\S)|\\s+").findall
 
 
 def _byte_characters() -> dict[int, int]:
@@ -84,8 +84,8 @@ def _byte_characters() -> dict[int, int]:
 class Pieces:
     """Words to the pieces that the vocabulary merges within.
 
-    Plain words are cut here; all others by the library's own normalizer and
-    pre-tokenizer.  A special string is a piece by itself, marked by a leading
+    Plain texts are cut here; the words of all others by the library's own
+    normalizer and pre-tokenizer.  A special string is a piece by itself, marked by a leading
     NUL (its id is fixed; it is not merged).
     """
 
@@ -101,16 +101,28 @@ class Pieces:
         for token in self.tokenizer.get_added_tokens_decoder().values():
             if _SPECIAL_SPACE.search(token.content) or token.lstrip or token.rstrip or token.single_word:
                 raise ValueError("a special token reaches beyond its word")
+        marks = [c for c in min(self.special, key=len, default="\0") if all(c in t for t in self.special)]
+        if not marks:
+            raise ValueError("the special strings share no character to look for")
+        self.mark = marks[0]
         self._special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
 
+    def plain(self, text: str) -> list[str] | None:
+        """The pieces of a plain text, spelt as in the text (lower case where the
+        vocabulary has it); None for any other text."""
+        if not _PLAIN_TEXT(text) or (self.mark in text and self._special.search(text)):
+            return None
+        return _PLAIN_DROPPED(text.lower()) if self.dropped else _PLAIN_SPACED(text)
+
+    def spelt(self, piece: str) -> str:
+        """A plain piece in the stand-in characters of its bytes."""
+        return piece if piece.isalpha() and piece.isascii() else piece.encode().decode("latin-1").translate(self.bytes)
+
     def of(self, word: str) -> list[str]:
-        if "<" in word or self._special.search(word):
+        if self.mark in word:
             parts = self._special.split(word)
             if len(parts) > 1:
                 return [p for i, part in enumerate(parts) for p in (["\0" + part] if i % 2 else self.of(part) if part else [])]
-        if _PLAIN(word):
-            found = _PLAIN_DROPPED(word.lower()) if self.dropped else _PLAIN_SPACED(word)
-            return [p.encode().decode("latin-1").translate(self.bytes) for p in found]
         whole = self.tokenizer
         return [p for p, _ in whole.pre_tokenizer.pre_tokenize_str(whole.normalizer.normalize_str(word) if whole.normalizer else word)]
 
@@ -126,13 +138,16 @@ class WordEncoder:
     def __init__(self, path: str):
         self.pieces = Pieces(path)
         self.model = self.pieces.tokenizer.model
+        self.id_bytes = [i.to_bytes(4, "little") for i in range(self.pieces.tokenizer.get_vocab_size())]
         self.piece_ids = WordMemo(lambda pieces: [self._piece(p) for p in pieces])
         self.memo = WordMemo(self._many)
+        self.plain = WordMemo(lambda pieces: [self._piece(self.pieces.spelt(p)) for p in pieces])
 
     def _piece(self, piece: str) -> bytes:
         if piece[0] == "\0":
             return self.pieces.special[piece[1:]].to_bytes(4, "little")
-        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(piece)])
+        known = self.id_bytes
+        return b"".join([known[t.id] for t in self.model.tokenize(piece)])
 
     def _many(self, words: list[str]) -> list[bytes]:
         cut = [self.pieces.of(w) for w in words]
@@ -141,7 +156,14 @@ class WordEncoder:
         return [b"".join(map(get, p)) for p in cut]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [self.pieces.words(t) for t in texts]
-        self.memo.learn(split)
-        get = self.memo.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        return by_pieces(texts, self.pieces, self.plain, self.memo, b"".join)
+
+
+def by_pieces(texts: list[str], pieces: Pieces, plain: WordMemo, words: WordMemo, total: Callable) -> list:
+    """For each text, ``total`` over the values of its plain pieces, or of its
+    words where it isn't plain."""
+    cut = [pieces.plain(t) for t in texts]
+    other = [pieces.words(t) if c is None else None for t, c in zip(texts, cut, strict=True)]
+    plain.learn([c for c in cut if c is not None])
+    words.learn([w for w in other if w is not None])
+    return [total(map(words.__getitem__, w) if c is None else map(plain.__getitem__, c)) for c, w in zip(cut, other, strict=True)]
