@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairforge.llm import blocks, counts, packing
+from pairforge.llm import blocks, counts, jaccard, packing
 from pairforge.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,3 +39,8 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = blocks.write_token_blocks(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return blocks.read_token_blocks(pages).drop("ids")
+
+
+@query
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), words=4, threshold=85)
