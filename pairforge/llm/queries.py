@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairforge.llm import blocks, counts, jaccard, packing
+from pairforge.llm import blocks, counts, jaccard, packing, repeats
 from pairforge.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,3 +44,10 @@ def op6_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"), words=4, threshold=85)
+
+
+@query
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.without_repeats(table(spark, sf_dir, "documents"), length=400)
+    removed = F.col("n_bytes") - F.octet_length("kept")
+    return found.select("doc_id", "n_bytes", removed.cast("long").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
