@@ -36,6 +36,8 @@ from pairforge.llm.shingles import set_id, shingle_sets
 LEAF_POINTS, LEAF_SHINGLES = 1024, 4_000_000
 #: Cells per split, and splits before blocks.
 PIVOTS, DEPTH = 8, 4
+#: Classes of a sketch.
+SKETCH = 64
 #: Counters of the shingle frequencies that set the order (2^17 of them).
 FREQUENCY_BITS = 17
 
@@ -50,6 +52,13 @@ def linked(common: np.ndarray, total: np.ndarray, threshold: int) -> np.ndarray:
     return 100 * common >= threshold * (total - common)
 
 
+def sketch(shingles: np.ndarray) -> bytes:
+    """Shingles per class of their hash.  The sum of the differences between two
+    sketches is at most the size of the symmetric difference of the sets."""
+    counts = np.bincount((shingles & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
+    return np.minimum(counts, 0xFFFF).astype("<u2").tobytes()
+
+
 class Forest:
     """Spanning forest of links among numbered points."""
 
@@ -112,7 +121,7 @@ def near_duplicates(documents: DataFrame, words: int, threshold: int, key: str =
     source = documents.select(F.col(key).alias("k"), F.col(text).alias("t"), F.xxhash64(text).alias("h"))
     kind = source.schema["k"].dataType.simpleString()
     found = stored(_points(source, words, kind))
-    points = found.where("counter = -1").select("k", "h", "n", "point")
+    points = found.where("counter = -1").select("k", "h", "n", "point", "sketch")
     counters = found.where("counter >= 0").groupBy("counter").agg(F.sum("n").alias("n")).collect()  # 2^17 rows at most
     frequency = np.zeros(1 << FREQUENCY_BITS, np.int64)
     for row in counters:
@@ -122,7 +131,10 @@ def near_duplicates(documents: DataFrame, words: int, threshold: int, key: str =
     led = firsts.groupBy("shingle").agg(F.min("point").alias("region"), F.max("point").alias("other")).where("region <> other")
     members = stored(firsts.join(led, "shingle").select("region", "point").distinct())
 
-    one = points.groupBy("point").agg(F.min(F.struct("k", "h")).alias("one")).join(members.select("point").distinct(), "point", "left_semi")
+    one = points.groupBy("point").agg(F.min(F.struct("k", "h")).alias("one"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    one = stored(one.join(members.select("point").distinct(), "point", "left_semi"))
+    members = stored(_with_partner(members, one, threshold))
+    one = one.join(members.select("point").distinct(), "point", "left_semi")
     needed = _texts_of(source, one)
     regions = members.join(_sets(needed, words), "point")
     edges = stored(_all_links(regions, threshold))
@@ -140,7 +152,7 @@ def near_duplicates(documents: DataFrame, words: int, threshold: int, key: str =
 def _points(source: DataFrame, words: int, kind: str) -> DataFrame:
     """A row per document (counter -1) with the size and digest of its set, and
     rows that count shingles by the leading bits of their hash."""
-    names = ["k", "h", "n", "point", "counter"]
+    names = ["k", "h", "n", "point", "sketch", "counter"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, like = np.zeros(1 << FREQUENCY_BITS, np.int64), None
@@ -150,16 +162,16 @@ def _points(source: DataFrame, words: int, kind: str) -> DataFrame:
             seen += np.bincount(all_of, minlength=len(seen))
             like = batch.column("k").type
             yield pa.RecordBatch.from_arrays(
-                [batch.column("k"), batch.column("h"), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) for s in sets], pa.int64()), pa.array([-1] * len(sets), pa.int32())],
+                [batch.column("k"), batch.column("h"), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) for s in sets], pa.int64()), pa.array([sketch(s) for s in sets], pa.binary()), pa.array([-1] * len(sets), pa.int32())],
                 names=names,
             )
         used = np.flatnonzero(seen)
         for at in range(0, len(used), 1 << 15):
             part = used[at : at + (1 << 15)]
             none = [pa.nulls(len(part), like), pa.nulls(len(part), pa.int64())]
-            yield pa.RecordBatch.from_arrays([*none, pa.array(seen[part]), pa.nulls(len(part), pa.int64()), pa.array(part.astype(np.int32))], names=names)
+            yield pa.RecordBatch.from_arrays([*none, pa.array(seen[part]), pa.nulls(len(part), pa.int64()), pa.nulls(len(part), pa.binary()), pa.array(part.astype(np.int32))], names=names)
 
-    return source.mapInArrow(run, f"k {kind}, h long, n long, point long, counter int")
+    return source.mapInArrow(run, f"k {kind}, h long, n long, point long, sketch binary, counter int")
 
 
 def _firsts(source: DataFrame, words: int, threshold: int, frequency: np.ndarray) -> DataFrame:
@@ -181,6 +193,49 @@ def _firsts(source: DataFrame, words: int, threshold: int, frequency: np.ndarray
     return source.select("t").mapInArrow(run, "shingle long, point long")
 
 
+def _with_partner(members: DataFrame, one: DataFrame, threshold: int) -> DataFrame:
+    """Members of a region that a link is possible for: to some other member the
+    sketches allow a small enough difference.  Large regions keep all members."""
+    sizes = members.groupBy("region").agg(F.count("*").alias("size"))
+    sized = members.join(sizes, "region").join(one.select("point", "n", "sketch"), "point")
+    small = F.col("size") <= LEAF_POINTS
+    dealt = sized.where(small).select("region", "point", "n", "sketch").repartition("region").sortWithinPartitions("region")
+
+    def kept(points: list[int], n: list[int], sketches: list[bytes]) -> np.ndarray:
+        counts = np.frombuffer(b"".join(sketches), "<u2").reshape(-1, SKETCH).astype(np.int32)
+        total = np.array(n, np.int64)
+        good = np.zeros(len(n), bool)
+        for i in range(len(n)):
+            if not good[i]:
+                apart = np.abs(counts - counts[i]).sum(axis=1)
+                both = total + total[i]
+                near = linked((both - apart) // 2, both, threshold)
+                near[i] = False
+                good |= near
+                good[i] = near.any()
+        return np.array(points, np.int64)[good]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now: int | None = None
+        held: tuple[list, list, list] = ([], [], [])
+
+        def done() -> Iterator[pa.RecordBatch]:
+            good = kept(*held) if len(held[0]) > 1 else []
+            if len(good):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(good), now, np.int64)), pa.array(good)], names=["region", "point"])
+
+        for batch in batches:
+            for region, *row in zip(*(batch.column(c).to_pylist() for c in ("region", "point", "n", "sketch")), strict=True):
+                if region != now:
+                    yield from done()
+                    now, held = region, ([], [], [])
+                for part, value in zip(held, row, strict=True):
+                    part.append(value)
+        yield from done()
+
+    return dealt.mapInArrow(run, "region long, point long").unionByName(sized.where(~small).select("region", "point"))
+
+
 def _texts_of(source: DataFrame, one: DataFrame) -> DataFrame:
     """The text of one document per point."""
     wanted = one.select("point", F.col("one.k").alias("wk"), F.col("one.h").alias("wh"))
