@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairforge.llm import blocks, counts, decontam, jaccard, packing, repeats, topk
+from pairforge.llm import blocks, counts, decontam, jaccard, packing, repeats, topk, warc
 from pairforge.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,3 +87,33 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM scored
 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
 """
+
+
+@query
+def op9_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.read_archives(spark, warc.write_archives(table(spark, sf_dir, "pages")))
+    index = warc.capture_index(records)
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured_at")
+
+
+ORACLE["op9_warc_index"] = r"""
+WITH page AS (
+  SELECT page_id, url, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS digest,
+         strlen(coalesce(html, '')) AS bytes
+  FROM pages
+), grouped AS (
+  SELECT *, min(page_id) OVER (PARTITION BY digest) AS first_id,
+         lower(regexp_replace(regexp_replace(trim(coalesce(url, '')), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '')) AS rest
+  FROM page
+), cut AS (
+  SELECT *, regexp_replace(regexp_replace(regexp_extract(rest, '^([^/?]*)', 1), ':[0-9]*$', ''), '^www[0-9]*\.', '') AS host,
+         regexp_extract(rest, '^[^/?]*(.*)$', 1) AS path
+  FROM grouped
+)
+SELECT page_id, CAST(bytes AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to,
+       array_to_string(list_reverse(string_split(host, '.')), ',') || ')' || CASE WHEN path = '' THEN '/' ELSE path END AS url_key,
+       strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(page_id), '%Y-%m-%dT%H:%M:%SZ') AS captured_at
+FROM cut
+"""
