@@ -65,6 +65,13 @@ def raw_texts(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
 
 
+def with_texts(batch: pa.RecordBatch, column: str, texts: list[bytes | None]) -> pa.RecordBatch:
+    """The batch with other UTF-8 texts in a column."""
+    at = batch.schema.get_field_index(column)
+    kind = batch.schema.field(at).type
+    return batch.set_column(at, batch.schema.field(at), pa.array(texts, pa.binary()).cast(kind))
+
+
 _SHIPPED: set[str] = set()
 
 

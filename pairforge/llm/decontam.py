@@ -10,14 +10,15 @@ walking to the next sampled suffix position; the spans of a document are merged.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairforge.llm.common import raw_texts, slices
+from pairforge.llm.common import raw_texts, slices, with_texts
 
 #: Text per shard, and items whose windows are searched for at once.
 SHARD_BYTES, ITEMS_AT_ONCE = 1 << 22, 20_000
@@ -199,9 +200,51 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = 10,
     source = documents.select(F.col(key).alias("k"), F.col(text).alias("t"))
     kind = source.schema["k"].dataType.simpleString()
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-    blocks: list = []
+    find = _finder(benchmark, window, item, item_text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hits = find()
+        for batch in slices(batches, "t", SHARD_BYTES):
+            texts = [words_of(t) for t in raw_texts(batch.column("t"))]
+            spans, items = hits(texts)
+            found = [[{"start": a, "end": b} for a, b in s] for s in spans]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("k"), pa.array(map(len, texts), pa.int64()), pa.array(found, span), pa.array(map(sorted, items), pa.list_(pa.string()))],
+                names=["k", "n_words", "spans", "items"],
+            )
+
+    found = source.mapInArrow(run, f"k {kind}, n_words long, spans array<struct<start:int,end:int>>, items array<string>")
+    return found.withColumnRenamed("k", key)
+
+
+def texts_without_hits(documents: DataFrame, benchmark: DataFrame, window: int = 10, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The documents with the words of benchmark windows, and what is between
+    them, taken out of the text; those of which no word is left then go.  Other
+    columns, and documents without a hit, stay as they are."""
+    find = _finder(benchmark, window, item, item_text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hits = find()
+        for batch in slices(batches, text, SHARD_BYTES):
+            raw = raw_texts(batch.column(text))
+            spans, _ = hits([words_of(t) for t in raw])
+            texts = [_without_words(t, s) if s else t for t, s in zip(raw, spans, strict=True)]
+            keep = pa.array([not s or bool(words_of(t)) for t, s in zip(texts, spans, strict=True)])
+            yield with_texts(batch, text, texts).filter(keep)
+
+    return documents.mapInArrow(run, documents.schema)
+
+
+def _without_words(text: bytes, spans: list[tuple[int, int]]) -> bytes:
+    places = [m.span() for m in re.finditer(rb"[^ ]+", text.translate(_KEPT))]
+    cuts = [0, *(x for a, b in spans for x in (places[a][0], places[b - 1][1])), len(text)]
+    return b"".join(text[a:b] for a, b in zip(cuts[::2], cuts[1::2], strict=True))
+
+
+def _finder(benchmark: DataFrame, window: int, item: str, item_text: str) -> Callable:
+    """A function that, called in a task, gives the search over all item blocks."""
+    context, blocks = benchmark.sparkSession.sparkContext, []
     part: list[tuple] = []
-    context = documents.sparkSession.sparkContext
     for row in benchmark.select(F.coalesce(F.col(item).cast("string"), F.lit("null")).alias("i"), F.col(item_text).alias("t")).toLocalIterator():
         part.append((row["i"], (row["t"] or "").encode()))
         if len(part) == ITEMS_AT_ONCE:
@@ -209,10 +252,10 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = 10,
             part = []
     blocks.append(context.broadcast(part))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def find() -> Callable:
         one = Windows(blocks[0].value, window) if len(blocks) == 1 else None
-        for batch in slices(batches, "t", SHARD_BYTES):
-            texts = [words_of(t) for t in raw_texts(batch.column("t"))]
+
+        def hits(texts: list[list[bytes]]) -> tuple[list[list[tuple[int, int]]], list[set[str]]]:
             spans: list[list] = [[] for _ in texts]
             items: list[set] = [set() for _ in texts]
             for block in blocks:
@@ -220,12 +263,8 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = 10,
                 for d in range(len(texts)):
                     spans[d] += more_spans[d]
                     items[d] |= more_items[d]
-            found = [[{"start": a, "end": b} for a, b in merged(s)] for s in spans]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("k"), pa.array(map(len, texts), pa.int64()), pa.array(found, span), pa.array(map(sorted, items), pa.list_(pa.string()))],
-                names=["k", "n_words", "spans", "items"],
-            )
+            return [merged(s) for s in spans], items
 
-    found = source.mapInArrow(run, f"k {kind}, n_words long, spans array<struct<start:int,end:int>>, items array<string>")
-    return found.withColumnRenamed("k", key)
+        return hits
 
+    return find

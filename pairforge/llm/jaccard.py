@@ -338,3 +338,16 @@ def _leaf_links(regions: DataFrame, threshold: int) -> DataFrame:
         yield from done()
 
     return dealt.mapInArrow(run, "a long, b long")
+
+
+def one_of_each_class(documents: DataFrame, words: int, threshold: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The document with the smallest key of each class of near duplicates, all
+    columns as they are.  Of rows that repeat a key one stays; rows with a null
+    key are never told apart and stay."""
+    classes = stored(near_duplicates(documents, words, threshold, key, text).select(key, "component_id"))
+    losers = classes.where(F.col(key) != F.col("component_id")).select(key).distinct()
+    kept = documents.join(losers, key, "left_anti")
+    again = stored(classes.groupBy(key).count().where("count > 1").where(F.col(key).isNotNull()).select(key))
+    if again.isEmpty():
+        return kept
+    return kept.join(again, key, "left_anti").unionByName(kept.join(again, key, "left_semi").dropDuplicates([key]))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairforge.llm import blocks, counts, decontam, jaccard, packing, repeats, topk, warc
+from pairforge.llm import blocks, counts, decontam, jaccard, packing, quality, repeats, topk, toxicity, warc
 from pairforge.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,3 +117,17 @@ SELECT page_id, CAST(bytes AS BIGINT) AS payload_bytes, digest AS payload_digest
        strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(page_id), '%Y-%m-%dT%H:%M:%SZ') AS captured_at
 FROM cut
 """
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = toxicity.fit_toxicity(documents, table(spark, sf_dir, "labels"))
+    return toxicity.toxicity_scores(documents, model, threshold=0.3)
+
+
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = quality.fit_quality(documents, table(spark, sf_dir, "labels"))
+    return quality.quality_scores(documents, model)

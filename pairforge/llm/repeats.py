@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairforge.llm.common import raw_texts, slices, stored
+from pairforge.llm.common import raw_texts, slices, stored, with_texts
 from pairforge.llm.shingles import POWERS, mixed, prefix_hash
 
 ANCHOR = 64
@@ -288,6 +288,52 @@ def _sharded(small: DataFrame, shards: int, length: int, kind: str) -> DataFrame
     return dealt.mapInArrow(run, f"k {kind}, h long, start long, end long")
 
 
+def _runs(spans: list[dict] | None) -> list[tuple[int, int]]:
+    """Sorted spans, joined where they touch."""
+    out: list[tuple[int, int]] = []
+    for s in spans or []:
+        if out and s["start"] <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], s["end"]))
+        else:
+            out.append((s["start"], s["end"]))
+    return out
+
+
+def _cut(text: bytes, runs: list[tuple[int, int]]) -> bytes:
+    cuts = [0, *(x for r in runs for x in r), len(text)]
+    return b"".join(text[a:b] for a, b in zip(cuts[::2], cuts[1::2], strict=True))
+
+
+def _whole_characters(text: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The runs, shrunk so that no character is cut in two."""
+    out = []
+    for a, b in runs:
+        while a < b and a < len(text) and text[a] & 0xC0 == 0x80:
+            a += 1
+        while a < b < len(text) and text[b] & 0xC0 == 0x80:
+            b -= 1
+        out.append((a, b))
+    return out
+
+
+def texts_without_repeats(documents: DataFrame, length: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents with their repeats taken out of the text, character-wise;
+    those of which nothing but white space is left then go.  Other columns, and
+    documents without repeats, stay as they are."""
+    spans = repeated_spans(documents, length, key, text).toDF("__k", "__h", "__spans")
+    same = (F.xxhash64(F.coalesce(documents[text], F.lit(""))) == F.col("__h")) & documents[key].eqNullSafe(F.col("__k"))
+    joined = documents.join(spans, same, "left").drop("__k", "__h")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text):
+            found = [_runs(s) for s in batch.column("__spans").to_pylist()]
+            texts = [t and _cut(t, _whole_characters(t, r)) for t, r in zip(raw_texts(batch.column(text)), found, strict=True)]
+            keep = pa.array([not r or bool(t.strip()) for t, r in zip(texts, found, strict=True)])
+            yield with_texts(batch.drop_columns(["__spans"]), text, texts).filter(keep)
+
+    return joined.mapInArrow(run, documents.schema)
+
+
 def without_repeats(documents: DataFrame, length: int = 400, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: key, n_bytes, spans (array of start, end; maximal
     removed runs) and kept (the remaining bytes).
@@ -302,18 +348,11 @@ def without_repeats(documents: DataFrame, length: int = 400, key: str = "doc_id"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "t"):
-            merged, kept, sizes = [], [], []
-            for t, found in zip(raw_texts(batch.column("t")), batch.column("spans").to_pylist(), strict=True):
-                runs: list[list[int]] = []
-                for s in found or []:
-                    if runs and s["start"] <= runs[-1][1]:
-                        runs[-1][1] = max(runs[-1][1], s["end"])
-                    else:
-                        runs.append([s["start"], s["end"]])
-                cuts = [0, *(x for r in runs for x in r), len(t)]
-                merged.append([{"start": a, "end": b} for a, b in runs])
-                kept.append(b"".join(t[a:b] for a, b in zip(cuts[::2], cuts[1::2], strict=True)))
-                sizes.append(len(t))
+            texts = raw_texts(batch.column("t"))
+            runs = [_runs(found) for found in batch.column("spans").to_pylist()]
+            merged = [[{"start": a, "end": b} for a, b in r] for r in runs]
+            kept = [_cut(t, r) for t, r in zip(texts, runs, strict=True)]
+            sizes = list(map(len, texts))
             span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(sizes, pa.int64()), pa.array(merged, span), pa.array(kept, pa.binary())], names=["k", "n_bytes", "spans", "kept"])
 
