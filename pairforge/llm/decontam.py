@@ -57,9 +57,9 @@ class WaveletTree:
 class FMIndex:
     """Self-index of a sequence of symbols 1.. with separators 0."""
 
-    def __init__(self, symbols: np.ndarray):
+    def __init__(self, symbols: np.ndarray, largest: int):
         self.n = n = len(symbols)
-        self.bits = max(1, int(symbols.max(initial=1)).bit_length())
+        self.bits = max(1, largest.bit_length())
         order = self._suffixes(symbols)
         self.bwt = symbols[order - 1].astype(np.int64)
         counts = np.bincount(symbols, minlength=1 << self.bits)
@@ -162,7 +162,7 @@ class Windows:
         place = np.ceil(order).astype(np.int64)
         body = np.where(order == place, symbols[place], 0)
         body, place = np.append(body, 0), np.append(place, len(symbols))
-        index = FMIndex(body)
+        index = FMIndex(body, len(self.ids))
         starts = np.cumsum([0] + [len(f) + 1 for f in found])
         for windows, owners in self.groups:
             low, high = index.search(windows)
