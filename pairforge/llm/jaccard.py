@@ -36,8 +36,8 @@ from pairforge.llm.shingles import set_id, shingle_sets
 LEAF_POINTS, LEAF_SHINGLES = 1024, 4_000_000
 #: Cells per split, and splits before blocks.
 PIVOTS, DEPTH = 8, 4
-#: Classes of a sketch.
-SKETCH = 64
+#: Classes of a sketch, and flags of the filter on texts (2^20).
+SKETCH, FILTER_BITS = 64, 20
 #: Counters of the shingle frequencies that set the order (2^17 of them).
 FREQUENCY_BITS = 17
 
@@ -127,17 +127,15 @@ def near_duplicates(documents: DataFrame, words: int, threshold: int, key: str =
     for row in counters:
         frequency[row["counter"]] = row["n"]
 
-    firsts = stored(_firsts(source, words, threshold, frequency))
+    firsts = _firsts(source, words, threshold, frequency)  # cheaper to make twice than to keep
     led = firsts.groupBy("shingle").agg(F.min("point").alias("region"), F.max("point").alias("other")).where("region <> other")
     members = stored(firsts.join(led, "shingle").select("region", "point").distinct())
 
     one = points.groupBy("point").agg(F.min(F.struct("k", "h")).alias("one"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     one = stored(one.join(members.select("point").distinct(), "point", "left_semi"))
     members = stored(_with_partner(members, one, threshold))
-    one = one.join(members.select("point").distinct(), "point", "left_semi")
-    needed = _texts_of(source, one)
-    regions = members.join(_sets(needed, words), "point")
-    edges = stored(_all_links(regions, threshold))
+    one = stored(one.join(members.select("point").distinct(), "point", "left_semi").select("point", "one"))
+    edges = stored(_all_links(members, _texts_of(source, one, kind), words, threshold))
     label = components(edges)
 
     each = points.where("n > 0").groupBy("point").agg(F.min("k").alias("least"))
@@ -201,7 +199,7 @@ def _with_partner(members: DataFrame, one: DataFrame, threshold: int) -> DataFra
     small = F.col("size") <= LEAF_POINTS
     dealt = sized.where(small).select("region", "point", "n", "sketch").repartition("region").sortWithinPartitions("region")
 
-    def kept(points: list[int], n: list[int], sketches: list[bytes]) -> np.ndarray:
+    def possible(n: list[int], sketches: list[bytes]) -> np.ndarray:
         counts = np.frombuffer(b"".join(sketches), "<u2").reshape(-1, SKETCH).astype(np.int32)
         total = np.array(n, np.int64)
         good = np.zeros(len(n), bool)
@@ -213,16 +211,17 @@ def _with_partner(members: DataFrame, one: DataFrame, threshold: int) -> DataFra
                 near[i] = False
                 good |= near
                 good[i] = near.any()
-        return np.array(points, np.int64)[good]
+        return good
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now: int | None = None
         held: tuple[list, list, list] = ([], [], [])
 
         def done() -> Iterator[pa.RecordBatch]:
-            good = kept(*held) if len(held[0]) > 1 else []
-            if len(good):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(good), now, np.int64)), pa.array(good)], names=["region", "point"])
+            good = possible(*held[1:]) if len(held[0]) > 1 else np.zeros(1, bool)
+            if good.any():
+                point, n = (np.array(x, np.int64)[good] for x in held[:2])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), now, np.int64)), pa.array(point), pa.array(n)], names=["region", "point", "n"])
 
         for batch in batches:
             for region, *row in zip(*(batch.column(c).to_pylist() for c in ("region", "point", "n", "sketch")), strict=True):
@@ -233,13 +232,28 @@ def _with_partner(members: DataFrame, one: DataFrame, threshold: int) -> DataFra
                     part.append(value)
         yield from done()
 
-    return dealt.mapInArrow(run, "region long, point long").unionByName(sized.where(~small).select("region", "point"))
+    return dealt.mapInArrow(run, "region long, point long, n long").unionByName(sized.where(~small).select("region", "point", "n"))
 
 
-def _texts_of(source: DataFrame, one: DataFrame) -> DataFrame:
-    """The text of one document per point."""
+def _texts_of(source: DataFrame, one: DataFrame, kind: str) -> DataFrame:
+    """The text of one document per point.
+
+    A filter of at most 2^20 flags, made of the wanted text hashes, keeps most
+    other texts from being moved; the join is exact.
+    """
     wanted = one.select("point", F.col("one.k").alias("wk"), F.col("one.h").alias("wh"))
-    return source.join(wanted, (F.col("h") == F.col("wh")) & F.col("k").eqNullSafe(F.col("wk"))).select("point", "t")
+    flags = np.zeros(1 << FILTER_BITS, bool)
+    for row in wanted.select(F.shiftrightunsigned("wh", 64 - FILTER_BITS).cast("int").alias("flag")).distinct().collect():
+        flags[row["flag"]] = True
+    shared = source.sparkSession.sparkContext.broadcast(flags)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = batch.column("h").to_numpy(zero_copy_only=False).view(np.uint64)
+            yield batch.filter(pa.array(shared.value[(h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]))
+
+    some = source.where("t is not null").mapInArrow(run, f"k {kind}, t string, h long")
+    return some.join(wanted, (F.col("h") == F.col("wh")) & F.col("k").eqNullSafe(F.col("wk"))).select("point", "t")
 
 
 def _sets(texts: DataFrame, words: int) -> DataFrame:
@@ -251,23 +265,31 @@ def _sets(texts: DataFrame, words: int) -> DataFrame:
     return texts.mapInArrow(run, "point long, shingles binary")
 
 
-def _all_links(regions: DataFrame, threshold: int) -> DataFrame:
+def _leaf() -> str:
+    return f"size <= 16 or (size <= {LEAF_POINTS} and weight <= {LEAF_SHINGLES})"
+
+
+def _all_links(members: DataFrame, texts: DataFrame, words: int, threshold: int) -> DataFrame:
     """Links (a, b) of all regions; regions beyond a leaf are split first."""
-    todo, links = stored(regions.select("region", "point", "shingles", F.lit(None).cast("long").alias("parent_size"))), []
+    sizes = members.groupBy("region").agg(F.count("*").alias("size"), F.sum("n").alias("weight"))
+    large = stored(sizes.where(f"not ({_leaf()})"))
+    if large.isEmpty():
+        return _leaf_links(members.join(texts, "point"), threshold, words).distinct()
+    links = [_leaf_links(members.join(large, "region", "left_anti").join(texts, "point"), threshold, words)]
+    of_large = members.join(large, "region")
+    sets = _sets(texts.join(of_large.select("point").distinct(), "point", "left_semi"), words)
+    todo = stored(of_large.join(sets, "point").select("region", "point", "shingles", F.lit(None).cast("long").alias("parent_size")))
     for depth in range(DEPTH + 1):
         sizes = todo.groupBy("region").agg(F.count("*").alias("size"), F.sum(F.expr("octet_length(shingles) div 8")).alias("weight"), F.max("parent_size").alias("parent_size"))
-        leaf = (F.col("size") <= 16) | ((F.col("size") <= LEAF_POINTS) & (F.col("weight") <= LEAF_SHINGLES))
-        large = sizes.where(~leaf).select("region", "size", F.coalesce(F.col("size") > 0.7 * F.col("parent_size"), F.lit(False)).alias("stuck"), "weight")
-        large = stored(large)
+        stuck = F.coalesce(F.col("size") > 0.7 * F.col("parent_size"), F.lit(False)) | F.lit(depth == DEPTH)
+        large = stored(sizes.where(f"not ({_leaf()})").select("region", "size", "weight", stuck.alias("stuck")))
+        links.append(_leaf_links(todo.join(large, "region", "left_anti"), threshold))
         if large.isEmpty():
-            links.append(_leaf_links(todo, threshold))
             break
-        links.append(_leaf_links(todo.join(large, "region", "left_anti"), threshold))
         rest = todo.drop("parent_size").join(large, "region")
+        links.append(_leaf_links(_blocks(rest.where("stuck")), threshold))
         if depth == DEPTH:
-            links.append(_leaf_links(_blocks(rest), threshold))
             break
-        links.append(_leaf_links(_blocks(rest.where("stuck")), threshold))
         todo = stored(_cells(rest.where("not stuck"), threshold, depth))
     out = links[0]
     for more in links[1:]:
@@ -314,8 +336,11 @@ def _blocks(rest: DataFrame) -> DataFrame:
     return each.select(pair.alias("region"), "point", "shingles")
 
 
-def _leaf_links(regions: DataFrame, threshold: int) -> DataFrame:
-    dealt = regions.select("region", "point", "shingles").repartition("region").sortWithinPartitions("region")
+def _leaf_links(regions: DataFrame, threshold: int, words: int | None = None) -> DataFrame:
+    """Links of small regions; their points come with sets, or with texts to make
+    sets of ``words`` words from."""
+    what = "shingles" if words is None else "t"
+    dealt = regions.select("region", "point", what).repartition("region").sortWithinPartitions("region")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now: int | None = None
@@ -328,13 +353,15 @@ def _leaf_links(regions: DataFrame, threshold: int) -> DataFrame:
                 ends = np.array(points, np.int64)[np.array(edges)]
                 yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"])
 
-        for batch in slices(batches, "shingles", 1 << 24):
-            for region, point, shingles in zip(*(batch.column(c).to_pylist() for c in ("region", "point", "shingles")), strict=True):
+        for batch in slices(batches, what):
+            raw = raw_texts(batch.column(what))
+            found = [np.frombuffer(x, np.uint64) for x in raw] if words is None else shingle_sets(raw, words)
+            for region, point, shingles in zip(batch.column("region").to_pylist(), batch.column("point").to_pylist(), found, strict=True):
                 if region != now:
                     yield from done()
                     now, points, sets = region, [], []
                 points.append(point)
-                sets.append(np.frombuffer(shingles, np.uint64))
+                sets.append(shingles)
         yield from done()
 
     return dealt.mapInArrow(run, "a long, b long")
