@@ -8,8 +8,8 @@
    them.  Anchors with one context only are no repeats.
 3. An anchor with very many contexts is replaced by longer ones: a window
    reaches half of what is missing to its left or to its right, so each context
-   goes on with the string grown to either side, until few share it or it is a
-   whole window; then counting decides.  No group is gathered.
+   goes on with the string grown to either side, until few differing contexts
+   share it or it is a whole window; then counting decides.  No group is gathered.
 4. Small groups are dealt into shards of bounded size.  A shard builds the
    suffix order and the Burrows-Wheeler transform of its contexts, keeps suffix
    positions and match lengths at run ends only, and streams the text: inside a
@@ -32,7 +32,7 @@ from pairforge.llm.shingles import POWERS, mixed, prefix_hash
 
 ANCHOR = 64
 #: Contexts of an anchor that may meet in one shard, and bytes of a shard.
-SMALL_GROUP, SHARD_BYTES = 64, 1 << 21
+SMALL_GROUP, SHARD_BYTES = 1024, 1 << 21
 #: Bytes of a long text that are read at once.
 PIECE = 1 << 21
 
@@ -51,10 +51,10 @@ def substring_hash(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mixed((h[end] - h[start]) * down[start] + (end - start).astype(np.uint64))
 
 
-def anchors(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
+def anchors(texts: list[bytes], length: int, anchor: int = ANCHOR) -> tuple[np.ndarray, ...]:
     """(text, place, context start, context end, anchor hash, context hash) of all
     anchors; texts shorter than ``length`` have none."""
-    size = min(ANCHOR, length)
+    size = min(anchor, length)
     some = [i for i, t in enumerate(texts) if len(t) >= length]
     if not some:
         return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, np.uint64, np.uint64))
@@ -181,7 +181,7 @@ def shard_repeats(segments: list[bytes], length: int) -> list[tuple[int, int, in
     return out
 
 
-def repeated_spans(documents: DataFrame, length: int = 400, key: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_spans(documents: DataFrame, length: int = 400, key: str = "doc_id", text: str = "text", anchor: int = ANCHOR) -> DataFrame:
     """(k, h, spans): for each key and text hash with repeats, its spans.
 
     A span is a run of bytes of the UTF-8 text, each inside a string of
@@ -196,9 +196,9 @@ def repeated_spans(documents: DataFrame, length: int = 400, key: str = "doc_id",
             texts, cut = raw_texts(batch.column("t")), []
             for i, t in enumerate(texts):
                 cut += [(i, *p) for p in _pieces(t or b"", length)]
-            found = anchors([c[4] for c in cut], length)
+            found = anchors([c[4] for c in cut], length, anchor)
             row, low, a, b = (np.array([c[j] for c in cut], np.int64)[found[0]] for j in range(4))
-            keep = (found[1] + low + ANCHOR > a) & (found[1] + low < b + length)
+            keep = (found[1] + low + min(anchor, length) > a) & (found[1] + low < b + length)
             row = pa.array(row[keep])
             columns = [pa.array((found[j] + low)[keep]) for j in (1, 2, 3)] + [pa.array(found[j][keep].view(np.int64)) for j in (4, 5)]
             yield pa.RecordBatch.from_arrays([batch.column("k").take(row), batch.column("h").take(row), *columns], names=[*where[:2], "place", *where[2:], "anchor", "context"])
@@ -213,7 +213,7 @@ def repeated_spans(documents: DataFrame, length: int = 400, key: str = "doc_id",
     variants = contexts.groupBy("anchor").agg(F.count("*").alias("variants")).where("variants > 1")
     differing = contexts.join(variants, "anchor").select("anchor", "variants", "times", "one.*")
     content = stored(_contents(source, differing, kind))
-    small, windows = _refined(content, length)
+    small, windows = _refined(content, length, min(anchor, length))
     shards = max(1, math.ceil((small.agg(F.sum(F.octet_length("content"))).first()[0] or 0) / SHARD_BYTES))
     marked = _sharded(small, shards, length, kind)
     spans = whole.unionByName(windows.select(*where)).unionByName(marked)
@@ -233,28 +233,44 @@ def _contents(source: DataFrame, contexts: DataFrame, kind: str) -> DataFrame:
     return slim.dropDuplicates(["k", "h", "anchor", "place"])
 
 
-def _refined(content: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
-    """(contexts in small groups, whole windows that repeat), see step 3."""
-    now = content.select("k", "h", "start", "content", F.col("anchor").alias("group"), (F.col("place") - F.col("start")).cast("int").alias("low"), (F.col("place") - F.col("start") + min(ANCHOR, length)).cast("int").alias("high"), F.col("variants").alias("size"))
-    small = now.where(F.col("size") <= SMALL_GROUP).select("k", "h", "start", "content", "group")
-    now = stored(now.where(F.col("size") > SMALL_GROUP))
-    have = min(ANCHOR, length)
-    windows = now.where("false").select("k", "h", "start", F.col("start").alias("end"))
+def _refined(content: DataFrame, length: int, have: int) -> tuple[DataFrame, DataFrame]:
+    """(contexts in small groups, repeated spans), see step 3.
+
+    A context that grew to one side can hold windows in a smaller part of it
+    only.  Parts that are equal are repeats throughout, and one of them goes on.
+    """
+    now = content.select("k", "h", "start", "content", F.col("anchor").alias("group"), (F.col("place") - F.col("start")).cast("int").alias("low"), F.col("variants").alias("size"))
+    few = F.col("size") <= SMALL_GROUP
+    small = [now.where(few).select("k", "h", "start", "content", "group")]
+    spans = []
+    now = stored(now.where(~few).drop("size"))
     while have < length and not now.isEmpty():
         half = -(-(length - have) // 2)
         have += half
-        sides = F.explode(F.array(F.struct((F.col("low") - half).alias("low"), F.col("high").alias("high")), F.struct(F.col("low").alias("low"), (F.col("high") + half).alias("high"))))
-        grown = now.withColumn("side", sides).where("side.low >= 0 and side.high <= octet_length(content)")
-        grown = grown.select("k", "h", "start", "content", F.xxhash64("group", F.expr("substring(content, side.low + 1, side.high - side.low)")).alias("group"), "side.low", "side.high").dropDuplicates(["k", "h", "start", "group", "low"])
-        grown = stored(grown)
-        sizes = grown.groupBy("group").agg(F.count("*").alias("size")).where("size > 1")
-        sized = grown.join(sizes, "group")
+        sides = now.withColumn("low", F.explode(F.array(F.col("low") - half, F.col("low")))).where(f"low >= 0 and low + {have} <= octet_length(content)")
+        group = F.xxhash64("group", F.expr(f"substring(content, low + 1, {have})"))
+        # windows around [low, low + have) reach from low + have - length to low + length
+        cut = F.greatest(F.col("low") + have - length, F.lit(0))
+        part = sides.select("k", "h", "start", "low", "content", group.alias("group"), cut.alias("cut"))
+        part = part.select("k", "h", (F.col("start") + F.col("cut")).alias("start"), (F.col("low") - F.col("cut")).alias("low"), F.expr(f"substring(content, cut + 1, low - cut + {length})").alias("content"), "group")
+        part = stored(part.where(f"octet_length(content) >= {length}").withColumn("same", F.xxhash64("content", "low")).dropDuplicates(["k", "h", "start", "group", "same"]))
+        parts = part.groupBy("group", "same").agg(F.count("*").alias("times"), F.min(F.struct("k", "h", "start")).alias("one"))
+        again = parts.where("times > 1").select("group", "same")
+        spans.append(part.join(again, ["group", "same"]).select("k", "h", "start", (F.col("start") + F.octet_length("content")).alias("end")))
         if have >= length:
-            windows = sized.select("k", "h", (F.col("start") + F.col("low")).alias("start"), (F.col("start") + F.col("high")).alias("end"))
             break
-        small = small.unionByName(sized.where(F.col("size") <= SMALL_GROUP).select("k", "h", "start", "content", "group"))
-        now = stored(sized.where(F.col("size") > SMALL_GROUP))
-    return stored(small), windows
+        sizes = parts.groupBy("group").agg(F.count("*").alias("size")).where("size > 1")
+        chosen = parts.join(sizes, "group").select(F.col("group").alias("g"), F.col("same").alias("s"), "one", "size")
+        is_one = (F.col("group") == F.col("g")) & (F.col("same") == F.col("s")) & F.struct("k", "h", "start").eqNullSafe(F.col("one"))
+        sized = stored(part.join(chosen, is_one).select("k", "h", "start", "content", "group", "low", "size"))
+        small.append(sized.where(few).select("k", "h", "start", "content", "group"))
+        now = stored(sized.where(~few).drop("size"))
+    every, found = small[0], content.where("false").select("k", "h", "start", F.col("start").alias("end"))
+    for more in small[1:]:
+        every = every.unionByName(more)
+    for more in spans:
+        found = found.unionByName(more)
+    return stored(every), found
 
 
 def _sharded(small: DataFrame, shards: int, length: int, kind: str) -> DataFrame:
@@ -334,7 +350,7 @@ def texts_without_repeats(documents: DataFrame, length: int, key: str = "doc_id"
     return joined.mapInArrow(run, documents.schema)
 
 
-def without_repeats(documents: DataFrame, length: int = 400, key: str = "doc_id", text: str = "text") -> DataFrame:
+def without_repeats(documents: DataFrame, length: int = 400, key: str = "doc_id", text: str = "text", anchor: int = ANCHOR) -> DataFrame:
     """One row per document: key, n_bytes, spans (array of start, end; maximal
     removed runs) and kept (the remaining bytes).
 
@@ -342,7 +358,7 @@ def without_repeats(documents: DataFrame, length: int = 400, key: str = "doc_id"
     keys take part; an empty table gives no rows.  Other columns aren't read.
     """
     source = _source(documents, key, text)
-    spans = repeated_spans(documents, length, key, text).toDF("wk", "wh", "spans")
+    spans = repeated_spans(documents, length, key, text, anchor).toDF("wk", "wh", "spans")
     joined = source.join(spans, (F.col("h") == F.col("wh")) & F.col("k").eqNullSafe(F.col("wk")), "left").select("k", "t", "spans")
     kind = source.schema["k"].dataType.simpleString()
 
