@@ -282,7 +282,7 @@ def _sharded(small: DataFrame, shards: int, length: int, kind: str) -> DataFrame
         held: list[list] = []  # k, h, start, bytes: parts of the corpus that don't overlap
 
         def done() -> Iterator[pa.RecordBatch]:
-            found = shard_repeats([bytes(x[3]) for x in held], length) if len(held) > 1 else []
+            found = shard_repeats([bytes(x[3]) for x in held], length) if held else []
             if found:
                 rows = [(held[s][0], held[s][1], held[s][2] + a, held[s][2] + b) for s, a, b in found]
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (key_type, pa.int64(), pa.int64(), pa.int64()), strict=True)], names=["k", "h", "start", "end"])
