@@ -141,12 +141,13 @@ class RunIndex:
         bwt = data[order - 1]
         change = np.flatnonzero(bwt[1:] != bwt[:-1]) + 1
         self.symbols, self.heads = bwt[np.concatenate([[0], change])], np.concatenate([[0], change])
-        # between the runs, a suffix matches its neighbour on the other side of the border
-        upper, lower = order[change - 1], order[change]
+        # sampled places: those where two runs meet, and both sides of the whole text,
+        # before which there is nothing to take a match from
+        whole = int(np.flatnonzero(order == 0)[0])
+        border = np.unique(np.concatenate([change, [x for x in (whole, whole + 1) if 0 < x < n]])).astype(np.int64)
+        upper, lower = order[border - 1], order[border]
         lce = common_lengths(prefix_hash(data), upper, lower, n)
-        ends = np.array([order[0], order[-1]])
-        self.head_at, self.head_match = np.concatenate([lower, ends[:1]]), np.concatenate([lce, [0]])
-        self.tail_at, self.tail_match = np.concatenate([upper, ends[1:]]), np.concatenate([lce, [0]])
+        self.head_at, self.head_match, self.tail_at, self.tail_match = lower, lce, upper, lce
 
     def matches(self) -> np.ndarray:
         """Longest match of each position with any other, in text order."""
