@@ -47,11 +47,18 @@ def conversation_to_text(conversation: Column) -> Column:
 def render_chatml(
     conversation: Column, add_generation_prompt: bool = False, end_token: str = K.CHATML_END
 ) -> Column:
-    """Training text with chat markup; ``end_token`` closes each turn."""
+    """Training text with chat markup; ``end_token`` closes each turn.
+
+    A null role or content is written as empty text, so no turn is lost.
+    """
     turns = F.transform(
         conversation,
         lambda m: F.concat(
-            F.lit(K.CHATML_START), m["role"], F.lit("\n"), m["content"], F.lit(end_token + "\n")
+            F.lit(K.CHATML_START),
+            F.coalesce(m["role"], F.lit("")),
+            F.lit("\n"),
+            F.coalesce(m["content"], F.lit("")),
+            F.lit(end_token + "\n"),
         ),
     )
     text = F.array_join(turns, "")

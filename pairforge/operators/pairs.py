@@ -13,8 +13,6 @@ from pairforge.functions import chat
 from pairforge.functions.text import lookup
 from pairforge.schemas import CONVERSATION, PAIR_COLUMNS
 
-TURNS_PER_BLOCK = 4096
-
 
 def flatten_pairs(pairs: DataFrame, source: str = "metadata") -> DataFrame:
     """Nested pairs to flat rows.
@@ -87,17 +85,15 @@ def fold_turns(
     turn: str = "turn",
     role: str = "role",
     text: str = "text",
-    block_size: int = TURNS_PER_BLOCK,
+    block_size: int | None = None,
 ) -> DataFrame:
     """Conversation arrays from a turn-per-row table, in turn order.
 
-    ``block`` is 0 for any conversation shorter than ``block_size`` turns.  A
-    longer one continues in blocks 1, 2, ..., so that even a conversation with
-    a third of all turns is spread over tasks and no row holds more than
-    ``block_size`` messages.  ``turn`` numbers the turns of a conversation.
+    A conversation is one row.  With ``block_size``, for conversations that don't
+    fit one row, it continues in rows ``block`` 0, 1, 2, ... by turn number.
     """
     entry = F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("content"))
-    block = F.floor(F.col(turn) / F.lit(block_size)).cast("long")
+    block = F.floor(F.col(turn) / F.lit(block_size)).cast("long") if block_size else F.lit(0).cast("long")
     return (
         turns.groupBy(F.col(conv_id), block.alias("block"))
         .agg(F.array_sort(F.collect_list(entry)).alias("entries"))

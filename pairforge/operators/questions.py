@@ -11,7 +11,6 @@ from pairforge.functions.text import fill_template, lookup
 from pairforge.operators.pairs import system_message
 from pairforge.schemas import RAW_QUESTION
 
-QUESTIONS_PER_BLOCK = 4096
 
 
 def complete_questions(raw: DataFrame) -> DataFrame:
@@ -76,14 +75,15 @@ def nonempty_questions(bank: DataFrame) -> DataFrame:
 
 
 def questions_by_recipe(
-    bank: DataFrame, position: str = "position", block_size: int = QUESTIONS_PER_BLOCK
+    bank: DataFrame, position: str = "position", block_size: int | None = None
 ) -> DataFrame:
-    """Question lists per recipe in bank order, in blocks of bounded size.
+    """Question lists per recipe in bank order: one row per recipe.
 
-    ``position`` numbers the questions of a recipe.  Block 0 is the whole list
-    unless a recipe has more than ``block_size`` questions.
+    With ``block_size``, for lists that don't fit one row, a list continues in
+    rows ``block`` 0, 1, 2, ... by position.
     """
-    block = F.floor(F.col(position) / F.lit(block_size)).cast("long").alias("block")
+    block = F.floor(F.col(position) / F.lit(block_size)).cast("long") if block_size else F.lit(0).cast("long")
+    block = block.alias("block")
     entry = F.struct(
         F.col(position).alias("position"), "questions", "questions_category", "question_type"
     )

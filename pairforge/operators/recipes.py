@@ -74,9 +74,11 @@ def attach_responses(
 ) -> DataFrame:
     """Join model replies to requests; a missing reply becomes the fixed sentence.
 
-    ``responses`` has one row (recipe_id, question, chosen, rejected) per key.
+    Of several replies to one key the greatest (chosen, rejected) counts.
     """
-    joined = requests.join(responses.select(*PAIR_KEY, "chosen", "rejected"), PAIR_KEY, "left")
+    reply = F.max(F.struct("chosen", "rejected"))
+    one = responses.groupBy(*PAIR_KEY).agg(reply.alias("_reply")).select(*PAIR_KEY, "_reply.*")
+    joined = requests.join(one, PAIR_KEY, "left")
     if mark_fallback:
         joined = joined.withColumn(
             "is_fallback", F.col("chosen").isNull() | F.col("rejected").isNull()

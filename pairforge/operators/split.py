@@ -92,6 +92,10 @@ def train_test_split(
     into test with that probability, from its hash alone.  Rows that share a key
     always land on the same side.
     """
+    if not 0 <= test_size <= 1:
+        raise ValueError("test_size is a share from 0 to 1")
+    if test_size in (0, 1):
+        return rows.withColumn("split", F.lit("test" if test_size else "train"))
     hashed = order_hash(key, seed)
     if exact:
         cut = _cut_hash(rows.select(hashed.alias("h")), test_size)

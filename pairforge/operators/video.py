@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from pairforge import constants as K
 from pairforge.functions.urls import like_count, video_id
 
-SEGMENTS_PER_BLOCK = 65_536
 
 
 def _join_key(rows: DataFrame, key: Column) -> Column:
@@ -44,13 +43,14 @@ def attach_votes(
     return keyed.join(counts, "_video", "left").withColumn("votos", votes).drop("_video", "_likes")
 
 
-def transcripts(segments: DataFrame, block_size: int = SEGMENTS_PER_BLOCK) -> DataFrame:
+def transcripts(segments: DataFrame, block_size: int | None = None) -> DataFrame:
     """Segments (video_id, seq, text) joined by a space, in order.
 
-    A video with more than ``block_size`` segments continues in further blocks;
-    joining the blocks by a space, in order, gives the whole transcript.
+    A video is one row.  With ``block_size`` it continues in further blocks, which
+    joined by a space, in order, give the whole transcript.
     """
-    block = F.floor(F.col("seq") / F.lit(block_size)).cast("long").alias("transcript_block")
+    block = F.floor(F.col("seq") / F.lit(block_size)).cast("long") if block_size else F.lit(0).cast("long")
+    block = block.alias("transcript_block")
     ordered = F.array_sort(F.collect_list(F.struct("seq", "text")))
     return (
         segments.filter(F.col("video_id").isNotNull())
@@ -63,7 +63,7 @@ def attach_transcripts(
     recipes: DataFrame,
     segments: DataFrame,
     url: str = "youtube_url",
-    block_size: int = SEGMENTS_PER_BLOCK,
+    block_size: int | None = None,
 ) -> DataFrame:
     """Set ``youtube_transcript``, or the fixed text that says why there is none."""
     texts = transcripts(segments, block_size).withColumnRenamed("video_id", "_video")

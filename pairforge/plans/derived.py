@@ -14,7 +14,6 @@ from pairforge.functions.chat import message
 from pairforge.functions.text import sentences
 from pairforge.operators.pairs import to_conversations
 from pairforge.operators.questions import map_category, map_difficulty
-from pairforge.sources.readers import spread
 
 DEFAULT_SYSTEM = "Eres un chef experto."
 BANK_LABELS = [
@@ -58,8 +57,7 @@ SHARED_IMAGE = '<head><meta property="og:image" content="https://cdn.test/og{id}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(rows, "doc_id") if name == "documents" else rows
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _short_md5(key: str) -> Column:
@@ -83,7 +81,7 @@ def d_recipe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(
         key.alias("id"),
         F.concat(F.lit("Receta "), key.cast("string")).alias("nombre"),
-        F.slice(word_list, 1, 5).alias("ingredientes"),
+        word_list.alias("ingredientes"),
         sentences(F.col("text")).alias("pasos"),
         F.lit("30 min").alias("tiempo"),
         F.when(key % 11 != 0, "Media").alias("dificultad"),
@@ -108,26 +106,30 @@ def d_question(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def d_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs from conversations: first and second assistant turn.
+    """One pair per user turn of every conversation.
 
-    Only the first two turns per role leave each map task, so a conversation of
-    any length costs the shuffle no more than a short one.
+    The chosen reply is the assistant turn right after, the rejected one the next
+    assistant turn after that, and the system text the last one so far.  The key
+    of a pair, still called ``conv_id``, is conversation * 1000003 + turn.
     """
-    order = Window.partitionBy("conv_id", "role").orderBy("turn")
-    turns = (
+    order = Window.partitionBy("conv_id").orderBy("turn")
+    said = F.when(F.col("role") == "assistant", F.col("text"))
+    later = order.rowsBetween(2, Window.unboundedFollowing)
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    wide = (
         table(spark, sf_dir, "conversations")
-        .withColumn("rn", F.row_number().over(order))
-        .filter(F.col("rn") <= 2)
-    )
-
-    def pick(role: str, rank: int) -> Column:
-        return F.max(F.when((F.col("role") == role) & (F.col("rn") == rank), F.col("text")))
-
-    wide = turns.groupBy("conv_id").agg(
-        F.coalesce(pick("system", 1), F.lit(DEFAULT_SYSTEM)).alias("sys"),
-        pick("user", 1).alias("usr"),
-        pick("assistant", 1).alias("chosen"),
-        pick("assistant", 2).alias("rejected"),
+        .select(
+            (F.col("conv_id") * 1000003 + F.col("turn")).alias("conv_id"),
+            "role",
+            F.coalesce(
+                F.last(F.when(F.col("role") == "system", F.col("text")), ignorenulls=True).over(so_far),
+                F.lit(DEFAULT_SYSTEM),
+            ).alias("sys"),
+            F.col("text").alias("usr"),
+            F.lead(said).over(order).alias("chosen"),
+            F.first(said, ignorenulls=True).over(later).alias("rejected"),
+        )
+        .filter(F.col("role") == "user")
     )
     category = map_category(_bank_label("conv_id"))
     return wide.select(

@@ -103,7 +103,7 @@ _DECOR = [D.FEATURED if i == 4 else "" for i in range(6)]
 CTES = {
     "d_recipe": f"""
         select doc_id as id, 'Receta ' || doc_id as nombre,
-          regexp_extract_all(text, {lit(K.RX_WORD)})[1:5] as ingredientes, {sentences("text")} as pasos,
+          regexp_extract_all(text, {lit(K.RX_WORD)}) as ingredientes, {sentences("text")} as pasos,
           '30 min' as tiempo, case when doc_id % 11 <> 0 then 'Media' end as dificultad, '4' as racion,
           case when doc_id % 3 <> 0 then '200 kcal' end as valor_nutricional,
           case when doc_id % 7 <> 0 then source end as categoria,
@@ -114,17 +114,18 @@ CTES = {
           case when turn % 5 = 4 then '' else text end as questions, {label("conv_id")} as questions_category,
           {question_type("turn")} as question_type, turn as position
         from conversations where role = 'user'""",
-    "ranked_turns": """
-        select *, row_number() over (partition by conv_id, role order by turn) as rn from conversations""",
     "d_pair": f"""
-        select conv_id,
-          coalesce(max(case when role = 'system' and rn = 1 then text end), {lit(D.DEFAULT_SYSTEM)}) as sys,
-          max(case when role = 'user' and rn = 1 then text end) as usr,
-          max(case when role = 'assistant' and rn = 1 then text end) as chosen,
-          max(case when role = 'assistant' and rn = 2 then text end) as rejected,
-          case when conv_id % 10 <> 0 then conv_id end as recipe_id, 'Receta ' || conv_id as recipe_name,
-          {category(label("conv_id"))} as category, {question_type("conv_id")} as context
-        from ranked_turns group by conv_id""",
+        select conv_id, sys, usr, chosen, rejected, case when conv_id % 10 <> 0 then conv_id end as recipe_id,
+          'Receta ' || conv_id as recipe_name, {category(label("conv_id"))} as category,
+          {question_type("conv_id")} as context
+        from (select role, conv_id * 1000003 + turn as conv_id, text as usr,
+            coalesce(last_value(case when role = 'system' then text end ignore nulls) over (partition by conv_id
+              order by turn rows between unbounded preceding and current row), {lit(D.DEFAULT_SYSTEM)}) as sys,
+            lead(case when role = 'assistant' then text end) over (partition by conv_id order by turn) as chosen,
+            first_value(case when role = 'assistant' then text end ignore nulls) over (partition by conv_id
+              order by turn rows between 2 following and unbounded following) as rejected
+          from conversations)
+        where role = 'user'""",
     "d_session_pair": f"""
         select *, ([{_SESSIONS}])[conv_id % {len(D.SESSIONS)} + 1] as session_id,
           {difficulty("category")} as difficulty_level

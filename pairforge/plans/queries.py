@@ -155,7 +155,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     path = scratch_path(spark, "flat")
-    writers.write_parquet(pairs.flatten_pairs(D.d_pair(spark, sf_dir)), path, max_records=1000)
+    writers.write_parquet(pairs.flatten_pairs(D.d_pair(spark, sf_dir)), path)
     return spark.read.schema(schemas.FLAT_PAIR).parquet(path)
 
 
@@ -332,11 +332,11 @@ def _(spark, sf_dir):
 
 @query(
     "fold_turns",
-    """select conv_id, turn // 3 as block, count(*) as n_messages, string_agg(role, ',' order by turn) as roles,
-         string_agg(text, '|' order by turn) as content from conversations group by conv_id, turn // 3""",
+    """select conv_id, cast(0 as bigint) as block, count(*) as n_messages, string_agg(role, ',' order by turn) as roles,
+         string_agg(text, '|' order by turn) as content from conversations group by conv_id""",
 )
 def _(spark, sf_dir):
-    folded = pairs.fold_turns(D.table(spark, sf_dir, "conversations"), block_size=3)
+    folded = pairs.fold_turns(D.table(spark, sf_dir, "conversations"))
     return folded.select(
         "conv_id",
         "block",
@@ -741,12 +741,12 @@ def _(spark, sf_dir):
 
 @query(
     "questions_by_recipe",
-    """select recipe_id, position // 3 as block, count(*) as n_questions,
+    """select recipe_id, cast(0 as bigint) as block, count(*) as n_questions,
          string_agg(questions || '/' || question_type, '|' order by position) as question_list
-       from d_question where recipe_id <> 0 group by recipe_id, position // 3""",
+       from d_question where recipe_id <> 0 group by recipe_id""",
 )
 def _(spark, sf_dir):
-    grouped = questions.questions_by_recipe(D.d_question(spark, sf_dir), block_size=3)
+    grouped = questions.questions_by_recipe(D.d_question(spark, sf_dir))
     entry = F.transform("question_list", lambda q: F.concat(q["questions"], F.lit("/"), q["question_type"]))
     return grouped.select("recipe_id", "block", "n_questions", F.array_join(entry, "|").alias("question_list"))
 
@@ -1372,7 +1372,7 @@ def _(spark, sf_dir):
 
 def _staged_pairs(spark, sf_dir) -> str:
     path = scratch_path(spark, "incoming")
-    D.d_pair(spark, sf_dir).select(*schemas.PAIR_COLUMNS).repartition(3, "chosen").write.json(path)
+    D.d_pair(spark, sf_dir).select(*schemas.PAIR_COLUMNS).write.json(path)
     return path
 
 
@@ -1417,7 +1417,7 @@ def _(spark, sf_dir):
     found = D.d_page(spark, sf_dir)
     # every address arrives twice, the second time under another page id
     again = found.withColumn("page_id", F.col("page_id") + 10_000_000)
-    found.unionByName(again).repartition(2, "page_id").write.parquet(incoming)
+    found.unionByName(again).write.parquet(incoming)
     streams.stream_pages(spark, incoming, out, scratch_path(spark, "state"), max_files=1)
     return spark.read.parquet(f"{out}/records").select("url", "title")
 

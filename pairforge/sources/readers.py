@@ -13,15 +13,6 @@ from pairforge.functions.text import strip
 CORRUPT = "_corrupt_record"
 
 
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """Give every core work when a file scan yields fewer tasks than there are cores.
-
-    A table of any size has more splits than that and is returned unchanged.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(key) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def read_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Files that each hold one JSON array of records.
 

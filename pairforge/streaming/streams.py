@@ -79,8 +79,9 @@ def stream_flatten(
 
 
 def _first_of_each_url(pages: DataFrame) -> DataFrame:
-    """One page per address; only ids are grouped, the page text is not moved."""
-    first = pages.groupBy("url").agg(F.min("page_id").alias("page_id"))
+    """One page per address, and all pages without one; only ids are grouped."""
+    own = F.when(F.col("url").isNull(), F.col("page_id"))
+    first = pages.groupBy("url", own).agg(F.min("page_id").alias("page_id"))
     return pages.join(first.select("page_id"), "page_id", "left_semi")
 
 
