@@ -65,7 +65,8 @@ class FMIndex:
         counts = np.bincount(symbols, minlength=1 << self.bits)
         self.below = np.concatenate([[0], np.cumsum(counts)])
         self.tree = WaveletTree(self.bwt, self.bits)
-        self.sampled = order % SAMPLE == 0
+        # no walk crosses a separator: separators are all alike, so their order says nothing
+        self.sampled = (order % SAMPLE == 0) | (self.bwt == 0)
         self.sample_rank = np.concatenate([[0], np.cumsum(self.sampled)])
         self.samples = order[self.sampled]
 
