@@ -16,10 +16,15 @@ RX_TOKEN_SPACED = r"(?:[\p{L}\p{N}]+|[^\s\p{L}\p{N}])\s*"
 RX_WORD = r"[\p{L}\p{N}]+"
 RX_LETTER_RUNS = r"[\p{L}]+|[^\p{L}]+"
 RX_SENTENCE = r"[^.!?]+[.!?]*"
-RX_HTML = r"<[^>]*>|[^<]+"
+# a tag (a quoted value may hold >), or text (a < that starts no tag belongs to it)
+RX_HTML_TOKEN_START = r"^<[a-zA-Z/!?]"
+RX_HTML = (
+    r"""<[a-zA-Z/!?][^'">]*(?:(?:"[^"]*"|'[^']*')[^'">]*)*>|<[a-zA-Z/!?][^>]*>"""
+    r"""|[^<]+(?:<[^a-zA-Z/!?<][^<]*)*|<[^a-zA-Z/!?<][^<]*(?:<[^a-zA-Z/!?<][^<]*)*|<"""
+)
 RX_HTML_HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 RX_HTML_TAG = r"^</?([a-zA-Z][a-zA-Z0-9]*)"
-RX_NUMBER_ENTITY = r"&#[0-9]{1,7};|[^&]+|&"
+RX_REFERENCE = r"&#[0-9]{1,7};|&#[xX][0-9a-fA-F]{1,6};|&[a-zA-Z][a-zA-Z0-9]*;|[^&]+|&"
 RX_ARRAY_SLICE = r"(?s)\[.*\]"
 RX_EMBED = r"embed/([a-zA-Z0-9_-]+)"
 RX_PLAIN_VIDEO = r"(?:v=|youtu\.be/)([a-zA-Z0-9_-]+)"
@@ -123,7 +128,7 @@ CHATML_START = "<|im_start|>"
 CHATML_END = "<|im_end|>"
 CHATML_OPENER = "<|im_start|>assistant\n"
 
-# --- named entities decoded in page text ------------------------------------
+# --- named entities in the pages of the registered queries ------------------------------------
 ENTITIES = {
     "&amp;": "&",
     "&lt;": "<",

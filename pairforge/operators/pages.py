@@ -10,6 +10,8 @@ next block tag; text of a nested list item belongs to the nested item only.
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -48,43 +50,33 @@ class PageRules:
     instruction_markers: tuple[str, ...] = K.INSTRUCTION_MARKERS
 
 
-def _decode_numbers(text: Column) -> Column:
-    """Decimal character references; pieces of any other kind stay as they are."""
-
-    def decoded(piece: Column) -> Column:
-        code = F.regexp_extract(piece, r"^&#([0-9]{1,7});$", 1).try_cast("int")
-        return let(
-            code,
-            lambda n: F.when(
-                n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF),
-                F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "utf-32"),
-            ).otherwise(piece),
-        )
-
-    pieces = F.regexp_extract_all(text, F.lit(K.RX_NUMBER_ENTITY), F.lit(0))
-    return F.array_join(F.transform(pieces, decoded), "")
+def _named() -> Column:
+    """The named references of HTML 4 with their characters."""
+    return F.create_map(*[F.lit(x) for name, code in name2codepoint.items() for x in (f"&{name};", chr(code))], F.lit("&apos;"), F.lit("'"))
 
 
 def decode_entities(text: Column) -> Column:
-    """Named and decimal character references, each decoded once.
+    """Named, decimal and hexadecimal character references, each decoded once.
 
-    The ampersand comes last, so that nothing it uncovers is decoded again.
+    A reference to no character stays as it is.
     """
-    entities = sorted(K.ENTITIES.items(), key=lambda entity: entity[1] == "&")
-    names = F.split(F.lit(" ".join(name for name, _ in entities)), " ")
-    chars = F.split(F.lit(" ".join(char for _, char in entities)), " ")
-
-    def decoded(raw: Column) -> Column:
-        plain_amp = F.replace(raw, F.lit("&#38;"), F.lit("&amp;"))
-        numbered = F.when(F.contains(raw, F.lit("&#")), _decode_numbers(plain_amp)).otherwise(raw)
-        named = F.aggregate(
-            F.sequence(F.lit(0), F.lit(len(entities) - 1)),
-            numbered,
-            lambda done, i: F.replace(done, F.get(names, i), F.get(chars, i)),
+    named = _named()
+
+    def decoded(piece: Column) -> Column:
+        decimal = F.regexp_extract(piece, r"^&#([0-9]{1,7});$", 1).try_cast("int")
+        hexadecimal = F.conv(F.nullif(F.regexp_extract(piece, r"^&#[xX]([0-9a-fA-F]{1,6});$", 1), F.lit("")), 16, 10)
+        number = let(
+            F.coalesce(decimal, hexadecimal.try_cast("int")),
+            lambda n: F.when(
+                n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF),
+                F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "utf-32"),
+            ),
         )
-        return F.when(F.contains(raw, F.lit("&")), named).otherwise(raw)
+        char = F.when(F.startswith(piece, F.lit("&#")), number).otherwise(F.try_element_at(named, piece))
+        return F.when(F.startswith(piece, F.lit("&")), F.coalesce(char, piece)).otherwise(piece)
 
-    return let(text, decoded)
+    pieces = F.regexp_extract_all(text, F.lit(K.RX_REFERENCE), F.lit(0))
+    return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(pieces, decoded), "")).otherwise(text)
 
 
 def attribute(attrs: Column, name: str) -> Column:
@@ -106,7 +98,7 @@ def _tokens(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         F.posexplode_outer(F.regexp_extract_all(visible, F.lit(K.RX_HTML), F.lit(0))).alias("pos", "token"),
     )
     pos, token = F.coalesce("pos", F.lit(0)), F.coalesce("token", F.lit(""))
-    is_tag = F.startswith(token, F.lit("<"))
+    is_tag = F.rlike(token, F.lit(K.RX_HTML_TOKEN_START))
     kind = (
         F.when(~is_tag, F.lit("text")).when(F.startswith(token, F.lit("</")), F.lit("close")).otherwise("open")
     )

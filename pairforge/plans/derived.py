@@ -42,7 +42,7 @@ DECOR = [
     '<a href="https://site.test/r/{id}">r</a><a href="https://site.test/r/{id}#comments">c</a>'
     '<a href="https://other.test/{id}">o</a><a href="https://site.test/all?a=1&amp;b=2">all</a>',
     "<p>Se necesita {id}:</p><p>harina {id}, huevos\nleche, http://a.test/{id}</p>"
-    "<h3>Cómo hacer</h3><p>Mezclar {id}.</p><p> </p><p>Hornear.</p><div>fin</div><p>No cuenta</p>"
+    "<h3>Cómo hacer</h3><p title='x > y'>Mezclar a < 180 {id}.</p><p> </p><p>Hornear.</p><div>fin</div><p>No cuenta</p>"
     '<iframe src="https://www.youtube.com/embed/v{id}?feature=oembed"></iframe>'
     '<a href="https://site.test/all">all</a>',
     '<p><b>Elaboración {id}</b></p><iframe src="https://other.test/embed/v"></iframe>'

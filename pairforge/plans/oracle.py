@@ -100,6 +100,9 @@ _P_ENDS = ", ".join(lit(tag) for tag in PARAGRAPH_ENDS)
 _SESSIONS = ", ".join(lit(s) for s in D.SESSIONS)
 _DECOR = [D.FEATURED if i == 4 else "" for i in range(6)]
 
+# markup pieces, written apart from the pattern that the operators use
+_MARKUP = r"""<[[:alpha:]/!?](?:"[^"]*"|'[^']*'|[^'">])*>|<[[:alpha:]/!?][^>]*>|(?:[^<]|<[^[:alpha:]/!?<])+|<"""
+
 CTES = {
     "d_recipe": f"""
         select doc_id as id, 'Receta ' || doc_id as nombre,
@@ -165,16 +168,16 @@ CTES = {
     "raw_tokens": f"""
         select page_id, i as pos, l[i + 1] as token
         from (select page_id, regexp_extract_all(
-                regexp_replace(html, {lit(K.RX_HTML_HIDDEN)}, '', 'g'), {lit(K.RX_HTML)}) as l from d_page),
+                regexp_replace(html, {lit(K.RX_HTML_HIDDEN)}, '', 'g'), {lit(_MARKUP)}) as l from d_page),
           unnest(range(len(l))) as t(i)""",
     "tok": f"""
         select page_id, pos,
-          case when token[1] <> '<' then 'text' when token[1:2] = '</' then 'close' else 'open' end as kind,
+          case when not is_tag then 'text' when token[1:2] = '</' then 'close' else 'open' end as kind,
           lower(regexp_extract(token, {lit(K.RX_HTML_TAG)}, 1)) as tag,
-          case when token[1] = '<' and token[1:2] <> '</'
+          case when is_tag and token[1:2] <> '</'
             then regexp_extract(token, '(?s)^<[a-zA-Z][a-zA-Z0-9]*(.*?)/?>$', 1) else '' end as attrs,
-          case when token[1] <> '<' then {decode("token")} else '' end as text
-        from raw_tokens""",
+          case when not is_tag then {decode("token")} else '' end as text
+        from (select *, regexp_matches(token, '^<[[:alpha:]/!?]') as is_tag from raw_tokens)""",
     "content_start": f"""
         select page_id, min(pos) as c0 from tok
         where kind = 'open' and tag = 'div'
