@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pairforge.constants import MAX_TOKENS
 from pairforge.functions.chat import conversation_to_text
@@ -14,8 +15,16 @@ MEASURED = ("chosen_text", "rejected_text", "chosen_length", "rejected_length")
 
 
 def with_lengths(pairs: DataFrame, counter: str | TokenCounter = "regex") -> DataFrame:
-    """Add text and token length of both sides; computed once, used by all below."""
-    with_text = pairs.withColumns({f"{s}_text": conversation_to_text(F.col(s)) for s in SIDES})
+    """Add text and token length of both sides.
+
+    A side is a conversation, or a text, which counts as it is (null: empty).
+    """
+
+    def side(name: str) -> Column:
+        plain = isinstance(pairs.schema[name].dataType, T.StringType)
+        return F.coalesce(F.col(name), F.lit("")) if plain else conversation_to_text(F.col(name))
+
+    with_text = pairs.withColumns({f"{s}_text": side(s) for s in SIDES})
     return with_text.withColumns(
         {f"{s}_length": token_count(F.col(f"{s}_text"), counter) for s in SIDES}
     )

@@ -736,6 +736,16 @@ def _(spark, sf_dir):
     return rows.select("questions", "category", "message_type", "difficulty")
 
 
+@query(
+    "string_conversations",
+    f"""select conv_id, {O.tokens("coalesce(chosen, '')")} as chosen_length,
+         {O.tokens("coalesce(rejected, '')")} as rejected_length from d_pair""",
+)
+def _(spark, sf_dir):
+    measured = lengths.with_lengths(D.d_pair(spark, sf_dir))
+    return measured.select("conv_id", "chosen_length", "rejected_length")
+
+
 # --- aggregates -----------------------------------------------------------------
 
 

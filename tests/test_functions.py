@@ -50,71 +50,61 @@ def test_token_count_and_custom_counter(spark):
     assert values(spark, texts, lambda c: text.token_count(c, factory)) == [len(t) for t in texts]
 
 
+def test_references_of_any_kind(spark):
+    texts = ["&eacute;&#233;&#xE9;&#Xe9;", "&euro;&nope;&", "&amp;lt; &#38;amp;", "&#0; &#x110000;", "a &apos; b"]
+    assert values(spark, texts, decode_entities) == ["éééé", "€&nope;&", "&lt; &amp;", "&#0; &#x110000;", "a ' b"]
+
+
 def test_fill_template_is_null_when_a_field_is(spark):
     got = values(spark, ["x", None], lambda c: text.fill_template("a {v} {v}!", {"v": c}))
     assert got == ["a x x!", None]
 
 
-FENCED = ['```json\n[1]\n```', "```\n[1]```", "[1]\n```", "  [1]  ", "```json```", "plain", "`` [1]"]
-
-
-def _strip_fence(value: str) -> str:
-    value = value.strip()
-    for fence in ("```json", "```"):
-        if value.startswith(fence):
-            value = value[len(fence) :]
-            break
-    return value.removesuffix("```").strip()
+# reply, and what is left of it
+FENCED = {
+    "```json\n[1]\n```": "[1]",
+    "```\n[1]```": "[1]",
+    "[1]\n```": "[1]",
+    "  [1]  ": "[1]",
+    "```json```": "",
+    "plain": "plain",
+    "`` [1]": "`` [1]",
+}
 
 
 def test_strip_code_fence(spark):
-    got = values(spark, FENCED, replies.strip_code_fence)
-    assert got == [_strip_fence(v) for v in FENCED]
+    got = values(spark, list(FENCED), replies.strip_code_fence)
+    assert got == list(FENCED.values())
     assert values(spark, got, replies.strip_code_fence) == got
 
 
-REPLIES = [
-    '[{"question":"a"}]',
-    '{"question":"a"}',
-    'Claro: [{"question":"a","category":"c"}] listo',
-    '[{"question":"a"}] y [{"question":"b"}]',
-    "] nada [",
-    '[{"question":"a",}]',
-    '[{"question":"a"},]',
-    "sin json",
-    "[]",
-    '"texto [1]"',
-    '[1, 2] tail',
-    '[{"question":"a"}',
-    '{"q": [ {"question":"z"} ]}',
-    '{"bad": [ {"question":"z"} ] x',
-    "[{'question':'a'}]",
-    '[{"category":"c"}, {"question":"q2"}]',
-    '[1], "w": [2]',
-    '[1]] [[2]',
-    'x [1] {"v": [2]} ] y',
-]
-
-
-def _elements(reply: str) -> list:
-    cleaned = _strip_fence(reply)
-    try:
-        data = json.loads(cleaned)
-        return data if isinstance(data, list) else []
-    except json.JSONDecodeError:
-        start, end = cleaned.find("["), cleaned.rfind("]")
-        if start == -1 or end <= start:
-            return []
-        try:
-            data = json.loads(cleaned[start : end + 1])
-        except json.JSONDecodeError:
-            return []
-        return data if isinstance(data, list) else []
-
-
-def test_reply_elements_match_json_loads(spark):
-    got = values(spark, REPLIES, replies.reply_elements)
-    assert [[json.loads(e) for e in row] for row in got] == [_elements(r) for r in REPLIES]
+# reply, and the elements of its array
+REPLIES = {
+    '[{"question":"a"}]': [{"question": "a"}],
+    '{"question":"a"}': [],
+    'Claro: [{"question":"a","category":"c"}] listo': [{"question": "a", "category": "c"}],
+    '[{"question":"a"}] y [{"question":"b"}]': [],
+    "] nada [": [],
+    '[{"question":"a",}]': [],
+    '[{"question":"a"},]': [],
+    "sin json": [],
+    "[]": [],
+    '"texto [1]"': [],
+    "[1, 2] tail": [1, 2],
+    '[{"question":"a"}': [],
+    '{"q": [ {"question":"z"} ]}': [],
+    '{"bad": [ {"question":"z"} ] x': [{"question": "z"}],
+    "[{'question':'a'}]": [],
+    '[{"category":"c"}, {"question":"q2"}]': [{"category": "c"}, {"question": "q2"}],
+    '[1], "w": [2]': [],
+    "[1]] [[2]": [],
+    'x [1] {"v": [2]} ] y': [],
+}
+
+
+def test_reply_elements(spark):
+    got = values(spark, list(REPLIES), replies.reply_elements)
+    assert [[json.loads(e) for e in row] for row in got] == list(REPLIES.values())
 
 
 def test_lenient_parsing_keeps_trailing_commas(spark):

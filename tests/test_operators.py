@@ -299,3 +299,25 @@ def test_shared_image_and_lists_without_items(spark):
     assert got[0]["image_url"] == "http://x/og.png"
     assert got[1]["ingredients"] == ["pan", "sal"]
     assert got[2]["image_url"] == ""
+
+
+def test_one_row_per_group_of_any_length(spark):
+    turns = spark.range(4100).selectExpr("1L as conv_id", "id + 7 as turn", "'user' as role", "cast(id as string) as text")
+    assert [r["n"] for r in pairs.fold_turns(turns).selectExpr("size(conversation) as n").collect()] == [4100]
+    parts = spark.range(65_540).selectExpr("'v' as video_id", "id as seq", "'x' as text")
+    assert video.transcripts(parts).selectExpr("length(transcript) as n").first()["n"] == 2 * 65_540 - 1
+
+
+def test_split_shares_at_the_ends(spark):
+    rows = spark.range(50)
+    for exact in (True, False):
+        for share, side in ((0, "train"), (1.0, "test")):
+            assert {r["split"] for r in split.train_test_split(rows, "id", share, exact=exact).collect()} == {side}
+    with pytest.raises(ValueError):
+        split.train_test_split(rows, "id", 1.2)
+
+
+def test_several_replies_make_one_pair(spark):
+    asked = spark.createDataFrame([(1, "q")], "recipe_id long, question string")
+    said = spark.createDataFrame([(1, "q", "a", "b"), (1, "q", "c", "d")], "recipe_id long, question string, chosen string, rejected string")
+    assert [(r["chosen"], r["rejected"]) for r in recipes.attach_responses(asked, said).collect()] == [("c", "d")]
