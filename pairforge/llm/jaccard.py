@@ -37,7 +37,7 @@ LEAF_POINTS, LEAF_SHINGLES = 1024, 4_000_000
 #: Cells per split, and splits before blocks.
 PIVOTS, DEPTH = 8, 4
 #: Classes of a sketch, and flags of the filter on texts (2^20).
-SKETCH, FILTER_BITS = 64, 20
+SKETCH, FILTER_BITS = 256, 20
 #: Counters of the shingle frequencies that set the order (2^17 of them).
 FREQUENCY_BITS = 17
 
@@ -56,7 +56,7 @@ def sketch(shingles: np.ndarray) -> bytes:
     """Shingles per class of their hash.  The sum of the differences between two
     sketches is at most the size of the symmetric difference of the sets."""
     counts = np.bincount((shingles & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
-    return np.minimum(counts, 0xFFFF).astype("<u2").tobytes()
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
 class Forest:
@@ -200,7 +200,7 @@ def _with_partner(members: DataFrame, one: DataFrame, threshold: int) -> DataFra
     dealt = sized.where(small).select("region", "point", "n", "sketch").repartition("region").sortWithinPartitions("region")
 
     def possible(n: list[int], sketches: list[bytes]) -> np.ndarray:
-        counts = np.frombuffer(b"".join(sketches), "<u2").reshape(-1, SKETCH).astype(np.int32)
+        counts = np.frombuffer(b"".join(sketches), np.uint8).reshape(-1, SKETCH).astype(np.int16)
         total = np.array(n, np.int64)
         good = np.zeros(len(n), bool)
         for i in range(len(n)):
