@@ -8,9 +8,11 @@ import uuid
 import zipfile
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Text handed to one numpy step; working arrays take some eight times as much.
 STEP_BYTES = 1 << 20
@@ -72,6 +74,32 @@ def with_texts(batch: pa.RecordBatch, column: str, texts: list[bytes | None]) ->
     return batch.set_column(at, batch.schema.field(at), pa.array(texts, pa.binary()).cast(kind))
 
 
+#: Flags of the filter below.
+FILTER_BITS = 20
+
+
+def hash_flags(hashes: DataFrame) -> np.ndarray:
+    """2^20 flags of the leading bits of a column of long hashes (the only one)."""
+    name = hashes.columns[0]
+    flags = np.zeros(1 << FILTER_BITS, bool)
+    for row in hashes.select(F.shiftrightunsigned(name, 64 - FILTER_BITS).cast("int").alias("flag")).distinct().collect():
+        flags[row["flag"]] = True
+    return flags
+
+
+def by_flag(frame: DataFrame, column: str, flags: np.ndarray, flagged: bool) -> DataFrame:
+    """The rows whose long hash may be among those of the flags, or the rows whose
+    hash surely is not; it spares a join most of its other rows."""
+    shared = frame.sparkSession.sparkContext.broadcast(flags)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = batch.column(column).to_numpy(zero_copy_only=False).view(np.uint64)
+            yield batch.filter(pa.array(shared.value[(h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] == flagged))
+
+    return frame.mapInArrow(run, frame.schema)
+
+
 _SHIPPED: set[str] = set()
 
 

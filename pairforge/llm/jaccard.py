@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairforge.llm.common import raw_texts, slices, stored
+from pairforge.llm.common import by_flag, hash_flags, raw_texts, slices, stored
 from pairforge.llm.components import components
 from pairforge.llm.shingles import set_id, shingle_sets
 
@@ -36,8 +36,8 @@ from pairforge.llm.shingles import set_id, shingle_sets
 LEAF_POINTS, LEAF_SHINGLES = 1024, 4_000_000
 #: Cells per split, and splits before blocks.
 PIVOTS, DEPTH = 8, 4
-#: Classes of a sketch, and flags of the filter on texts (2^20).
-SKETCH, FILTER_BITS = 256, 20
+#: Classes of a sketch.
+SKETCH = 256
 #: Counters of the shingle frequencies that set the order (2^17 of them).
 FREQUENCY_BITS = 17
 
@@ -135,7 +135,7 @@ def near_duplicates(documents: DataFrame, words: int, threshold: int, key: str =
     one = stored(one.join(members.select("point").distinct(), "point", "left_semi"))
     members = stored(_with_partner(members, one, threshold))
     one = stored(one.join(members.select("point").distinct(), "point", "left_semi").select("point", "one"))
-    edges = stored(_all_links(members, _texts_of(source, one, kind), words, threshold))
+    edges = stored(_all_links(members, _texts_of(source, one), words, threshold))
     label = components(edges)
 
     each = points.where("n > 0").groupBy("point").agg(F.min("k").alias("least"))
@@ -235,24 +235,13 @@ def _with_partner(members: DataFrame, one: DataFrame, threshold: int) -> DataFra
     return dealt.mapInArrow(run, "region long, point long, n long").unionByName(sized.where(~small).select("region", "point", "n"))
 
 
-def _texts_of(source: DataFrame, one: DataFrame, kind: str) -> DataFrame:
+def _texts_of(source: DataFrame, one: DataFrame) -> DataFrame:
     """The text of one document per point.
 
-    A filter of at most 2^20 flags, made of the wanted text hashes, keeps most
-    other texts from being moved; the join is exact.
+    A filter keeps most other texts from being moved; the join is exact.
     """
     wanted = one.select("point", F.col("one.k").alias("wk"), F.col("one.h").alias("wh"))
-    flags = np.zeros(1 << FILTER_BITS, bool)
-    for row in wanted.select(F.shiftrightunsigned("wh", 64 - FILTER_BITS).cast("int").alias("flag")).distinct().collect():
-        flags[row["flag"]] = True
-    shared = source.sparkSession.sparkContext.broadcast(flags)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            h = batch.column("h").to_numpy(zero_copy_only=False).view(np.uint64)
-            yield batch.filter(pa.array(shared.value[(h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]))
-
-    some = source.where("t is not null").mapInArrow(run, f"k {kind}, t string, h long")
+    some = by_flag(source.where("t is not null"), "h", hash_flags(wanted.select("wh")), True)
     return some.join(wanted, (F.col("h") == F.col("wh")) & F.col("k").eqNullSafe(F.col("wk"))).select("point", "t")
 
 

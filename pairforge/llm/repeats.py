@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairforge.llm.common import raw_texts, slices, stored, with_texts
+from pairforge.llm.common import by_flag, hash_flags, raw_texts, slices, stored, with_texts
 from pairforge.llm.shingles import POWERS, mixed, prefix_hash
 
 ANCHOR = 64
@@ -228,7 +228,9 @@ def _source(documents: DataFrame, key: str, text: str) -> DataFrame:
 def _contents(source: DataFrame, contexts: DataFrame, kind: str) -> DataFrame:
     """The bytes of contexts.  A document has all of its contexts in one row."""
     wanted = contexts.groupBy("k", "h").agg(F.collect_list(F.struct("anchor", "variants", "start", "end", "place")).alias("list")).toDF("wk", "wh", "list")
-    one = source.join(wanted, (F.col("h") == F.col("wh")) & F.col("k").eqNullSafe(F.col("wk"))).select("k", "h", "t", "list")
+    wanted = stored(wanted)
+    some = by_flag(source, "h", hash_flags(wanted.select("wh")), True)
+    one = some.join(wanted, (F.col("h") == F.col("wh")) & F.col("k").eqNullSafe(F.col("wk"))).select("k", "h", "t", "list")
     # rows repeated as a whole give the same contexts again
     slim = one.select("k", "h", F.explode("list").alias("c"), "t").select("k", "h", "c.*", F.expr("substring(cast(t as binary), cast(c.start + 1 as int), cast(c.end - c.start as int))").alias("content"))
     return slim.dropDuplicates(["k", "h", "anchor", "place"])
@@ -333,13 +335,23 @@ def _whole_characters(text: bytes, runs: list[tuple[int, int]]) -> list[tuple[in
     return out
 
 
+def _with_spans(rows: DataFrame, spans: DataFrame, key: str, text_hash: str) -> DataFrame:
+    """The rows with their spans as ``__spans``.  Rows whose text surely has none
+    are not moved for it."""
+    spans = stored(spans.toDF("__k", "__h", "__spans"))
+    flags = hash_flags(spans.select("__h"))
+    same = (F.col(text_hash) == F.col("__h")) & F.col(key).eqNullSafe(F.col("__k"))
+    some = by_flag(rows, text_hash, flags, True).join(spans, same, "left").drop("__k", "__h")
+    none = F.lit(None).cast(spans.schema["__spans"].dataType)
+    return some.unionByName(by_flag(rows, text_hash, flags, False).withColumn("__spans", none))
+
+
 def texts_without_repeats(documents: DataFrame, length: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with their repeats taken out of the text, character-wise;
     those of which nothing but white space is left then go.  Other columns, and
     documents without repeats, stay as they are."""
-    spans = repeated_spans(documents, length, key, text).toDF("__k", "__h", "__spans")
-    same = (F.xxhash64(F.coalesce(documents[text], F.lit(""))) == F.col("__h")) & documents[key].eqNullSafe(F.col("__k"))
-    joined = documents.join(spans, same, "left").drop("__k", "__h")
+    hashed = documents.withColumn("__hash", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    joined = _with_spans(hashed, repeated_spans(documents, length, key, text), key, "__hash").drop("__hash")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
@@ -359,8 +371,7 @@ def without_repeats(documents: DataFrame, length: int = 400, key: str = "doc_id"
     keys take part; an empty table gives no rows.  Other columns aren't read.
     """
     source = _source(documents, key, text)
-    spans = repeated_spans(documents, length, key, text, anchor).toDF("wk", "wh", "spans")
-    joined = source.join(spans, (F.col("h") == F.col("wh")) & F.col("k").eqNullSafe(F.col("wk")), "left").select("k", "t", "spans")
+    joined = _with_spans(source, repeated_spans(documents, length, key, text, anchor), "k", "h").select("k", "t", F.col("__spans").alias("spans"))
     kind = source.schema["k"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
