@@ -646,10 +646,10 @@ def _(spark, sf_dir):
 
 @query(
     "row_by_index",
-    "select conv_id, chosen_text, rejected_text, chosen_length, rejected_length from measured where conv_id = 7",
+    "select conv_id, chosen_text, rejected_text, chosen_length, rejected_length from measured where conv_id = 8 * 1000003",
 )
 def _(spark, sf_dir):
-    return lengths.example_detail(_measured(spark, sf_dir), "conv_id", 7)
+    return lengths.example_detail(_measured(spark, sf_dir), "conv_id", 8 * 1000003)
 
 
 # --- joins ----------------------------------------------------------------------
