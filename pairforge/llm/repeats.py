@@ -78,15 +78,17 @@ def anchors(texts: list[bytes], length: int, anchor: int = ANCHOR) -> tuple[np.n
     return np.array(some)[text], place - at, start - at, end - at, grams[place], context
 
 
-def _pieces(text: bytes, length: int) -> Iterator[tuple[int, int, int, bytes]]:
-    """Cut a long text into (offset, first and last window start, bytes), so that
-    each window start has its anchors' contexts at hand."""
-    if len(text) <= 2 * PIECE:
+def _pieces(text: bytes, length: int, size: int | None = None) -> Iterator[tuple[int, int, int, bytes]]:
+    """Cut a long text into (offset, first place and end of the places that are the
+    piece's own, bytes).  The margins are context only, so that each anchor comes
+    from one piece, with all of its windows at hand."""
+    size = size or PIECE
+    if len(text) <= 2 * size:
         yield 0, 0, len(text), text
         return
-    for a in range(0, len(text), PIECE):
+    for a in range(0, len(text), size):
         low = max(0, a - 2 * length)
-        yield low, a, a + PIECE, text[low : a + PIECE + 2 * length]
+        yield low, a, a + size, text[low : a + size + 2 * length]
 
 
 def suffix_order(data: np.ndarray) -> np.ndarray:
@@ -191,15 +193,16 @@ def repeated_spans(documents: DataFrame, length: int = 400, key: str = "doc_id",
     source = _source(documents, key, text)
     kind = source.schema["k"].dataType.simpleString()
     where = ["k", "h", "start", "end"]
+    size = PIECE  # as it is here, not where the tasks run
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "t"):
             texts, cut = raw_texts(batch.column("t")), []
             for i, t in enumerate(texts):
-                cut += [(i, *p) for p in _pieces(t or b"", length)]
+                cut += [(i, *p) for p in _pieces(t or b"", length, size)]
             found = anchors([c[4] for c in cut], length, anchor)
             row, low, a, b = (np.array([c[j] for c in cut], np.int64)[found[0]] for j in range(4))
-            keep = (found[1] + low + min(anchor, length) > a) & (found[1] + low < b + length)
+            keep = (found[1] + low >= a) & (found[1] + low < b)
             row = pa.array(row[keep])
             columns = [pa.array((found[j] + low)[keep]) for j in (1, 2, 3)] + [pa.array(found[j][keep].view(np.int64)) for j in (4, 5)]
             yield pa.RecordBatch.from_arrays([batch.column("k").take(row), batch.column("h").take(row), *columns], names=[*where[:2], "place", *where[2:], "anchor", "context"])

@@ -274,6 +274,21 @@ def test_repeats(spark, empty, monkeypatch, group, shard):
     assert repeats.without_repeats(empty).count() == 0
 
 
+@pytest.mark.parametrize("length", [12, 90])
+def test_repeats_in_pieces(spark, monkeypatch, length):
+    """What stands once is no repeat where a long text is cut; what stands twice is."""
+    monkeypatch.setattr(repeats, "PIECE", 300)
+    draw = random.Random(5)
+    long = ["".join(draw.choice("abcdefgh") for _ in range(n)) for n in (599, 601, 1500, 2000)]
+    texts = [*long, long[2][250:400] + "zz" + long[3][550:950], long[3] + long[3][:700], "é" * 700]
+    docs = documents(spark, texts)
+    docs = docs.unionByName(docs.where("doc_id = 1"))
+    for frame in (docs, documents(spark, long[2:])):
+        rows = repeats.without_repeats(frame, length, anchor=8).collect()
+        got = collections.Counter((r["doc_id"], r["n_bytes"], len(r["spans"]), hashlib.sha256(bytes(r["kept"])).hexdigest()) for r in rows)
+        assert got == brute_repeats(frame.select("doc_id", "text").collect(), length)
+
+
 def test_run_index_in_pieces(monkeypatch):
     monkeypatch.setattr(repeats, "PIECE", 100)
     draw = random.Random(8)
