@@ -6,7 +6,7 @@ inputs in SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from pairforge.constants import RX_WORD
@@ -14,6 +14,7 @@ from pairforge.functions.chat import message
 from pairforge.functions.text import sentences
 from pairforge.operators.pairs import to_conversations
 from pairforge.operators.questions import map_category, map_difficulty
+from pairforge.schemas import CONVERSATION
 
 DEFAULT_SYSTEM = "Eres un chef experto."
 BANK_LABELS = [
@@ -105,6 +106,13 @@ def d_question(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _replies(order: WindowSpec) -> tuple[Column, Column]:
+    """The assistant turn right after, and the next one after that."""
+    said = F.when(F.col("role") == "assistant", F.col("text"))
+    later = order.rowsBetween(2, Window.unboundedFollowing)
+    return F.lead(said).over(order), F.first(said, ignorenulls=True).over(later)
+
+
 def d_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One pair per user turn of every conversation.
 
@@ -113,8 +121,7 @@ def d_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     of a pair, still called ``conv_id``, is conversation * 1000003 + turn.
     """
     order = Window.partitionBy("conv_id").orderBy("turn")
-    said = F.when(F.col("role") == "assistant", F.col("text"))
-    later = order.rowsBetween(2, Window.unboundedFollowing)
+    chosen, rejected = _replies(order)
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     wide = (
         table(spark, sf_dir, "conversations")
@@ -126,8 +133,8 @@ def d_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.lit(DEFAULT_SYSTEM),
             ).alias("sys"),
             F.col("text").alias("usr"),
-            F.lead(said).over(order).alias("chosen"),
-            F.first(said, ignorenulls=True).over(later).alias("rejected"),
+            chosen.alias("chosen"),
+            rejected.alias("rejected"),
         )
         .filter(F.col("role") == "user")
     )
@@ -157,9 +164,7 @@ def d_session_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def d_conv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversation pairs (conv_id, chosen, rejected); a missing reply gives null."""
-    pairs = d_pair(spark, sf_dir)
+def _conversations(pairs: DataFrame) -> DataFrame:
     absent = pairs.select("conv_id", "messages", "chosen", "rejected").withColumns(
         {f"no_{side}": F.col(side).isNull() for side in ("chosen", "rejected")}
     )
@@ -170,6 +175,43 @@ def d_conv(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def d_conv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversation pairs (conv_id, chosen, rejected); a missing reply gives null."""
+    return _conversations(d_pair(spark, sf_dir))
+
+
+def d_whole_conv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``d_conv`` with all preceding turns of the conversation in both sides.
+
+    The sides of a pair hold every turn up to its user turn, then the reply; the
+    default system text comes first where there was none so far.
+    """
+    order = Window.partitionBy("conv_id").orderBy("turn")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    turn = F.struct("role", F.col("text").alias("content"))
+    chosen, rejected = _replies(order)
+    asked = (
+        table(spark, sf_dir, "conversations")
+        .select(
+            (F.col("conv_id") * 1000003 + F.col("turn")).alias("conv_id"),
+            "role",
+            F.collect_list(turn).over(so_far).cast(CONVERSATION).alias("turns"),
+            chosen.alias("chosen"),
+            rejected.alias("rejected"),
+        )
+        .filter(F.col("role") == "user")
+    )
+    default = F.array(message("system", F.lit(DEFAULT_SYSTEM))).cast(CONVERSATION)
+    has_system = F.exists("turns", lambda m: (m["role"] == "system") & m["content"].isNotNull())
+    pairs = asked.select(
+        "conv_id",
+        F.when(has_system, F.col("turns")).otherwise(F.concat(default, "turns")).alias("messages"),
+        "chosen",
+        "rejected",
+    )
+    return _conversations(pairs)
+
+
 def d_response(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replies per (recipe_id, question): the assistant turns after each question."""
     turns = table(spark, sf_dir, "conversations")

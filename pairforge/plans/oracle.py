@@ -147,6 +147,20 @@ CTES = {
         select *, {tokens("chosen_text")} as chosen_length, {tokens("rejected_text")} as rejected_length,
           {blank("chosen_text")} and {blank("rejected_text")} as blank
         from d_conv""",
+    "whole_conv": f"""
+        select p.conv_id,
+          case when p.chosen is null then '' else before || chr(10) || 'Assistant: ' || p.chosen end as chosen_text,
+          case when p.rejected is null then '' else before || chr(10) || 'Assistant: ' || p.rejected end as rejected_text
+        from d_pair p join (
+          select q.conv_id * 1000003 + q.turn as conv_id, concat_ws(chr(10),
+            case when not bool_or(c.role = 'system' and c.text is not null) then 'System: ' || {lit(D.DEFAULT_SYSTEM)} end,
+            string_agg(upper(c.role[1]) || c.role[2:] || ': ' || c.text, chr(10) order by c.turn)) as before
+          from conversations q join conversations c on c.conv_id = q.conv_id and c.turn <= q.turn
+          where q.role = 'user' group by q.conv_id, q.turn) using (conv_id)""",
+    "whole_measured": f"""
+        select *, {tokens("chosen_text")} as chosen_length, {tokens("rejected_text")} as rejected_length,
+          {blank("chosen_text")} and {blank("rejected_text")} as blank
+        from whole_conv""",
     "d_response": """
         select q.conv_id as recipe_id, q.text as question,
           max(case when q.turn % 4 <> 2 then r.text end) as chosen, max('Breve: ' || r.text) as rejected

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +22,8 @@ from pairforge.streaming import streams
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
+#: The SQL of a query as it was given, and its own CTEs.
+GIVEN: dict[str, tuple[str, str]] = {}
 MAX = 150
 
 
@@ -33,6 +36,7 @@ def query(name: str, sql: str | None = None, extra: str = "") -> Callable[[Query
         QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = O.with_ctes(sql, extra)
+            GIVEN[name] = sql, extra
         return fn
 
     return register
@@ -1451,6 +1455,32 @@ def _(spark, sf_dir):
     return jobs.length_curation(D.d_conv(spark, sf_dir), MAX)
 
 
+def _whole(name: str, fn: Callable[[DataFrame], DataFrame]) -> None:
+    """The query ``name``, with all preceding turns in both sides of each pair."""
+    sql, extra = (re.sub(r"\bmeasured\b", "whole_measured", s) for s in GIVEN[name])
+
+    @query(f"whole_{name}", sql, extra)
+    def _(spark, sf_dir):
+        return fn(D.d_whole_conv(spark, sf_dir))
+
+
+def _over(*columns: str) -> list[Column]:
+    return [lengths.exceeds_by(F.col(f"{c}_length"), MAX).alias(f"over_{c}") for c in columns]
+
+
+_whole("exceeds_by", lambda c: lengths.with_lengths(c).select("conv_id", *_over("chosen", "rejected")))
+_whole(
+    "length_filter",
+    lambda c: lengths.length_filter(lengths.with_lengths(c), MAX).select("conv_id", "chosen_length", "rejected_length"),
+)
+_whole("long_examples", lambda c: lengths.long_examples(lengths.with_lengths(c), "conv_id", MAX))
+_whole("sample_long", lambda c: lengths.sample_long(lengths.with_lengths(c), "conv_id", MAX))
+_whole("length_report", lambda c: lengths.length_report(lengths.with_lengths(c), MAX))
+_whole("long_side_stats", lambda c: lengths.long_side_stats(lengths.with_lengths(c), MAX))
+_whole("retention", lambda c: lengths.retention(lengths.with_lengths(c), MAX))
+_whole("job_length_curation", lambda c: jobs.length_curation(c, MAX))
+
+
 @query(
     "job_build_pairs",
     f"""select {O.system_text("category")} as system_text, question, chosen, rejected, recipe_id, recipe_name, category,

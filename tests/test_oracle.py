@@ -23,3 +23,19 @@ def test_query_equals_sql(spark, sf_dir, con, name):
 
 def test_entry_runs(spark):
     assert entry.entry(spark).count() == 1
+
+
+def test_many_short_turns_are_long(spark, tmp_path):
+    """Short turns that together exceed the limit count, in Spark and in SQL."""
+    talk = [(1, i, "user" if i % 2 == 0 else "assistant", "uno dos tres") for i in range(200)]
+    talk += [(2, 0, "system", "s"), (2, 1, "user", None), (2, 2, "assistant", "x"), (3, 5, "user", "y")]
+    frame = spark.createDataFrame(talk, "conv_id long, turn long, role string, text string")
+    frame.toPandas().to_parquet(f"{tmp_path}/conversations.parquet")
+    con = connect(str(tmp_path))
+    for name in [n for n in QUERIES if n.startswith("whole_")]:
+        ours = spark_rows(QUERIES[name](spark, str(tmp_path)))
+        assert difference(ours, sql_rows(con, ORACLE[name])) is None
+    assert QUERIES["length_report"](spark, str(tmp_path)).first()["exceeding"] == 0
+    # a turn has 5 tokens, so the conversation of pair i has 4 or 5 + 10 * (i + 1)
+    assert 80 <= QUERIES["whole_length_report"](spark, str(tmp_path)).first()["exceeding"] <= 90
+    assert QUERIES["whole_length_filter"](spark, str(tmp_path)).where("conv_id > 1000003 + 100 and conv_id < 2000000").count() == 0
