@@ -127,7 +127,7 @@ def write_archives(pages: DataFrame, key: str = "page_id", url: str = "url", htm
         F.lit(END),
         payload,
     )
-    records = page.select(record.alias("value"), F.contains(payload, F.lit(END + BEGIN)).alias("odd"))
+    records = page.select(record.alias("value"), F.contains(F.concat(F.lit(END), payload), F.lit(END + BEGIN)).alias("odd"))
     folder = shared_folder(pages.sparkSession)
     written = records.where("not odd").select("value").write.option("lineSep", END)
     written.option("maxRecordsPerFile", RECORDS_PER_FILE).text(f"{folder}/plain")

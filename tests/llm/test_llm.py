@@ -321,6 +321,15 @@ def test_archives(spark):
     assert warc.capture_index(warc.read_archives(spark, warc.write_archives(pages.limit(0)))).count() == 0
 
 
+def test_archives_of_raw_records(spark):
+    """Payloads that form the cut together with the end of their own header."""
+    raw = warc.BEGIN + "response\r\nContent-Length: 2\r\n\r\nhi\r\n\r\n"
+    texts = [raw, "\r\n" + raw, warc.END + raw, raw + raw, warc.BEGIN, warc.BEGIN[:-1], "plain", "\r\n"]
+    pages = spark.createDataFrame([(i, "u", t) for i, t in enumerate(texts)], "page_id long, url string, html string").repartition(2)
+    back = warc.read_archives(spark, warc.write_archives(pages)).collect()
+    assert sorted((r["page_id"], r["payload"]) for r in back) == list(enumerate(texts))
+
+
 def test_loser_tree():
     draw = random.Random(1)
     for k in (0, 1, 2, 3, 7, 12):
