@@ -15,6 +15,11 @@ def ragged(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows) if len(rows) else np.zeros(0, np.int64), np.concatenate([[0], np.cumsum(lengths)])
 
 
+def _parts(rows: list[np.ndarray]) -> list[list[np.ndarray]]:
+    """The rows, so many at a time as one step of a fit takes."""
+    return [rows[i : i + 256] for i in range(0, len(rows), 256)]
+
+
 def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Sums of values over rows; empty rows give 0."""
     total = np.concatenate([np.zeros((1, *values.shape[1:])), np.cumsum(values, axis=0)])
@@ -43,11 +48,11 @@ class FactorizationMachine:
             held[:] = False
         self._fit([r for r, h in zip(rows, held, strict=True) if not h], y[~held], draw)
         if held.any():
-            self._calibrate(self.raw([r for r, h in zip(rows, held, strict=True) if h]), y[held])
+            self._calibrate(np.concatenate([self.raw(part) for part in _parts([r for r, h in zip(rows, held, strict=True) if h])]), y[held])
         return self
 
     def _fit(self, rows: list[np.ndarray], y: np.ndarray, draw: np.random.Generator) -> None:
-        count = lambda some: np.bincount(ragged(some)[0].astype(np.int64), minlength=self.buckets) if some else np.zeros(self.buckets, np.int64)
+        count = lambda some: sum((np.bincount(ragged(part)[0].astype(np.int64), minlength=self.buckets) for part in _parts(some)), np.zeros(self.buckets, np.int64))
         with_term = count([r for r, label in zip(rows, y, strict=True) if label > 0.5])
         seen, n1, n0 = count(rows), max(1, (y > 0.5).sum()), max(1, (y <= 0.5).sum())
         share = seen / max(1, len(rows))

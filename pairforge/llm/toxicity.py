@@ -7,8 +7,10 @@ near a group, which additive weights miss.
 from __future__ import annotations
 
 import pickle
+import tempfile
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -20,9 +22,8 @@ from pairforge.llm.decontam import words_of
 from pairforge.llm.factorization import FactorizationMachine
 
 BUCKETS = 1 << 18
-#: Bounds of the labelled sample that the model is fitted on: rows, and terms in
-#: all (a row of the sample beyond the latter is not used).
-SAMPLE_ROWS, SAMPLE_TERMS = 20_000, 12_000_000
+#: Rows of the labelled sample that the model is fitted on.
+SAMPLE_ROWS = 20_000
 #: Words whose bucket a worker keeps.
 _KEPT = 300_000
 
@@ -65,10 +66,28 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, key: st
     return documents.join(F.broadcast(some), F.col(key) == F.col("label_key")).select("y", *columns)
 
 
+@contextmanager
+def sampled_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+    """All rows of (y, terms), and y.  The terms lie in a temporary file, mapped
+    into memory: long texts of many rows don't fit a worker."""
+    y: list[int] = []
+    ends = [0]
+    with tempfile.TemporaryFile() as kept:
+        for batch in batches:
+            for label_, terms in zip(batch.column("y").to_pylist(), batch.column("terms").to_pylist(), strict=True):
+                y.append(label_)
+                ends.append(ends[-1] + len(terms) // 4)
+                kept.write(terms)
+        kept.flush()
+        flat = np.asarray(np.memmap(kept, np.int32, "r")) if ends[-1] else np.zeros(0, np.int32)
+        yield [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)], np.array(y, float)
+
+
 def fit_toxicity(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> FactorizationMachine:
     """Fit on a sample of at most ``sample_rows`` labelled rows.
 
-    Terms are made where the rows are; the fit itself is one task.  Without any
+    Terms are made where the rows are; the fit itself is one task, over all terms
+    of those rows.  Without any
     labelled row the model scores 0.5 throughout.
     """
     sample = labelled_sample(documents, labels, label, key, [F.col(text).alias("t")], sample_rows)
@@ -80,17 +99,8 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, key: str = "doc_id", t
             yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array([r.tobytes() for r in rows], pa.binary())], names=["y", "terms"])
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        y: list[int] = []
-        rows: list[np.ndarray] = []
-        total = 0
-        for batch in batches:
-            for label_, terms in zip(batch.column("y").to_pylist(), batch.column("terms").to_pylist(), strict=True):
-                row = np.frombuffer(terms, np.int32)
-                total += len(row)
-                if total <= SAMPLE_TERMS:
-                    y.append(label_)
-                    rows.append(row)
-        model = FactorizationMachine(BUCKETS).fit(rows, np.array(y, float))
+        with sampled_rows(batches) as (rows, y):
+            model = FactorizationMachine(BUCKETS).fit(rows, y)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
 
     ordered = sample.mapInArrow(featurize, "y int, terms binary").repartition(1).sortWithinPartitions(F.xxhash64("terms"), "y")

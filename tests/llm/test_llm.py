@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -388,6 +389,17 @@ def test_toxicity_on_held_out_rows(spark, odd, empty):
     assert toxicity.without_toxic(odd, none, 0.6).columns == odd.columns
 
 
+def test_long_rows_are_fitted():
+    """Rows of 13 million terms together: each of them reaches the fit."""
+    row, n = np.arange(130_000, dtype=np.int32), 100
+    batches = (pa.RecordBatch.from_arrays([pa.array([i % 2], pa.int32()), pa.array([row[i:].tobytes()], pa.binary())], names=["y", "terms"]) for i in range(n))
+    with toxicity.sampled_rows(batches) as (rows, y):
+        assert [len(r) for r in rows] == [len(row) - i for i in range(n)] and y.tolist() == [i % 2 for i in range(n)]
+        assert all((r == row[i:]).all() for i, r in enumerate(rows))
+    with toxicity.sampled_rows(iter(())) as (rows, y):
+        assert not rows and not len(y)
+
+
 def test_quality_on_held_out_rows(spark):
     sf_dir = "/root/testdata/sf0.1"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
