@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairforge.llm import blocks, counts, decontam, jaccard, packing, quality, repeats, topk, toxicity, warc
+from pairforge.llm import blocks, counts, decontam, jaccard, packing, periods, quality, repeats, topk, toxicity, warc
 from pairforge.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,3 +131,68 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = quality.fit_quality(documents, table(spark, sf_dir, "labels"))
     return quality.quality_scores(documents, model)
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periods.periodic_runs(periods.planted_runs(documents), exponent=4, shortest=6)
+    ranked = F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period")))
+    line = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    return found.withColumn("best", F.array_min(ranked)).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        (-F.col("best.less")).alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("-1000 * best.less div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of ASCII text in SQL: eight shifts for each byte."""
+    step = "list_reduce(list_prepend(xor(c, b), range(8)), lambda v, i: CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)"
+    # a byte meets only the lowest eight bits of the sum so far
+    codes = f"list_transform(string_split({text}, ''), lambda ch: unicode(ch)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, b: {step}), 4294967295)"
+
+
+ORACLE["op12_periodic_runs"] = rf"""
+WITH given AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS w, {crc32_sql("doc_id::VARCHAR")} AS h
+  FROM documents
+), shaped AS (
+  SELECT doc_id, w, h // 10 AS g, len(w)::BIGINT AS n, h % 10 = 0 AND len(w) > 0 AS plant FROM given
+), placed AS (
+  SELECT *, CASE WHEN plant THEN g % n END AS a FROM shaped
+), done AS (
+  SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM placed
+), word AS (
+  SELECT doc_id, n, i, CASE WHEN plant AND i >= a THEN w[a + (i - a) % p + 1] ELSE w[i + 1] END AS word
+  FROM done, unnest(range(n)) AS t(i)
+), pairs AS (
+  SELECT x.doc_id, y.i - x.i AS q, x.i FROM word x JOIN word y
+  ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+), islands AS (
+  SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs
+), stretches AS (
+  SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM islands GROUP BY doc_id, q, island
+  HAVING count(*) + q >= greatest(6, 4 * q)
+), runs AS (
+  SELECT doc_id, start, length, min(q) AS period FROM stretches GROUP BY doc_id, start, length
+), per_doc AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listing,
+         min((-length, start, period)) AS best
+  FROM runs GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS left_over FROM word w
+  WHERE NOT EXISTS (SELECT 1 FROM runs r WHERE r.doc_id = w.doc_id AND w.i >= r.start + r.period AND w.i < r.start + r.length)
+  GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best[2]::BIGINT AS start, (-best[1])::BIGINT AS length, best[3]::BIGINT AS period,
+       (-1000 * best[1]) // best[3] AS exponent_milli, sha256(coalesce(listing, '')) AS runs_sha256, sha256(coalesce(left_over, '')) AS collapsed_sha256
+FROM documents d LEFT JOIN per_doc USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
