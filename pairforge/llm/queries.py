@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairforge.llm import blocks, counts, decontam, jaccard, packing, periods, quality, repeats, topk, toxicity, warc
+from pairforge.llm import blocks, counts, decontam, jaccard, packing, periods, quality, repair, repeats, topk, toxicity, warc
 from pairforge.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -196,3 +196,87 @@ SELECT d.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best[2]::BIGINT AS start
        (-1000 * best[1]) // best[3] AS exponent_milli, sha256(coalesce(listing, '')) AS runs_sha256, sha256(coalesce(left_over, '')) AS collapsed_sha256
 FROM documents d LEFT JOIN per_doc USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_summary(repair.damaged(table(spark, sf_dir, "conversations"))).drop("path")
+
+
+def _repair_sql() -> str:
+    """The same repair as a walk over all rows that holds one label a state."""
+
+    def add(label: str, cost: str, letter: str, line: str | None = None) -> str:
+        text = f"{label}.t" if line is None else f"{label}.t || CASE WHEN {label}.t = '' THEN '' ELSE chr(10) END || {line}"
+        return f"{{'c': {label}.c + {cost}, 'a': {label}.a || '{letter}', 't': {text}}}"
+
+    def least(*labels: str) -> str:
+        return f"list_min([{', '.join(labels)}])"
+
+    none = "{'c': 1000000000000::BIGINT, 'a': '', 't': ''}"
+
+    def keep(state: str, initial: str) -> str:
+        return f"CASE WHEN f IN (0, 3) AND i = '{initial}' THEN {add(state, 'more', 'K', 'line')} ELSE {none} END"
+
+    def speak(state: str, role: str) -> str:
+        return f"CASE WHEN f IN (0, 3) THEN {add(state, '3 + more', 'R', f"'{role}:' || text")} ELSE {none} END"
+
+    asked = f"({add('s1', '3', 'I', "'user:'")})"
+    return rf"""
+WITH RECURSIVE hashed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {crc32_sql("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS kind
+  FROM conversations
+), rows AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM hashed, range(CASE WHEN kind = 3 THEN 2 ELSE 1 END) AS copies(k) WHERE kind <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
+         regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) AS final
+  FROM rows
+), row_fault AS (
+  SELECT *, role[1] AS i, role || ':' || text AS line, CASE WHEN final = '' THEN 1
+           WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 2
+           WHEN final NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS f,
+         lag(role[1]) OVER (PARTITION BY conv_id ORDER BY pos) AS earlier
+  FROM placed
+), fault AS (
+  SELECT *, CASE WHEN f = 3 THEN 3 ELSE 0 END AS more FROM row_fault
+), ids AS (
+  SELECT DISTINCT conv_id FROM conversations
+), walk AS (
+  SELECT conv_id, 0::BIGINT AS pos, {{'c': 0::BIGINT, 'a': '', 't': ''}} AS s0, {none} AS s1, {none} AS s2, {none} AS s3 FROM ids
+  UNION ALL
+  SELECT conv_id, pos,
+         {add("s0", "4", "D")} AS s0,
+         {least(add("s1", "4", "D"), keep("s0", "s"))} AS s1,
+         {least(add("s2", "4", "D"), keep("s0", "u"), keep("s1", "u"), keep("s3", "u"), speak("s0", "user"), speak("s1", "user"), speak("s3", "user"))} AS s2,
+         {least(add("s3", "4", "D"), keep("s2", "a"), speak("s2", "assistant"))} AS s3
+  FROM (
+    SELECT o.* EXCLUDE (s3), {least("o.s3", add("o.s2", "3", "I", "'assistant:'"))} AS s3
+    FROM (
+      SELECT w.conv_id, r.pos, r.f, r.more, r.i, r.line, r.text, w.s0, w.s1, w.s3,
+             {least("w.s2", *[add(f"w.s{k}", "3", "I", "'user:'") for k in (0, 1, 3)])} AS s2
+      FROM walk w JOIN fault r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.pos = w.pos + 1) o)
+), ends AS (
+  SELECT conv_id, {least("s0", "s3", add("s2", "3", "I", "'assistant:'"))} AS one,
+         {add(asked, "3", "I", "'assistant:'")} AS two
+  FROM walk QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY pos DESC) = 1
+), chosen AS (
+  SELECT conv_id, {least("one", "two")} AS l FROM ends
+), counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(f = 1) AS blank,
+         count_if(f = 2) AS duplicate, count_if(f = 3) AS truncated,
+         count_if(pos > 1 AND earlier || i NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM fault GROUP BY conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, l.c::BIGINT AS cost, l.a AS audit, sha256(l.t) AS repaired_sha256
+FROM chosen c LEFT JOIN counts n ON n.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
+ORACLE["op11_conversation_repair"] = _repair_sql()
