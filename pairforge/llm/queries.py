@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairforge.llm import blocks, counts, decontam, jaccard, packing, periods, quality, repair, repeats, topk, toxicity, warc
+from pairforge.llm import blocks, counts, decontam, jaccard, neighbours, packing, periods, quality, repair, repeats, topk, toxicity, warc
 from pairforge.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -280,3 +280,9 @@ FROM chosen c LEFT JOIN counts n ON n.conv_id IS NOT DISTINCT FROM c.conv_id
 
 
 ORACLE["op11_conversation_repair"] = _repair_sql()
+
+
+@query
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = neighbours.usable_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return neighbours.nearest(vectors.where("id % 50 = 0"), vectors, k=5)
