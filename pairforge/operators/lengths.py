@@ -12,12 +12,14 @@ from pairforge.functions.text import TokenCounter, is_blank, percent, preview, t
 
 SIDES = ("chosen", "rejected")
 MEASURED = ("chosen_text", "rejected_text", "chosen_length", "rejected_length")
+BLANKS = ("chosen_blank", "rejected_blank")
 
 
 def with_lengths(pairs: DataFrame, counter: str | TokenCounter = "regex") -> DataFrame:
-    """Add text and token length of both sides.
+    """Add text and token length of both sides, and whether they are blank.
 
     A side is a conversation, or a text, which counts as it is (null: empty).
+    Conversations given turn by turn are measured by ``turns.reply_lengths``.
     """
 
     def side(name: str) -> Column:
@@ -27,11 +29,12 @@ def with_lengths(pairs: DataFrame, counter: str | TokenCounter = "regex") -> Dat
     with_text = pairs.withColumns({f"{s}_text": side(s) for s in SIDES})
     return with_text.withColumns(
         {f"{s}_length": token_count(F.col(f"{s}_text"), counter) for s in SIDES}
+        | {f"{s}_blank": is_blank(F.col(f"{s}_text")) for s in SIDES}
     )
 
 
 def both_blank() -> Column:
-    return is_blank(F.col("chosen_text")) & is_blank(F.col("rejected_text"))
+    return F.col("chosen_blank") & F.col("rejected_blank")
 
 
 def within_limit(max_length: int = MAX_TOKENS) -> Column:
@@ -70,12 +73,15 @@ def long_examples(measured: DataFrame, key: str, max_length: int = MAX_TOKENS) -
     )
 
 
+def first_long(measured: DataFrame, key: str, max_length: int = MAX_TOKENS, n: int = 5) -> DataFrame:
+    """The first ``n`` over-limit rows by key; texts are not needed to find them."""
+    return measured.filter(too_long(max_length)).orderBy(key).limit(n)
+
+
 def sample_long(measured: DataFrame, key: str, max_length: int = MAX_TOKENS, n: int = 5) -> DataFrame:
     """The first ``n`` over-limit rows by key, with text previews."""
     return (
-        long_examples(measured, key, max_length)
-        .orderBy("index")
-        .limit(n)
+        long_examples(first_long(measured, key, max_length, n), key, max_length)
         .select(
             "index",
             "chosen_length",

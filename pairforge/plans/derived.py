@@ -6,7 +6,7 @@ inputs in SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pairforge.constants import RX_WORD
@@ -14,7 +14,7 @@ from pairforge.functions.chat import message
 from pairforge.functions.text import sentences
 from pairforge.operators.pairs import to_conversations
 from pairforge.operators.questions import map_category, map_difficulty
-from pairforge.schemas import CONVERSATION
+from pairforge.operators.turns import reply_lengths, with_side_texts
 
 DEFAULT_SYSTEM = "Eres un chef experto."
 BANK_LABELS = [
@@ -106,11 +106,9 @@ def d_question(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _replies(order: WindowSpec) -> tuple[Column, Column]:
-    """The assistant turn right after, and the next one after that."""
-    said = F.when(F.col("role") == "assistant", F.col("text"))
-    later = order.rowsBetween(2, Window.unboundedFollowing)
-    return F.lead(said).over(order), F.first(said, ignorenulls=True).over(later)
+def _next_assistant(n: int) -> Column:
+    """The n-th assistant text after this turn, read forward once per conversation."""
+    return F.expr(f"lead(_said, {n}) ignore nulls over (partition by conv_id order by turn)")
 
 
 def d_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,10 +119,13 @@ def d_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     of a pair, still called ``conv_id``, is conversation * 1000003 + turn.
     """
     order = Window.partitionBy("conv_id").orderBy("turn")
-    chosen, rejected = _replies(order)
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    said = F.when(F.col("role") == "assistant", F.col("text"))
+    chosen = F.lead("_said").over(order)
+    rejected = F.when(chosen.isNull(), _next_assistant(1)).otherwise(_next_assistant(2))
     wide = (
         table(spark, sf_dir, "conversations")
+        .withColumn("_said", said)
         .select(
             (F.col("conv_id") * 1000003 + F.col("turn")).alias("conv_id"),
             "role",
@@ -180,36 +181,23 @@ def d_conv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _conversations(d_pair(spark, sf_dir))
 
 
-def d_whole_conv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``d_conv`` with all preceding turns of the conversation in both sides.
+def d_turn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns (conv_id, turn, role, text) of whole conversations."""
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+
 
-    The sides of a pair hold every turn up to its user turn, then the reply; the
-    default system text comes first where there was none so far.
+def d_measured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lengths of both sides of every pair, all preceding turns included.
+
+    Pairs as in ``d_pair``; ``key`` is conversation * 1000003 + turn.
     """
-    order = Window.partitionBy("conv_id").orderBy("turn")
-    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    turn = F.struct("role", F.col("text").alias("content"))
-    chosen, rejected = _replies(order)
-    asked = (
-        table(spark, sf_dir, "conversations")
-        .select(
-            (F.col("conv_id") * 1000003 + F.col("turn")).alias("conv_id"),
-            "role",
-            F.collect_list(turn).over(so_far).cast(CONVERSATION).alias("turns"),
-            chosen.alias("chosen"),
-            rejected.alias("rejected"),
-        )
-        .filter(F.col("role") == "user")
-    )
-    default = F.array(message("system", F.lit(DEFAULT_SYSTEM))).cast(CONVERSATION)
-    has_system = F.exists("turns", lambda m: (m["role"] == "system") & m["content"].isNotNull())
-    pairs = asked.select(
-        "conv_id",
-        F.when(has_system, F.col("turns")).otherwise(F.concat(default, "turns")).alias("messages"),
-        "chosen",
-        "rejected",
-    )
-    return _conversations(pairs)
+    measured = reply_lengths(d_turn(spark, sf_dir), DEFAULT_SYSTEM)
+    return measured.withColumn("key", F.col("conv_id") * 1000003 + F.col("turn"))
+
+
+def with_texts(measured: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of ``d_measured`` with the texts of their sides."""
+    return with_side_texts(measured, d_turn(spark, sf_dir), DEFAULT_SYSTEM)
 
 
 def d_response(spark: SparkSession, sf_dir: str) -> DataFrame:

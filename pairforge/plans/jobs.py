@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,41 +12,66 @@ from pairforge.operators import lengths, pages, pairs, questions, recipes, split
 from pairforge.sources.writers import write_csv, write_splits
 
 
+def _long_form(row: DataFrame, prefix: Column | None = None, ids: tuple[str, ...] = ()) -> DataFrame:
+    """(metric, value) rows out of columns."""
+    values = row.select(
+        *ids, *[F.col(name).cast("double").alias(name) for name in row.columns if name not in ids]
+    )
+    names = [name for name in values.columns if name not in ids]
+    melted = values.unpivot(list(ids), names, "metric", "value")
+    metric = F.col("metric") if prefix is None else F.concat(prefix, F.lit("_"), "metric")
+    return melted.select(metric.alias("metric"), "value")
+
+
+def length_metrics(measured: DataFrame, max_length: int = MAX_TOKENS) -> DataFrame:
+    """Length report, over-limit statistics and retention as (metric, value)."""
+    return (
+        _long_form(lengths.length_report(measured, max_length))
+        .unionByName(_long_form(lengths.long_side_stats(measured, max_length), F.col("side"), ("side",)))
+        .unionByName(_long_form(lengths.retention(measured, max_length)))
+    )
+
+
 def length_curation(
-    conversations: DataFrame,
+    rows: DataFrame,
+    measured: DataFrame,
+    key: str,
+    out_dir: str,
+    with_texts: Callable[[DataFrame], DataFrame],
     max_length: int = MAX_TOKENS,
-    out_dir: str | None = None,
     analysed: str = "train",
     split_column: str = "split",
+    n_samples: int = 5,
 ) -> DataFrame:
-    """Length report, over-limit statistics and retention as (metric, value).
-
-    With ``out_dir`` the filtered splits and a CSV copy are written as well.
+    """Curate one split of ``rows`` by length; returns (metric, value).
+
+    ``measured`` has key, split, lengths and blank marks of every row; it is
+    written once (``lengths``), and all that follows reads it back.  The other
+    splits and the kept rows of the analysed one go to ``splits``, the kept rows to
+    ``csv``, and the first over-limit rows, for which alone ``with_texts`` builds
+    texts, to ``samples``.  Metrics are those of ``length_metrics``, the rows
+    written (``split_<name>``) and the lengths in ``samples``.
     """
-    measured = lengths.with_lengths(conversations)
-    if out_dir is not None:
-        chosen_split = measured.filter(F.col(split_column) == analysed)
-        kept = lengths.length_filter(chosen_split, max_length).drop(*lengths.MEASURED)
-        write_splits(conversations, kept, analysed, f"{out_dir}/splits", split_column)
-        write_csv(kept, f"{out_dir}/csv")
-        measured = chosen_split
-    report = lengths.length_report(measured, max_length)
-    sides = lengths.long_side_stats(measured, max_length)
-    kept_share = lengths.retention(measured, max_length)
-
-    def long_form(row: DataFrame, prefix: Column | None = None, ids: tuple[str, ...] = ()) -> DataFrame:
-        values = row.select(
-            *ids, *[F.col(name).cast("double").alias(name) for name in row.columns if name not in ids]
-        )
-        names = [name for name in values.columns if name not in ids]
-        melted = values.unpivot(list(ids), names, "metric", "value")
-        metric = F.col("metric") if prefix is None else F.concat(prefix, F.lit("_"), "metric")
-        return melted.select(metric.alias("metric"), "value")
-
+    spark = rows.sparkSession
+    measured.write.mode("overwrite").parquet(f"{out_dir}/lengths")
+    measured = spark.read.schema(measured.schema).parquet(f"{out_dir}/lengths")
+    mine = measured.filter(F.col(split_column) == analysed)
+    kept = rows.filter(F.col(split_column) == analysed).join(
+        lengths.length_filter(mine, max_length).select(key), key, "left_semi"
+    )
+    write_splits(rows, kept, analysed, f"{out_dir}/splits", split_column)
+    written = spark.read.schema(rows.schema).parquet(f"{out_dir}/splits")
+    write_csv(written.filter(F.col(split_column) == analysed), f"{out_dir}/csv")
+    first = with_texts(lengths.first_long(mine, key, max_length, n_samples))
+    sample = lengths.sample_long(first, key, max_length, n_samples)
+    sample.write.mode("overwrite").json(f"{out_dir}/samples")
+    samples = spark.read.schema(sample.schema).json(f"{out_dir}/samples")
+    counts = written.groupBy(split_column).agg(F.count(F.lit(1)).cast("double").alias("value"))
+    shown = samples.select("index", "chosen_length", "rejected_length")
     return (
-        long_form(report)
-        .unionByName(long_form(sides, F.col("side"), ("side",)))
-        .unionByName(long_form(kept_share))
+        length_metrics(mine, max_length)
+        .unionByName(counts.select(F.concat(F.lit("split_"), split_column).alias("metric"), "value"))
+        .unionByName(_long_form(shown, F.concat(F.lit("sample_"), F.col("index").cast("string")), ("index",)))
     )
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,8 +21,6 @@ from pairforge.streaming import streams
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
-#: The SQL of a query as it was given, and its own CTEs.
-GIVEN: dict[str, tuple[str, str]] = {}
 MAX = 150
 
 
@@ -36,7 +33,6 @@ def query(name: str, sql: str | None = None, extra: str = "") -> Callable[[Query
         QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = O.with_ctes(sql, extra)
-            GIVEN[name] = sql, extra
         return fn
 
     return register
@@ -206,7 +202,7 @@ def _(spark, sf_dir):
     part = F.when(F.col("conv_id") % 3 == 0, "eval").otherwise("train")
     rows = D.d_conv(spark, sf_dir).withColumn("split", part)
     train = lengths.with_lengths(rows.filter(F.col("split") == "train"))
-    kept = lengths.length_filter(train, MAX).drop(*lengths.MEASURED)
+    kept = lengths.length_filter(train, MAX).drop(*lengths.MEASURED, *lengths.BLANKS)
     writers.write_splits(rows, kept, "train", path)
     return spark.read.parquet(path).select("conv_id", "split")
 
@@ -374,17 +370,18 @@ def _(spark, sf_dir):
 
 
 def _measured(spark, sf_dir) -> DataFrame:
+    """Single exchanges: system text, user turn and reply."""
     return lengths.with_lengths(D.d_conv(spark, sf_dir))
 
 
 @query(
     "exceeds_by",
     f"""select conv_id, greatest(0, chosen_length - {MAX}) as over_chosen,
-         greatest(0, rejected_length - {MAX}) as over_rejected from measured""",
+         greatest(0, rejected_length - {MAX}) as over_rejected from whole_measured""",
 )
 def _(spark, sf_dir):
-    return _measured(spark, sf_dir).select(
-        "conv_id",
+    return D.d_measured(spark, sf_dir).select(
+        F.col("key").alias("conv_id"),
         lengths.exceeds_by(F.col("chosen_length"), MAX).alias("over_chosen"),
         lengths.exceeds_by(F.col("rejected_length"), MAX).alias("over_rejected"),
     )
@@ -553,12 +550,12 @@ def _(spark, sf_dir):
 
 @query(
     "length_filter",
-    f"""select conv_id, chosen_length, rejected_length from measured
+    f"""select conv_id, chosen_length, rejected_length from whole_measured
         where chosen_length <= {MAX} and rejected_length <= {MAX} and not blank""",
 )
 def _(spark, sf_dir):
-    kept = lengths.length_filter(_measured(spark, sf_dir), MAX)
-    return kept.select("conv_id", "chosen_length", "rejected_length")
+    kept = lengths.length_filter(D.d_measured(spark, sf_dir), MAX)
+    return kept.select(F.col("key").alias("conv_id"), "chosen_length", "rejected_length")
 
 
 LONG_SQL = f"(chosen_length > {MAX} or rejected_length > {MAX}) and not blank"
@@ -569,10 +566,11 @@ LONG_SQL = f"(chosen_length > {MAX} or rejected_length > {MAX}) and not blank"
     f"""select conv_id as index, chosen_length, rejected_length, chosen_text, rejected_text,
          greatest(0, chosen_length - {MAX}) as exceeds_by_chosen,
          greatest(0, rejected_length - {MAX}) as exceeds_by_rejected
-       from measured where {LONG_SQL}""",
+       from whole_measured where {LONG_SQL}""",
 )
 def _(spark, sf_dir):
-    return lengths.long_examples(_measured(spark, sf_dir), "conv_id", MAX)
+    over = D.d_measured(spark, sf_dir).filter(lengths.too_long(MAX))
+    return lengths.long_examples(D.with_texts(over, spark, sf_dir), "key", MAX)
 
 
 @query("blank_pairs", "select conv_id from measured where blank")
@@ -829,7 +827,8 @@ def _(spark, sf_dir):
     return lengths.pair_completeness(D.d_conv(spark, sf_dir), "conv_id", 100)
 
 
-REPORT_SQL = f"""
+def report_sql(source: str) -> str:
+    return f"""
   select count(*) - count(*) filter (where blank) as analyzed, count(*) filter (where blank) as skipped,
     count(*) filter (where {LONG_SQL}) as exceeding,
     {O.round_percent(f"count(*) filter (where {LONG_SQL})", "count(*)")} as exceeding_pct,
@@ -839,31 +838,37 @@ REPORT_SQL = f"""
     count(*) filter (where chosen_length > {MAX} and not blank) as chosen_exceeds,
     count(*) filter (where rejected_length > {MAX} and not blank) as rejected_exceeds,
     count(*) filter (where chosen_length > {MAX} and rejected_length > {MAX} and not blank) as both_exceed
-  from measured"""
-SIDES_SQL = f"""
+  from {source}"""
+
+
+def sides_sql(source: str) -> str:
+    return f"""
   select side, count(*) as n, max(l) as max_length, min(l) as min_length, round(avg(l), 1) as avg_length
-  from (select 'chosen' as side, chosen_length as l from measured where not blank
-        union all select 'rejected', rejected_length from measured where not blank) where l > {MAX} group by side"""
-RETENTION_SQL = f"""
+  from (select 'chosen' as side, chosen_length as l from {source} where not blank
+        union all select 'rejected', rejected_length from {source} where not blank) where l > {MAX} group by side"""
+
+
+def retention_sql(source: str) -> str:
+    return f"""
   select count(*) as original, count(*) filter (where not ({LONG_SQL}) and not blank) as filtered,
     count(*) - count(*) filter (where not ({LONG_SQL}) and not blank) as removed,
     {O.round_percent(f"count(*) filter (where not ({LONG_SQL}) and not blank)", "count(*)")} as retention_pct
-  from measured"""
+  from {source}"""
 
 
-@query("length_report", REPORT_SQL)
+@query("length_report", report_sql("whole_measured"))
 def _(spark, sf_dir):
-    return lengths.length_report(_measured(spark, sf_dir), MAX)
+    return lengths.length_report(D.d_measured(spark, sf_dir), MAX)
 
 
-@query("long_side_stats", SIDES_SQL)
+@query("long_side_stats", sides_sql("whole_measured"))
 def _(spark, sf_dir):
-    return lengths.long_side_stats(_measured(spark, sf_dir), MAX)
+    return lengths.long_side_stats(D.d_measured(spark, sf_dir), MAX)
 
 
-@query("retention", RETENTION_SQL)
+@query("retention", retention_sql("whole_measured"))
 def _(spark, sf_dir):
-    return lengths.retention(_measured(spark, sf_dir), MAX)
+    return lengths.retention(D.d_measured(spark, sf_dir), MAX)
 
 
 @query(
@@ -953,10 +958,11 @@ def _(spark, sf_dir):
     f"""select conv_id as index, chosen_length, rejected_length,
          case when length(chosen_text) > 200 then substr(chosen_text, 1, 200) || '...' else chosen_text end as chosen_preview,
          case when length(rejected_text) > 200 then substr(rejected_text, 1, 200) || '...' else rejected_text end as rejected_preview
-       from measured where {LONG_SQL} order by conv_id limit 5""",
+       from whole_measured where {LONG_SQL} order by conv_id limit 5""",
 )
 def _(spark, sf_dir):
-    return lengths.sample_long(_measured(spark, sf_dir), "conv_id", MAX)
+    first = lengths.first_long(D.d_measured(spark, sf_dir), "key", MAX)
+    return lengths.sample_long(D.with_texts(first, spark, sf_dir), "key", MAX)
 
 
 @query(
@@ -1439,46 +1445,32 @@ def _(spark, sf_dir):
 # --- jobs -----------------------------------------------------------------------
 
 
+CURATED = "(select * from whole_measured where conv_id % 3 <> 0)"
+
+
 @query(
     "job_length_curation",
-    """select metric, cast(value as double) as value from (
+    f"""select metric, cast(value as double) as value from (
           unpivot (select columns(*)::double from r) on * into name metric value value)
         union all select side || '_' || metric, cast(value as double) from (
           unpivot (select side, n::double as n, max_length::double as max_length, min_length::double as min_length,
                      avg_length::double as avg_length from s) on n, max_length, min_length, avg_length
           into name metric value value)
         union all select metric, cast(value as double) from (
-          unpivot (select columns(*)::double from k) on * into name metric value value)""",
-    f"r as ({REPORT_SQL}), s as ({SIDES_SQL}), k as ({RETENTION_SQL})",
-)
-def _(spark, sf_dir):
-    return jobs.length_curation(D.d_conv(spark, sf_dir), MAX)
-
-
-def _whole(name: str, fn: Callable[[DataFrame], DataFrame]) -> None:
-    """The query ``name``, with all preceding turns in both sides of each pair."""
-    sql, extra = (re.sub(r"\bmeasured\b", "whole_measured", s) for s in GIVEN[name])
-
-    @query(f"whole_{name}", sql, extra)
-    def _(spark, sf_dir):
-        return fn(D.d_whole_conv(spark, sf_dir))
-
-
-def _over(*columns: str) -> list[Column]:
-    return [lengths.exceeds_by(F.col(f"{c}_length"), MAX).alias(f"over_{c}") for c in columns]
-
-
-_whole("exceeds_by", lambda c: lengths.with_lengths(c).select("conv_id", *_over("chosen", "rejected")))
-_whole(
-    "length_filter",
-    lambda c: lengths.length_filter(lengths.with_lengths(c), MAX).select("conv_id", "chosen_length", "rejected_length"),
-)
-_whole("long_examples", lambda c: lengths.long_examples(lengths.with_lengths(c), "conv_id", MAX))
-_whole("sample_long", lambda c: lengths.sample_long(lengths.with_lengths(c), "conv_id", MAX))
-_whole("length_report", lambda c: lengths.length_report(lengths.with_lengths(c), MAX))
-_whole("long_side_stats", lambda c: lengths.long_side_stats(lengths.with_lengths(c), MAX))
-_whole("retention", lambda c: lengths.retention(lengths.with_lengths(c), MAX))
-_whole("job_length_curation", lambda c: jobs.length_curation(c, MAX))
+          unpivot (select columns(*)::double from k) on * into name metric value value)
+        union all select 'split_eval', count(*) from d_pair where conv_id % 3 = 0 having count(*) > 0
+        union all select 'split_train', count(*) from {CURATED} where not ({LONG_SQL}) and not blank having count(*) > 0
+        union all select 'sample_' || conv_id || '_' || metric, value::double from (
+          unpivot (select conv_id, chosen_length, rejected_length from {CURATED} where {LONG_SQL} order by conv_id limit 5)
+          on chosen_length, rejected_length into name metric value value)""",
+    f"r as ({report_sql(CURATED)}), s as ({sides_sql(CURATED)}), k as ({retention_sql(CURATED)})",
+)
+def _(spark, sf_dir):
+    split = F.when(F.col("key") % 3 == 0, "eval").otherwise("train")
+    rows = D.d_conv(spark, sf_dir).withColumnRenamed("conv_id", "key").withColumn("split", split)
+    measured = D.d_measured(spark, sf_dir).withColumn("split", split)
+    out = scratch_path(spark, "curated")
+    return jobs.length_curation(rows, measured, "key", out, lambda some: D.with_texts(some, spark, sf_dir), MAX)
 
 
 @query(
