@@ -159,12 +159,12 @@ def pair_defects(pairs: DataFrame, metadata: str = "struct") -> DataFrame:
     return pairs.withColumn("defects", F.array_compact(F.array(*codes)))
 
 
-def stamp(pairs: DataFrame, session_id: str, timestamp: Column) -> DataFrame:
-    """Add the ISO timestamp text and the session id."""
+def stamp(pairs: DataFrame, session_id: str | Column, timestamp: Column) -> DataFrame:
+    """Add the ISO timestamp text and the session id (one, or a column)."""
     return pairs.withColumns(
         {
             "timestamp": F.date_format(timestamp, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
-            "session_id": F.lit(session_id),
+            "session_id": F.lit(session_id),  # a column stays as it is
         }
     )
 

@@ -79,12 +79,10 @@ def _(spark, sf_dir):
 
 
 def _saved_sessions(spark, sf_dir) -> str:
-    """Every pair appended under its session, as a run would leave it."""
+    """Every pair saved under its session, as a run would leave it."""
     folder = scratch_path(spark, "sessions")
-    rows = D.d_session_pair(spark, sf_dir)
-    for session in D.SESSIONS:
-        mine = rows.filter(F.col("session_id") == session).select(*schemas.PAIR_COLUMNS)
-        writers.append_pairs(mine, folder, session, D.STAMP)
+    rows = D.d_session_pair(spark, sf_dir).select(*schemas.PAIR_COLUMNS, "session_id")
+    writers.save_sessions(rows, folder, D.STAMP, "one")
     return folder
 
 
@@ -142,7 +140,7 @@ def _(spark, sf_dir):
 
 @query("list_sessions", "select distinct session_id from valid_pair")
 def _(spark, sf_dir):
-    return readers.list_sessions(readers.read_pairs(spark, _saved_sessions(spark, sf_dir)))
+    return readers.list_sessions(spark, _saved_sessions(spark, sf_dir))
 
 
 # --- sinks --------------------------------------------------------------------
@@ -159,10 +157,19 @@ def _(spark, sf_dir):
     return spark.read.schema(schemas.FLAT_PAIR).parquet(path)
 
 
-@query("sink_jsonl_append", f"select {FLAT_SQL}, session_id, {STAMP_SQL} from valid_pair")
+@query(
+    "sink_jsonl_append",
+    f"""select {FLAT_SQL}, session_id, {STAMP_SQL} from valid_pair
+        union all select {FLAT_SQL}, session_id, {STAMP_SQL} from valid_pair where session_id = {O.lit(D.SESSIONS[0])}""",
+)
 def _(spark, sf_dir):
-    saved = readers.read_pairs(spark, _saved_sessions(spark, sf_dir))
-    return flat(saved, "session_id", "timestamp")
+    folder = _saved_sessions(spark, sf_dir)
+    # a second run that is repeated, and one that never finished
+    again = D.d_session_pair(spark, sf_dir).filter(F.col("session_id") == D.SESSIONS[0]).select(*schemas.PAIR_COLUMNS)
+    for _attempt in range(2):
+        writers.append_pairs(again, folder, D.SESSIONS[0], D.STAMP, "two")
+    again.limit(1).write.json(f"{folder}/run=three/session_id={D.SESSIONS[0]}")
+    return flat(readers.read_pairs(spark, folder), "session_id", "timestamp")
 
 
 @query("sink_json_dataset", f"select {FLAT_SQL}, (select count(*) from valid_pair) as n_published from valid_pair")
@@ -1400,14 +1407,13 @@ def _streamed(spark, sf_dir):
     out, checkpoint = scratch_path(spark, "saved"), scratch_path(spark, "state")
     incoming = _staged_pairs(spark, sf_dir)
     stamp = F.to_timestamp(F.lit(D.STAMP))
-    run = streams.stream_pairs(spark, incoming, out, checkpoint, D.SESSIONS[0], stamp, max_files=1)
-    return out, run
+    streams.stream_pairs(spark, incoming, out, checkpoint, D.SESSIONS[0], stamp, max_files=1)
+    return out
 
 
 @query("stream_pairs", f"select {FLAT_SQL}, {O.lit(D.SESSIONS[0])} as session_id, {STAMP_SQL} from valid_pair")
 def _(spark, sf_dir):
-    out, _run = _streamed(spark, sf_dir)
-    return flat(readers.read_pairs(spark, out), "session_id", "timestamp")
+    return flat(readers.read_pairs(spark, _streamed(spark, sf_dir)), "session_id", "timestamp")
 
 
 @query(
@@ -1415,8 +1421,7 @@ def _(spark, sf_dir):
     f"""select count(*) filter (where {OK_SQL}) as saved, count(*) filter (where not {OK_SQL}) as failed from d_pair""",
 )
 def _(spark, sf_dir):
-    _out, run = _streamed(spark, sf_dir)
-    outcome = streams.stream_outcome(spark, run)
+    outcome = streams.stream_outcome(spark, _streamed(spark, sf_dir))
     return outcome.agg(F.sum("saved").alias("saved"), F.sum("failed").alias("failed"))
 
 

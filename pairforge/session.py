@@ -18,8 +18,8 @@ RUNTIME_CONF = {
     # text work is heavy per byte, so small inputs may stay in small pieces; large
     # ones are governed by the advisory size
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256KB",
-    # batches whose saved / failed counts a finished stream can still report
-    "spark.sql.streaming.numRecentProgressUpdates": "10000",
+    # addresses seen by a stream lie on disk, not on the heap
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -22,6 +22,17 @@ def read_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
+def file_system(spark: SparkSession, path: str):
+    """The path and its file system, as Spark's JVM sees them."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target, files = file_system(spark, path)
+    return files.exists(target)
+
+
 def read_pairs(
     spark: SparkSession,
     folder: str,
@@ -32,27 +43,28 @@ def read_pairs(
     """Saved pairs (JSON lines, one folder per session); blank lines are skipped.
 
     Good rows around a bad line are kept, and the bad text is exposed in
-    ``_corrupt_record``; ``mode="FAILFAST"`` stops on it instead.
+    ``_corrupt_record``; ``mode="FAILFAST"`` stops on it instead.  Where the folder
+    has a ledger, only the runs it names are read.
     """
     if mode == "PERMISSIVE":
         schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    pairs = spark.read.schema(schema).option("mode", mode).json(folder)
+    rows = spark.read.schema(schema).option("mode", mode).json(folder)
+    if "run" in rows.columns and path_exists(spark, f"{folder}/_ledger"):
+        finished = spark.read.schema("run string").option("recursiveFileLookup", True).json(f"{folder}/_ledger")
+        # the folder names are text, whatever Spark takes them for
+        rows = rows.withColumn("run", F.col("run").cast("string")).join(finished.distinct(), "run", "left_semi")
+    pairs = rows.select(*schema.fieldNames())
     if session_id is not None:
         pairs = pairs.filter(F.col("session_id") == session_id)
     return pairs
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def read_or_empty(
-    spark: SparkSession, path: str, schema: T.StructType, file_format: str = "json"
+    spark: SparkSession, path: str, schema: T.StructType, file_format: str = "json", **options: str
 ) -> DataFrame:
     """An absent path reads as an empty table."""
     if path_exists(spark, path):
-        return spark.read.schema(schema).format(file_format).load(path)
+        return spark.read.schema(schema).format(file_format).options(**options).load(path)
     return spark.createDataFrame([], schema)
 
 
@@ -89,8 +101,23 @@ def pick_split(rows: DataFrame, split: str = "split", prefer: str = "train") ->
     return rows.filter(name == chosen)
 
 
-def list_sessions(pairs: DataFrame) -> DataFrame:
-    return pairs.select("session_id").distinct().orderBy(F.col("session_id").desc())
+def list_sessions(spark: SparkSession, folder: str) -> DataFrame:
+    """Sessions with saved pairs, latest first: those the ledger names, and raw
+    ``session_<id>.jsonl`` files.  No pair is read."""
+    target, files = file_system(spark, f"{folder}/session_*.jsonl")
+    names = [(status.getPath().getName(),) for status in files.globStatus(target) or []]
+    raw = spark.createDataFrame(names, "file string").select(session_of_file(F.col("file")).alias("session_id"))
+    saved = spark.createDataFrame([], "session_id string, saved long")
+    if path_exists(spark, f"{folder}/_ledger"):
+        saved = spark.read.schema(saved.schema).option("recursiveFileLookup", True).json(f"{folder}/_ledger")
+    named = saved.filter(F.col("saved") > 0).select("session_id").unionByName(raw)
+    return named.distinct().orderBy(F.col("session_id").desc())
+
+
+def read_session_files(spark: SparkSession, folder: str, schema: T.StructType = schemas.DPO_PAIR) -> DataFrame:
+    """Pairs of raw ``session_<id>.jsonl`` files, with the session of each file."""
+    rows = spark.read.schema(schema).json(f"{folder}/session_*.jsonl")
+    return rows.select("*", session_of_file(F.col("_metadata.file_name")).alias("session_id"))
 
 
 def session_of_file(path: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from pairforge.operators.pairs import keep_columns, stamp, valid_pairs
 from pairforge.schemas import PAIR_COLUMNS
+from pairforge.sources.ledger import drop_record, ledger_of, put_record
 
 
 def write_parquet(rows: DataFrame, path: str, max_records: int | None = None) -> None:
@@ -18,10 +19,29 @@ def write_parquet(rows: DataFrame, path: str, max_records: int | None = None) ->
     writer.parquet(path)
 
 
-def append_pairs(pairs: DataFrame, folder: str, session_id: str, timestamp: str) -> None:
-    """Append the valid pairs, stamped, under their session's partition."""
-    rows = stamp(valid_pairs(pairs), session_id, F.to_timestamp(F.lit(timestamp)))
-    rows.write.mode("append").partitionBy("session_id").json(folder)
+def save_sessions(pairs: DataFrame, folder: str, timestamp: str, run: str) -> None:
+    """Save the valid pairs of every ``session_id``, stamped, in one write.
+
+    The rows belong to ``run``: its folder ``run=...`` is replaced whole, so a run
+    that is repeated after a failure leaves each row once, and no session that it no
+    longer has; other runs stay.  The run's ledger record (rows saved a session) is
+    taken away before the write and put back after it, and ``read_pairs`` takes only
+    runs with a record, so half a run is never read.
+    """
+    spark = pairs.sparkSession
+    drop_record(spark, ledger_of(folder), run)
+    stamped = stamp(valid_pairs(pairs), F.col("session_id"), F.to_timestamp(F.lit(timestamp)))
+    home = f"{folder}/run={run}"
+    stamped.write.mode("overwrite").partitionBy("session_id").json(home)
+    saved = spark.read.schema("session_id string").json(home).groupBy("session_id").agg(F.count(F.lit(1)).alias("saved"))
+    rows = [{"session_id": r["session_id"], "run": run, "batch_id": None, "saved": r["saved"], "failed": None} for r in saved.collect()]
+    put_record(spark, ledger_of(folder), run, rows)
+
+
+def append_pairs(pairs: DataFrame, folder: str, session_id: str, timestamp: str, run: str | None = None) -> None:
+    """``save_sessions`` for one session; without a name of its own the run is the
+    session, so that a repeated append leaves the rows once."""
+    save_sessions(pairs.withColumn("session_id", F.lit(session_id)), folder, timestamp, run or session_id)
 
 
 def publish_pairs(pairs: DataFrame, path: str, validate: bool = True) -> int:

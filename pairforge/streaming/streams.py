@@ -2,29 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from pairforge import schemas
 from pairforge.operators.pages import PageRules, recipe_records
 from pairforge.operators.pairs import flatten_pairs, is_valid_pair, stamp
-from pairforge.sources.readers import read_or_empty
+from pairforge.sources.ledger import ledger_of, own_id, put_record, read_ledger
 
-OUTCOME = "outcome"
-
-
-def _run(writer, path: str, checkpoint: str) -> StreamingQuery:
-    query = (
-        writer.option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(path)
-    )
+def _run(writer, checkpoint: str) -> StreamingQuery:
+    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 
 
+def save_batch(
+    batch: DataFrame, batch_id: int, out_dir: str, run: str, session_id: str, timestamp: Column
+) -> None:
+    """The valid pairs of one batch, stamped, and the batch's row in the ledger.
+
+    Rows and ledger row are named by run and batch and replace what an earlier,
+    unfinished attempt left, so a repeated batch counts once.  Both counts are
+    observed on the write itself.
+    """
+    ok, seen = is_valid_pair(), Observation(f"batch-{batch_id}")
+    counted = batch.observe(seen, F.count_if(ok).alias("saved"), F.count_if(~ok).alias("failed"))
+    name = f"{run}-{batch_id:09d}"
+    rows = stamp(counted.filter(ok), session_id, timestamp)
+    rows.write.mode("overwrite").partitionBy("session_id").json(f"{out_dir}/run={name}")
+    row = {"session_id": session_id, "run": name, "batch_id": batch_id, **seen.get}
+    put_record(batch.sparkSession, ledger_of(out_dir), name, [row])
+
+
 def stream_pairs(
     spark: SparkSession,
     in_dir: str,
@@ -34,33 +44,26 @@ def stream_pairs(
     timestamp: Column | None = None,
     max_files: int = 1000,
 ) -> StreamingQuery:
-    """Append the valid pairs of files not seen before, stamped, as JSON lines.
+    """Save the valid pairs of files not seen before, stamped, as JSON lines.
 
-    Saved and failed counts of each batch are observed on the write itself and
-    come out through ``stream_outcome``.
+    A checkpoint folder is a run: a restart goes on in it, and another folder
+    starts another run beside it.  ``stream_outcome`` tells saved and failed
+    counts of every batch of every run.
     """
-    ok = is_valid_pair()
-    pairs = (
-        spark.readStream.schema(schemas.DPO_PAIR)
-        .option("maxFilesPerTrigger", max_files)
-        .json(in_dir)
-        .observe(OUTCOME, F.count_if(ok).alias("saved"), F.count_if(~ok).alias("failed"))
-        .filter(ok)
-    )
-    rows = stamp(pairs, session_id, F.current_timestamp() if timestamp is None else timestamp)
-    return _run(
-        rows.writeStream.format("json").outputMode("append").partitionBy("session_id"), out_dir, checkpoint
-    )
-
-
-def stream_outcome(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """(batch_id, saved, failed) of the batches Spark still remembers for a query."""
-    rows = [
-        (progress.batchId, metrics["saved"], metrics["failed"])
-        for progress in query.recentProgress
-        if (metrics := progress.observedMetrics.get(OUTCOME)) is not None
-    ]
-    return spark.createDataFrame(rows, "batch_id long, saved long, failed long")
+    run = own_id(spark, f"{checkpoint}-run")
+    when = F.current_timestamp() if timestamp is None else timestamp
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        save_batch(batch, batch_id, out_dir, run, session_id, when)
+
+    pairs = spark.readStream.schema(schemas.DPO_PAIR).option("maxFilesPerTrigger", max_files).json(in_dir)
+    return _run(pairs.writeStream.foreachBatch(save), checkpoint)
+
+
+def stream_outcome(spark: SparkSession, out_dir: str) -> DataFrame:
+    """(session_id, run, batch_id, saved, failed) of every batch saved below a folder,
+    whichever run or session of Spark wrote it."""
+    return read_ledger(spark, ledger_of(out_dir)).filter(F.col("batch_id").isNotNull())
 
 
 def stream_flatten(
@@ -75,14 +78,18 @@ def stream_flatten(
     schema = schemas.DPO_PAIR if source == "metadata" else schemas.PAIR_RECORD
     pairs = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).json(in_dir)
     rows = flatten_pairs(pairs, source)
-    return _run(rows.writeStream.format("parquet").outputMode("append"), out_dir, checkpoint)
+    return _run(rows.writeStream.format("parquet").outputMode("append").option("path", out_dir), checkpoint)
+
 
+def unseen_pages(pages: DataFrame) -> DataFrame:
+    """Readable pages of a stream whose address did not come before.
 
-def _first_of_each_url(pages: DataFrame) -> DataFrame:
-    """One page per address, and all pages without one; only ids are grouped."""
+    The addresses seen are keyed state of the stream, kept with its checkpoint, so
+    nothing that was saved is read again.  Of pages with one address the first to
+    arrive stays; pages without an address all stay.
+    """
     own = F.when(F.col("url").isNull(), F.col("page_id"))
-    first = pages.groupBy("url", own).agg(F.min("page_id").alias("page_id"))
-    return pages.join(first.select("page_id"), "page_id", "left_semi")
+    return pages.filter(F.col("html").isNotNull()).withColumn("_own", own).dropDuplicates(["url", "_own"]).drop("_own")
 
 
 def stream_pages(
@@ -93,35 +100,15 @@ def stream_pages(
     rules: PageRules = PageRules(),
     max_files: int = 1000,
 ) -> StreamingQuery:
-    """Recipe records of pages whose address is not in the output yet.
+    """Recipe records of pages whose address was not scraped yet.
 
-    Each batch owns the folder ``batch=<id>`` and overwrites it, so a batch that
-    is run again after a failure leaves the same rows.  The done set is read
-    from the other batches' address column.
+    Each batch owns the folder ``batch=<run>-<id>`` and overwrites it, so a batch
+    that is run again after a failure leaves the same addresses.
     """
-    output = f"{out_dir}/records"
-    saved_type = T.StructType([T.StructField("url", T.StringType()), T.StructField("batch", T.LongType())])
+    output, run = f"{out_dir}/records", own_id(spark, f"{checkpoint}-run")
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        done = (
-            read_or_empty(session, output, saved_type, "parquet")
-            .filter(F.col("batch") < batch_id)
-            .select("url")
-            .distinct()
-        )
-        fresh = _first_of_each_url(batch.join(done, "url", "left_anti"))
-        records = recipe_records(fresh, rules)
-        records.write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
-
-    query = (
-        spark.readStream.schema(schemas.PAGE)
-        .option("maxFilesPerTrigger", max_files)
-        .parquet(in_dir)
-        .writeStream.foreachBatch(save)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return query
+        recipe_records(batch, rules).write.mode("overwrite").parquet(f"{output}/batch={run}-{batch_id:09d}")
+
+    pages = spark.readStream.schema(schemas.PAGE).option("maxFilesPerTrigger", max_files).parquet(in_dir)
+    return _run(unseen_pages(pages).writeStream.foreachBatch(save), checkpoint)

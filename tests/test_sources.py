@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pairforge import schemas
 from pairforge.operators import batches, lengths
 from pairforge.plans import jobs
-from pairforge.sources import readers, writers
+from pairforge.sources import ledger, readers, writers
 from pairforge.streaming import streams
 
 META = {"recipe_id": 1, "recipe_name": "Ñ", "category": "basic_recipe", "context": "c"}
@@ -74,7 +74,7 @@ def test_sessions_append_list_and_publish(spark, tmp_path):
     for session in ("20250101_000000", "20250102_000000"):
         writers.append_pairs(pairs, saved, session, "2025-01-01 00:00:00")
     back = readers.read_pairs(spark, saved)
-    assert [r[0] for r in readers.list_sessions(back).collect()] == ["20250102_000000", "20250101_000000"]
+    assert [r[0] for r in readers.list_sessions(spark, saved).collect()] == ["20250102_000000", "20250101_000000"]
     assert readers.read_pairs(spark, saved, "20250101_000000").count() == 2
     assert writers.publish_pairs(back, final) == 4
     lines = [line for part in (tmp_path / "final").glob("part-*") for line in part.read_text().splitlines()]
@@ -82,12 +82,66 @@ def test_sessions_append_list_and_publish(spark, tmp_path):
     assert all("á" in line for line in lines)
 
 
+def test_a_repeated_run_leaves_each_row_once(spark, tmp_path):
+    saved = str(tmp_path / "saved")
+    (tmp_path / "in").mkdir()
+    write_lines(tmp_path / "in" / "a.json", [record(i) for i in range(1, 7)])
+    pairs = spark.read.schema(schemas.DPO_PAIR).json(str(tmp_path / "in"))
+    half = F.when(F.substring("chosen", 1, 1) <= "3", "s1").otherwise("s2")
+    stamp = "2025-01-01 00:00:00"
+    writers.save_sessions(pairs.withColumn("session_id", half), saved, stamp, "r1")
+    writers.save_sessions(pairs.withColumn("session_id", half), saved, stamp, "r1")
+    assert sorted(tuple(r) for r in readers.read_pairs(spark, saved).groupBy("session_id").count().collect()) == [("s1", 3), ("s2", 3)]
+    writers.append_pairs(pairs, saved, "s2", stamp, "r2")
+    assert readers.read_pairs(spark, saved, "s2").count() == 9
+    # the repeated run no longer has session s1
+    writers.save_sessions(pairs.withColumn("session_id", F.lit("s2")), saved, stamp, "r1")
+    assert [r[0] for r in readers.list_sessions(spark, saved).collect()] == ["s2"]
+    assert readers.read_pairs(spark, saved).count() == 12
+
+    # a run that stops half way is not read, and leaves the others alone
+    class Stop(Exception):
+        pass
+
+    def stop(*_):
+        raise Stop
+
+    put, writers.put_record = writers.put_record, stop
+    try:
+        with pytest.raises(Stop):
+            writers.append_pairs(pairs, saved, "s3", stamp, "r3")
+    finally:
+        writers.put_record = put
+    assert readers.read_pairs(spark, saved).count() == 12
+    writers.append_pairs(pairs, saved, "s3", stamp, "r3")
+    assert readers.read_pairs(spark, saved, "s3").count() == 6
+
+
+def test_raw_session_files(spark, tmp_path):
+    write_lines(tmp_path / "session_20250103_070000.jsonl", [record(1), record(2)])
+    write_lines(tmp_path / "session_20250104_070000.jsonl", [record(3)])
+    write_lines(tmp_path / "other.jsonl", [record(4)])
+    names = [r[0] for r in readers.list_sessions(spark, str(tmp_path)).collect()]
+    assert names == ["20250104_070000", "20250103_070000"]
+    rows = readers.read_session_files(spark, str(tmp_path)).collect()
+    assert sorted((r["session_id"], int(r["chosen"][0])) for r in rows) == [
+        ("20250103_070000", 1), ("20250103_070000", 2), ("20250104_070000", 3)
+    ]
+
+
 def test_curation_writes_splits_and_csv(spark, tmp_path):
     kind = "array<struct<role:string,content:string>>"
     rows = [(i, "train" if i < 8 else "test", [("user", "w " * i * 10)], [("user", 'say "hi",\nok')]) for i in range(10)]
     frame = spark.createDataFrame(rows, f"id int, split string, chosen {kind}, rejected {kind}")
-    report = jobs.length_curation(frame, 42, str(tmp_path))
-    assert {r["metric"]: r["value"] for r in report.collect()}["exceeding"] == 3.0
+    measured = lengths.with_lengths(frame)
+    numbers = measured.drop("chosen", "rejected", "chosen_text", "rejected_text")
+    texts = measured.select("id", "chosen_text", "rejected_text")
+    report = jobs.length_curation(frame, numbers, "id", str(tmp_path), lambda some: some.join(texts, "id"), 42)
+    metrics = {r["metric"]: r["value"] for r in report.collect()}
+    assert (metrics["exceeding"], metrics["split_train"], metrics["split_test"]) == (3.0, 5.0, 2.0)
+    assert metrics["sample_5_chosen_length"] == 52.0
+    shown = {r["index"]: r["chosen_preview"] for r in spark.read.json(str(tmp_path / "samples")).collect()}
+    assert list(shown) == [5, 6, 7] and shown[5].startswith("User: w w")
     stored = spark.read.parquet(str(tmp_path / "splits"))
     assert {r["id"] for r in stored.collect()} == {0, 1, 2, 3, 4, 8, 9}
     flat = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(str(tmp_path / "csv"))
@@ -105,14 +159,48 @@ def test_pair_stream_restarts_without_repeating_rows(spark, tmp_path):
 
     write_lines(tmp_path / "in" / "a.json", [record(1), record(2, chosen="short")])
     write_lines(tmp_path / "in" / "b.json", [record(3)])
-    first = streams.stream_outcome(spark, run()).collect()
-    assert (sum(r["saved"] for r in first), sum(r["failed"] for r in first)) == (2, 1)
+    def counts():
+        rows = streams.stream_outcome(spark, out).collect()
+        return sum(r["saved"] for r in rows), sum(r["failed"] for r in rows), len(rows)
+
+    run()
+    assert counts() == (2, 1, 2)
     assert readers.read_pairs(spark, out).count() == 2
     run()
     assert readers.read_pairs(spark, out).count() == 2
     write_lines(tmp_path / "in" / "c.json", [record(4)])
     run()
     assert readers.read_pairs(spark, out).count() == 3
+    assert counts() == (3, 1, 3)
+    # another checkpoint is another run, with batch numbers of its own
+    stamp = F.to_timestamp(F.lit("2025-01-01 00:00:00"))
+    streams.stream_pairs(spark, incoming, out, str(tmp_path / "other"), "s2", stamp, max_files=2)
+    assert counts() == (6, 2, 5)
+    assert readers.read_pairs(spark, out, "s2").count() == 3
+
+
+def test_a_repeated_batch_counts_once(spark, tmp_path):
+    """A batch whose first attempt stopped before its end leaves one set of rows."""
+    write_lines(tmp_path / "a.json", [record(1), record(2, chosen="short")])
+    batch = spark.read.schema(schemas.DPO_PAIR).json(str(tmp_path / "a.json"))
+    out, stamp = str(tmp_path / "out"), F.to_timestamp(F.lit("2025-01-01 00:00:00"))
+    for _ in range(2):
+        streams.save_batch(batch, 7, out, "r", "s", stamp)
+    assert readers.read_pairs(spark, out).count() == 1
+    assert [tuple(r) for r in streams.stream_outcome(spark, out).collect()] == [("s", "r-000000007", 7, 1, 1)]
+
+
+def test_ledger_of_many_batches(spark, tmp_path):
+    """More batches than Spark remembers for a query, over several runs."""
+    folder = ledger.ledger_of(str(tmp_path / "out"))
+    for run in ("r1", "r2"):
+        for batch in range(5_100):
+            row = {"session_id": "s", "run": run, "batch_id": batch, "saved": batch % 7, "failed": 1}
+            ledger.put_record(spark, folder, f"{run}-{batch:09d}", [row])
+    for batch in range(3):  # again
+        ledger.put_record(spark, folder, f"r1-{batch:09d}", [{"session_id": "s", "run": "r1", "batch_id": batch, "saved": batch, "failed": 1}])
+    total = streams.stream_outcome(spark, str(tmp_path / "out")).agg(F.sum("saved"), F.sum("failed"), F.count("*")).first()
+    assert tuple(total) == (2 * sum(b % 7 for b in range(5_100)), 10_200, 10_200)
 
 
 def test_flatten_stream(spark, tmp_path):
@@ -135,7 +223,38 @@ def test_page_stream_skips_known_addresses(spark, tmp_path):
     add([(4, "u1", "<h1 class='entry-title'>later</h1>"), (5, "u3", "")])
     streams.stream_pages(spark, incoming, out, state)
     rows = spark.read.parquet(f"{out}/records").collect()
-    assert sorted((r["url"], r["title"]) for r in rows) == [("u1", "one"), ("u3", "Unknown Title")]
+    assert len(rows) == 2 and {r["url"] for r in rows} == {"u1", "u3"}
+    assert {r["title"] for r in rows if r["url"] == "u1"} <= {"one", "again"}
+    # pages without an address all stay, and an unreadable page does not hide a later one
+    add([(6, None, "<p>x</p>"), (7, None, "<p>x</p>"), (8, "u2", "<h1 class='entry-title'>two</h1>"), (9, "u3", "")])
+    streams.stream_pages(spark, incoming, out, state)
+    rows = spark.read.parquet(f"{out}/records").collect()
+    assert sorted(r["url"] or "" for r in rows) == ["", "", "u1", "u2", "u3"]
+
+
+def test_page_stream_goes_on_after_a_failed_batch(spark, tmp_path, monkeypatch):
+    """A batch that fails after its write is run again; known addresses stay known."""
+    incoming, out, state = (str(tmp_path / name) for name in ("in", "out", "state"))
+
+    def add(rows):
+        spark.createDataFrame(rows, schemas.PAGE).coalesce(1).write.mode("append").parquet(incoming)
+
+    add([(1, "u1", "<p>a</p>"), (2, "u2", "<p>b</p>")])
+    streams.stream_pages(spark, incoming, out, state)
+    add([(3, "u2", "<p>b</p>"), (4, "u3", "<p>c</p>")])
+    real = streams.recipe_records
+
+    def fails(pages, rules):
+        real(pages, rules).write.mode("overwrite").parquet(f"{out}/records/batch=half")
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(streams, "recipe_records", fails)
+    with pytest.raises(Exception, match="stopped"):
+        streams.stream_pages(spark, incoming, out, state)
+    monkeypatch.setattr(streams, "recipe_records", real)
+    streams.stream_pages(spark, incoming, out, state)
+    rows = spark.read.parquet(f"{out}/records").filter("batch <> 'half'").collect()
+    assert sorted(r["url"] for r in rows) == ["u1", "u2", "u3"]
 
 
 def test_caller_code_may_drop_rows(spark):
