@@ -4,15 +4,16 @@ Markup becomes token rows.  The page table is shuffled once by ``page_id``; the
 windows that find blocks and items, and the grouping back to one row per page,
 all reuse that partitioning.  Tags and classes are parameters of ``PageRules``.
 
-Rules for loose markup: an unclosed paragraph, item or bold run ends at the
-next block tag; text of a nested list item belongs to the nested item only.
+Rules for loose markup: an unclosed paragraph or bold run ends at the next block
+tag, an unclosed list item at the next item or the end of its own list.  Text of a
+nested list belongs to the items around it as well as to its own.
 """
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
-
+from collections.abc import Sequence
 from dataclasses import dataclass
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -264,6 +265,39 @@ def _value() -> Column:
     )
 
 
+def _item(kind: str | Column, at: Column, depth: Column | None = None) -> Column:
+    kind = F.lit(kind) if isinstance(kind, str) else kind
+    depth = F.lit(0) if depth is None else depth
+    return F.struct(kind.alias("type"), at.cast("int").alias("at"), depth.cast("int").alias("depth"))
+
+
+def _list_marks() -> Column:
+    """What a token says about list items: one entry per list around it.
+
+    An item's tag begins (its position) or ends (-1) an item of the innermost list,
+    the end of a list ends the item in it, and text (null) belongs to whatever item
+    is open in each of the lists around it.
+    """
+    level, none = F.col("list_level"), F.lit(None)
+    own = F.when(_is("open", "li"), F.col("pos")).when(_is("close", "li"), F.lit(-1))
+    return (
+        F.when((F.col("kind") == "text") & (level > 0), F.transform(F.sequence(F.lit(1), level), lambda d: _item("li", none, d)))
+        .when(own.isNotNull() & (level > 0), F.array(_item("li", own, level)))
+        .when(_is("close", *LISTS) & (level >= 0), F.array(_item("li", F.lit(-1), level + 1)))
+    )
+
+
+def _with_list_owners(rows: DataFrame) -> DataFrame:
+    """The rows with the list item that each mark of a list belongs to; marks
+    outside any item go."""
+    so_far = Window.partitionBy("page_id", "item.type", "item.depth").orderBy("pos")
+    owner = F.last("item.at", ignorenulls=True).over(so_far.rowsBetween(Window.unboundedPreceding, 0))
+    listed = F.col("item.type") == "li"
+    placed = rows.withColumn("_owner", F.when(listed, F.coalesce(owner, F.lit(-1))).otherwise(F.col("item.at")))
+    own = (F.col("_owner") >= 0) & ((F.col("kind") == "text") | (F.col("_owner") == F.col("pos")))
+    return placed.filter(~listed | own).withColumn("item", F.struct(F.col("item.type").alias("type"), F.col("_owner").alias("at")))
+
+
 def _page_items(pages: DataFrame, rules: PageRules) -> DataFrame:
     """One row per page with its items in order.
 
@@ -278,7 +312,7 @@ def _page_items(pages: DataFrame, rules: PageRules) -> DataFrame:
             "p": _layer(["p"], PARAGRAPH_ENDS),
             "h": _layer(HEADINGS, CONTAINERS),
             "b": _layer(BOLD, PARAGRAPH_ENDS),
-            "li": _layer(["li"], LISTS),
+            "list_level": _nesting(*LISTS),
             "level": _nesting(*CONTAINERS),
             "ul_level": _nesting("ul"),
             "ol_level": _nesting("ol"),
@@ -295,24 +329,23 @@ def _page_items(pages: DataFrame, rules: PageRules) -> DataFrame:
     def member(kind: str) -> Column:
         owner = F.col(kind)
         mine = (owner == F.col("pos")) | ((owner >= 0) & (F.col("kind") == "text"))
-        return F.when(mine, F.struct(F.lit(kind).alias("type"), owner.alias("at")))
+        return F.when(mine, _item(kind, owner))
 
     singles = _is("open", "img", "iframe", "meta", "div", "section", *SECTION_HEADINGS, *LISTS) | _is(
         "close", *CONTAINERS
     )
     memberships = F.array_compact(
         F.array(
-            *[member(kind) for kind in ("p", "h", "b", "li")],
-            F.when(singles, F.struct(F.col("kind").alias("type"), F.col("pos").alias("at"))),
-            F.when(
-                F.col("inside") & (F.col("kind") == "text"),
-                F.struct(F.lit("c").alias("type"), F.lit(-1).alias("at")),
-            ),
+            *[member(kind) for kind in ("p", "h", "b")],
+            F.when(singles, _item(F.col("kind"), F.col("pos"))),
+            F.when(F.col("inside") & (F.col("kind") == "text"), _item("c", F.lit(-1))),
             # carries the page's own columns, and keeps pages with no other item
-            F.when(F.col("pos") == 0, F.struct(F.lit("page").alias("type"), F.lit(-2).alias("at"))),
+            F.when(F.col("pos") == 0, _item("page", F.lit(-2))),
         )
     )
-    rows = located.select("*", F.explode(memberships).alias("item"))
+    rows = _with_list_owners(
+        located.select("*", F.explode(F.concat(memberships, F.coalesce(_list_marks(), F.array()))).alias("item"))
+    )
     head = F.struct(
         "tag", "value", "is_title", "inside", "in_featured", "level", "ul_level", "ol_level", (F.col("p") >= 0).alias("in_p"),
         F.col("content_start").isNotNull().alias("has_content"),
@@ -524,8 +557,44 @@ def recipe_records(pages: DataFrame, rules: PageRules = PageRules()) -> DataFram
     return _fields(pages, rules, *SCRAPED_RECIPE.fieldNames())
 
 
+def _pieces() -> Column:
+    """Markup and text pieces of a page, as ``_tokens`` cuts them, in one array."""
+    return F.regexp_extract_all(F.regexp_replace("html", K.RX_HTML_HIDDEN, ""), F.lit(K.RX_HTML), F.lit(0))
+
+
+def _tag_pattern(names: Sequence[str], start: str = "<") -> Column:
+    return F.lit(rf"(?i)^{start}(?:{'|'.join(names)})(?![a-zA-Z0-9])")
+
+
+def _attrs_of(piece: Column) -> Column:
+    return F.regexp_extract(piece, r"(?s)^<[a-zA-Z][a-zA-Z0-9]*(.*?)/?>$", 1)
+
+
 def page_title(pages: DataFrame, rules: PageRules = PageRules()) -> DataFrame:
-    return _fields(pages, rules, "title")
+    """The title of every readable page, found inside the row: no markup moves."""
+    tag, wanted = rules.title
+    ends = _tag_pattern([*HEADINGS, *CONTAINERS], "</?")
+
+    def opens(piece: Column) -> Column:
+        named = F.rlike(piece, _tag_pattern([tag]))
+        if wanted is None:
+            return named
+        # the class is looked for in tags of the right name only
+        return F.when(named, F.array_contains(F.split(attribute(_attrs_of(piece), "class"), r"\s+"), wanted)).otherwise(False)
+
+    def text_after(pieces: Column, at: Column) -> Column:
+        rest = F.slice(pieces, at + 2, F.size(pieces))
+        until = let(rest, lambda r: F.slice(r, 1, F.coalesce(F.array_position(F.transform(r, lambda t: F.rlike(t, ends)), True) - 1, F.lit(0))))
+        whole = let(rest, lambda r: F.when(F.exists(r, lambda t: F.rlike(t, ends)), until).otherwise(r))
+        texts = F.filter(whole, lambda t: ~F.rlike(t, F.lit(K.RX_HTML_TOKEN_START)))
+        return strip(F.array_join(F.transform(texts, decode_entities), ""))
+
+    def title(pieces: Column) -> Column:
+        first = F.array_position(F.transform(pieces, opens), True)
+        return let(first.cast("int"), lambda at: F.when(at > 0, text_after(pieces, at - 1)))
+
+    readable = pages.filter(F.col("html").isNotNull())
+    return readable.select("page_id", F.coalesce(let(_pieces(), title), F.lit(K.UNKNOWN_TITLE)).alias("title"))
 
 
 def page_image(pages: DataFrame, rules: PageRules = PageRules()) -> DataFrame:
@@ -533,7 +602,11 @@ def page_image(pages: DataFrame, rules: PageRules = PageRules()) -> DataFrame:
 
 
 def page_video(pages: DataFrame, rules: PageRules = PageRules()) -> DataFrame:
-    return _fields(pages, rules, "youtube_url")
+    """The embedded video of every readable page, found inside the row."""
+    frames = F.filter(_pieces(), lambda piece: F.rlike(piece, _tag_pattern(["iframe"])))
+    sources = F.transform(frames, lambda piece: attribute(_attrs_of(piece), "src"))
+    video = F.get(F.filter(sources, lambda src: F.contains(src, F.lit(K.IFRAME_MARK))), F.lit(0))
+    return pages.filter(F.col("html").isNotNull()).select("page_id", F.coalesce(video, F.lit("")).alias("youtube_url"))
 
 
 def page_ingredients(pages: DataFrame, rules: PageRules = PageRules()) -> DataFrame:

@@ -38,8 +38,8 @@ STOP_WORDS = (
 
 # markup put in front of the page's own content, by page_id % 6
 DECOR = [
-    '<h2>Ingredientes</h2><ul><li> sal {id} </li><li>pan</li></ul><h3>Preparación</h3><ol>'
-    '<li>Uno {id}</li><li>Dos</li></ol><img src="img/{id}.png">'
+    '<h2>Ingredientes</h2><ul><li> sal {id} </li><li>pan: <ul><li>blanco</li><li>negro</ul> fresco</li></ul><h3>Preparación</h3><ol>'
+    '<li>Uno {id}<ol><li>primero<li>luego</ol></li><li>Dos</li></ol><img src="img/{id}.png">'
     '<a href="https://site.test/r/{id}">r</a><a href="https://site.test/r/{id}#comments">c</a>'
     '<a href="https://other.test/{id}">o</a><a href="https://site.test/all?a=1&amp;b=2">all</a>',
     "<p>Se necesita {id}:</p><p>harina {id}, huevos\nleche, http://a.test/{id}</p>"

@@ -212,8 +212,9 @@ CTES = {
             when kind <> 'text' and tag in ({_HEADINGS}, {_CONTAINERS}) then -1 end ignore nulls) over w, -1) as h,
           coalesce(last_value(case when kind = 'open' and tag in ('strong', 'b') then pos
             when kind <> 'text' and tag in ('strong', 'b', {_P_ENDS}) then -1 end ignore nulls) over w, -1) as b,
-          coalesce(last_value(case when kind = 'open' and tag = 'li' then pos
-            when kind <> 'text' and tag in ('li', 'ul', 'ol') then -1 end ignore nulls) over w, -1) as li,
+          sum(case when kind <> 'text' and tag in ('ul', 'ol') then case kind when 'open' then 1 else -1 end else 0 end) over w as list_level,
+          sum(case when kind <> 'text' and tag = 'ul' then case kind when 'open' then 1 else -1 end else 0 end) over w as ul_level,
+          sum(case when kind <> 'text' and tag = 'ol' then case kind when 'open' then 1 else -1 end else 0 end) over w as ol_level,
           sum(case when kind <> 'text' and tag in ({_CONTAINERS}) then case kind when 'open' then 1 else -1 end else 0 end) over w as level
         from tok t left join content using (page_id)
         window w as (partition by t.page_id order by t.pos rows between unbounded preceding and current row)""",
@@ -234,9 +235,16 @@ CTES = {
             inside and pos = b, case when pos = b then level end, p >= 0 and pos = b
           from marked where b >= 0 and (kind = 'text' or pos = b))
         group by page_id, spot, kind""",
+    "li_end": """
+        select a.page_id, a.pos as spot, coalesce(min(b.pos), 2147483647) as stop
+        from marked a left join marked b on b.page_id = a.page_id and b.pos > a.pos and (
+          (b.kind <> 'text' and b.tag = 'li' and b.list_level = a.list_level)
+          or (b.kind = 'close' and b.tag in ('ul', 'ol') and b.list_level < a.list_level))
+        where a.kind = 'open' and a.tag = 'li' and a.list_level > 0 group by a.page_id, a.pos""",
     "item": f"""
-        select page_id, li as spot, {strip("string_agg(case when kind = 'text' then text else '' end, '' order by pos)")} as text
-        from marked where li >= 0 and (kind = 'text' or pos = li) group by page_id, li""",
+        select e.page_id, e.spot, {strip("coalesce(string_agg(t.text, '' order by t.pos), '')")} as text
+        from li_end e left join marked t on t.page_id = e.page_id and t.kind = 'text' and t.pos > e.spot and t.pos < e.stop
+        group by e.page_id, e.spot""",
     "d_done": """
         select 'https://site.test/r/' || page_id as url from pages where url like 'http://%'""",
     "d_video": """

@@ -1225,8 +1225,9 @@ INGREDIENT_CTES = f"""
   next_list as (select h.page_id, min(t.pos) as u0 from first_header h join tok t on t.page_id = h.page_id
     where t.kind = 'open' and t.tag = 'ul' and t.pos > h.spot group by h.page_id),
   list_end as (select n.page_id, u0, coalesce(min(t.pos), 2147483647) as u1 from next_list n
-    left join tok t on t.page_id = n.page_id and t.kind = 'close' and t.tag = 'ul' and t.pos > n.u0
-    group by n.page_id, u0),
+    join marked s on s.page_id = n.page_id and s.pos = n.u0
+    left join marked t on t.page_id = n.page_id and t.kind = 'close' and t.tag = 'ul' and t.pos > n.u0
+      and t.ul_level < s.ul_level group by n.page_id, u0),
   listed as (select i.page_id, count(*) as n, string_agg(i.text, '|' order by i.spot) as items
     from item i join list_end e on i.page_id = e.page_id and i.spot > u0 and i.spot < u1 group by i.page_id),
   followed as (select page_id, spot, text, lag(lower(text)) over (partition by page_id order by spot) as before
@@ -1252,8 +1253,9 @@ INSTRUCTION_CTES = f"""
   ordered_list as (select s.page_id, min(t.pos) as o0 from step_header s join tok t on t.page_id = s.page_id
     where t.kind = 'open' and t.tag = 'ol' and t.pos > s.hd.spot group by s.page_id),
   ordered_end as (select o.page_id, o0, coalesce(min(t.pos), 2147483647) as o1 from ordered_list o
-    left join tok t on t.page_id = o.page_id and t.kind = 'close' and t.tag = 'ol' and t.pos > o.o0
-    group by o.page_id, o0),
+    join marked s on s.page_id = o.page_id and s.pos = o.o0
+    left join marked t on t.page_id = o.page_id and t.kind = 'close' and t.tag = 'ol' and t.pos > o.o0
+      and t.ol_level < s.ol_level group by o.page_id, o0),
   steps as (select e.page_id, coalesce(string_agg(i.text, chr(10) order by i.spot), '') as text from ordered_end e
     left join item i on i.page_id = e.page_id and i.spot > o0 and i.spot < o1 group by e.page_id),
   stop_at as (select s.page_id, coalesce(min(m.pos), 2147483647) as stop from step_header s

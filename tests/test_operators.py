@@ -283,6 +283,33 @@ def test_instruction_rules(spark):
     ]
 
 
+def test_nested_lists(spark):
+    """Text of a nested list belongs to the items around it, and to its own."""
+    lists = [
+        "<ul><li>a<ul><li>b</li></ul>c</li><li>d</li></ul><p>x</p>",
+        "<ul><li>a<ol><li>b<li>c</ol>d<li>e</ul>f",  # items that are not closed
+        "<ul><li>a<ul><li>b<ul><li>c</li></ul></li></ul></li></ul><ul><li>other</li></ul>",
+        "<ul>x<li></li>y<li>b",
+        "</ul></ul><ul><li>a</li></ul>",
+    ]
+    got = page_rows(spark, *[content("<h2>Ingredientes</h2>" + x) for x in lists])
+    assert [got[i]["ingredients"] for i in range(len(lists))] == [
+        ["abc", "b", "d"], ["abcd", "b", "c", "e"], ["abc", "bc", "c"], ["", "b"], [],
+    ]
+    steps = page_rows(spark, content("<h2>Preparación</h2><ol><li>a <ol><li>b</li></ol></li><li>c</li></ol>"))
+    assert steps[0]["instructions"] == "a b\nb\nc"
+
+
+def test_single_fields_equal_records(spark):
+    htmls = [FULL, PARAGRAPHS, None, "", "<h1>no class</h1><h1 class='x entry-title'>A<b>B</b>&amp;<h2>C", "<h1 class=entry-title>end",
+             "<h1x class='entry-title'>no</h1x><iframe src=http://www.youtube.com/embed/1>", "<h1 class='entry-title'></h1>text"]
+    frame = spark.createDataFrame([(i, "https://site.test/r/one", h) for i, h in enumerate(htmls)], schemas.PAGE)
+    whole = {r["page_id"]: r for r in pages.recipe_records(frame).collect()}
+    for column, single in (("title", pages.page_title), ("youtube_url", pages.page_video)):
+        assert {r["page_id"]: r[column] for r in single(frame).collect()} == {k: r[column] for k, r in whole.items()}
+        assert "Exchange" not in single(frame)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_failed_and_empty_pages(spark):
     got = page_rows(spark, None, "", "<!-- only --><script>var a='<p>x</p>'</script>")
     assert sorted(got) == [1, 2]
