@@ -26,6 +26,7 @@ RX_HTML_HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s
 RX_HTML_TAG = r"^</?([a-zA-Z][a-zA-Z0-9]*)"
 RX_REFERENCE = r"&#[0-9]{1,7};|&#[xX][0-9a-fA-F]{1,6};|&[a-zA-Z][a-zA-Z0-9]*;|[^&]+|&"
 RX_ARRAY_SLICE = r"(?s)\[.*\]"
+RX_ARRAY_START = r"(?s)\[.*"
 RX_EMBED = r"embed/([a-zA-Z0-9_-]+)"
 RX_PLAIN_VIDEO = r"(?:v=|youtu\.be/)([a-zA-Z0-9_-]+)"
 RX_EMBED_ANY = r"embed/([^?]+)"
@@ -36,7 +37,13 @@ RX_LIKES = (
     r'"likes":(\d+)',
     r"like this video along with ([\d,]+)",
 )
-RX_TRAILING_COMMA = r",\s*([}\]])"
+# a string, closed or not, or a comma before a closing bracket; and the same for
+# engines that go back over what they matched
+RX_TRAILING_COMMA = r'(?s)("[^"\\]*+(?:\\.[^"\\]*+)*+"?)|,\s*([}\]])'
+RX_TRAILING_COMMA_SQL = r'(?s)("[^"\\]*(?:\\.[^"\\]*)*"?)|,\s*([}\]])'
+RX_STRING = r'(?s)"[^"\\]*+(?:\\.[^"\\]*+)*+(?:"|$)'
+RX_STRING_REST = r'(?s)^[^"\\]*+(?:\\.[^"\\]*+)*+(?:"|$)'
+RX_JSON_PIECE = r'(?s)"[^"\\]*+(?:\\.[^"\\]*+)*+"|[\[\]{},"]|[^\[\]{},"]++'
 
 WATCH_PREFIX = "https://www.youtube.com/watch?v="
 EMBED_MARK = "youtube.com/embed/"

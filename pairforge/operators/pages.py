@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pairforge import constants as K
 from pairforge.functions.text import let, strip
 from pairforge.functions.urls import absolute_url
+from pairforge.operators.ordering import with_order_numbers
 from pairforge.schemas import SCRAPED_RECIPE
 
 Selector = tuple[str, str | None]
@@ -228,17 +229,14 @@ def extract_links(
 def link_slice(links: DataFrame, start: int = 0, max_links: int | None = None) -> DataFrame:
     """Cap the ordered link list, then skip the first ``start`` of it.
 
-    Without a cap the rest of the list stays distributed: the last skipped
-    position is found first and everything after it is kept by a filter.
+    Both are a filter on the links' order numbers, so no task holds more than its
+    range of the list.
     """
-    ordered = links.orderBy("page_id", "pos")
+    number = F.col("_number")
+    wanted = number >= start
     if max_links:
-        return ordered.limit(max_links).offset(start)
-    if not start:
-        return links
-    place = F.struct("page_id", "pos")
-    last_skipped = ordered.limit(start).agg(F.max(place).alias("place")).scalar()
-    return links.filter(place > last_skipped)
+        wanted = wanted & (number < max_links)
+    return with_order_numbers(links, ["page_id", "pos"], "_number").filter(wanted).drop("_number")
 
 
 def pending_links(links: DataFrame, done: DataFrame, url: str = "url") -> DataFrame:

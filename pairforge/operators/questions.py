@@ -202,13 +202,18 @@ def rejected_requests(questions: DataFrame) -> DataFrame:
     return _reply_requests(questions, F.lit(K.REJECTED_SYSTEM), K.REJECTED_USER, K.REJECTED_LIMITS)
 
 
+#: Entries of a dictionary that may be sent to every executor.
+MAX_LOOKUP = 10_000
+
+
 def lookup_join(
     rows: DataFrame, column: str, table: dict[str, str], default: str, output: str
 ) -> DataFrame:
     """The same lookups as a join, for a dictionary kept as a table.
 
-    The dictionary is fixed configuration of a few rows, hence the broadcast.
+    A dictionary of at most ``MAX_LOOKUP`` entries is broadcast; a larger one is
+    joined as Spark sees fit.
     """
     pairs = rows.sparkSession.createDataFrame(list(table.items()), f"{column} string, _value string")
-    joined = rows.join(F.broadcast(pairs), column, "left")
+    joined = rows.join(F.broadcast(pairs) if len(table) <= MAX_LOOKUP else pairs, column, "left")
     return joined.withColumn(output, F.coalesce("_value", F.lit(default))).drop("_value")

@@ -62,20 +62,30 @@ STAMP_SQL = "'2025-01-02T03:04:05.000000' as timestamp"
 # --- sources ------------------------------------------------------------------
 
 
-@query(
-    "scan_json_array",
-    """select recipe_id, recipe_name, questions, questions_category, question_type
-       from d_question where recipe_id is not null""",
-)
-def _(spark, sf_dir):
+BANK_ROWS_SQL = """select recipe_id, recipe_name, questions, questions_category, question_type
+       from d_question where recipe_id is not null"""
+
+
+def _bank_arrays(spark, sf_dir) -> str:
+    """The question bank as files of one JSON array each."""
     path = scratch_path(spark, "bank")
     bank = questions.with_recipe_id(D.d_question(spark, sf_dir))
     row = F.struct("recipe_id", "recipe_name", "questions", "questions_category", "question_type")
-    # 64 recipes and 4096 positions bound each array
-    group, block = F.floor(F.col("recipe_id") / 64), F.floor(F.col("position") / 4096)
+    # 1024 recipes and 4096 positions bound each array
+    group, block = F.floor(F.col("recipe_id") / 1024), F.floor(F.col("position") / 4096)
     arrays = bank.groupBy(group.alias("recipes"), block.alias("block")).agg(F.to_json(F.collect_list(row)).alias("value"))
     arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
-    return readers.read_records(spark, path, schemas.QUESTION)
+    return path
+
+
+@query("scan_json_array", BANK_ROWS_SQL)
+def _(spark, sf_dir):
+    return readers.read_records(spark, _bank_arrays(spark, sf_dir), schemas.QUESTION)
+
+
+@query("scan_large_array", BANK_ROWS_SQL)
+def _(spark, sf_dir):
+    return readers.read_large_arrays(spark, _bank_arrays(spark, sf_dir), schemas.QUESTION, scratch_path(spark, "cut"))
 
 
 def _saved_sessions(spark, sf_dir) -> str:
@@ -105,9 +115,9 @@ def _(spark, sf_dir):
 
 @query(
     "salvage_json_array",
-    """select conv_id, turn, cast(p.k as bigint) as position, text as question, conv_id % 3 = 1 as salvaged
+    """select conv_id, turn, cast(p.k as bigint) as position, text as question, conv_id % 3 <> 0 as salvaged
        from conversations, (select unnest([0, 1]) as k) p
-       where role = 'user' and conv_id % 3 <> 2""",
+       where role = 'user' and (conv_id % 3 <> 2 or p.k = 0)""",
 )
 def _(spark, sf_dir):
     turns = D.table(spark, sf_dir, "conversations").filter(F.col("role") == "user")

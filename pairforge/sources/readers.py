@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pairforge import constants as K
 from pairforge import schemas
 from pairforge.functions.replies import json_elements, salvaged_text
 from pairforge.functions.text import strip
@@ -16,12 +17,87 @@ CORRUPT = "_corrupt_record"
 def read_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Files that each hold one JSON array of records.
 
-    One such file cannot be split over tasks; convert large ones once with
-    ``write_parquet`` and read that instead.
+    One such file is read by one task; ``read_large_arrays`` splits it.
     """
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
+def _unquoted(text: Column, inside: bool) -> Column:
+    """The text without strings, where it begins outside or ``inside`` of one."""
+    rest = F.regexp_replace(text, K.RX_STRING_REST, "") if inside else text
+    return F.regexp_replace(rest, K.RX_STRING, "")
+
+
+def _count(text: Column, characters: str) -> Column:
+    return F.length(text) - F.length(F.translate(text, characters, ""))
+
+
+def _array_pieces(spark: SparkSession, path: str) -> DataFrame:
+    """Files cut at each ``}``: what a piece does to quotes and depth, if it begins
+    outside of a string (0) and if inside (1)."""
+    raw = spark.read.option("lineSep", "}").text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+        F.col("value").alias("text"),
+    )
+    quotes = F.regexp_count(F.regexp_replace("text", r"(?s)\\.", ""), F.lit('"'))
+    moves = {
+        f"move_{inside}": (
+            _count(_unquoted(F.col("text"), bool(inside)), "[{")
+            - _count(_unquoted(F.col("text"), bool(inside)), "]}")
+            # the bracket that ends the piece, if it is not in a string
+            - (quotes + inside + 1) % 2
+        ).cast("long")
+        for inside in (0, 1)
+    }
+    return raw.withColumns({"quotes": quotes.cast("long"), **moves})
+
+
+def read_large_arrays(spark: SparkSession, path: str, schema: T.StructType, work: str) -> DataFrame:
+    """Records of files that each hold one JSON array, every file split over tasks.
+
+    A file is cut at each ``}``, and pieces of one record are put together again.
+    Whether a piece begins inside a string, and how deep, follows from the pieces
+    before it: sums inside each split of a file, then sums over the splits (one row
+    each).  Both cases, in and out of a string, are summed, and the first sums tell
+    which one holds.  Arrays hold objects and are complete; other elements and what
+    follows the last record are passed over.  ``work`` is a folder for the pieces.
+    """
+    split = Window.partitionBy("file", "block").orderBy("at")
+    before = split.rowsBetween(Window.unboundedPreceding, -1)
+    upto = split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    odd = F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2
+    pieces = _array_pieces(spark, path).withColumn("odd", odd)
+    # sums for a split that begins outside (0) and inside (1) of a string
+    sums = {
+        f"depth_{start}": F.sum(F.when((F.col("odd") + start) % 2 == 0, F.col("move_0")).otherwise(F.col("move_1"))).over(upto)
+        for start in (0, 1)
+    }
+    pieces.withColumns(sums).drop("move_0", "move_1").write.mode("overwrite").parquet(f"{work}/pieces")
+    pieces = spark.read.parquet(f"{work}/pieces")
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = pieces.groupBy("file", "block").agg(
+        F.sum("quotes").alias("quotes"), *[F.max_by(f"depth_{s}", "at").alias(f"depth_{s}") for s in (0, 1)]
+    )
+    begun = splits.withColumn("start", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
+    moved = F.when(F.col("start") == 0, F.col("depth_0")).otherwise(F.col("depth_1"))
+    begun = begun.select("file", "block", "start", F.coalesce(F.sum(moved).over(earlier), F.lit(0)).alias("base"))
+    depth = F.col("base") + F.when(F.col("start") == 0, F.col("depth_0")).otherwise(F.col("depth_1"))
+    closes = (F.col("odd") + F.col("start") + F.col("quotes")) % 2 == 0
+    known = pieces.join(begun, ["file", "block"]).select("file", "block", "at", "text", (closes & (depth == 1)).cast("long").alias("ends"))
+    # a record's number in its file: the ends before it
+    inside = F.coalesce(F.sum("ends").over(before), F.lit(0))
+    total = known.groupBy("file", "block").agg(F.sum("ends").alias("ends"))
+    first = total.select("file", "block", F.coalesce(F.sum("ends").over(earlier), F.lit(0)).alias("first"))
+    numbered = known.withColumn("inside", inside).join(first, ["file", "block"])
+    part = F.sort_array(F.collect_list(F.struct("block", "at", "text")))
+    records = numbered.groupBy("file", (F.col("first") + F.col("inside")).alias("record")).agg(part["text"].alias("parts"))
+    body = F.regexp_replace(F.concat(F.array_join("parts", "}"), F.lit("}")), r"^[\s,\[]*", "")
+    parsed = records.select(F.when(F.startswith(body, F.lit("{")), F.from_json(body, schema)).alias("row"))
+    return parsed.filter(F.col("row").isNotNull()).select("row.*")
+
+
 def file_system(spark: SparkSession, path: str):
     """The path and its file system, as Spark's JVM sees them."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -69,7 +145,7 @@ def read_or_empty(
 
 
 def salvage_arrays(texts: DataFrame, text: str, element: T.StructType) -> DataFrame:
-    """Explode array texts, closing those cut off right after an element.
+    """Explode array texts; of one that was cut off, the complete elements.
 
     Adds ``salvaged``; a text that stays unreadable gives no rows.
     """

@@ -117,6 +117,34 @@ def test_lenient_parsing_keeps_trailing_commas(spark):
     ]
 
 
+def test_repair_knows_strings(spark):
+    given = ['[{"a":"x,}",},]', '["\\",]",]', '[1, ]', 'no "open ,]', '{"a":[1,\n],}']
+    assert values(spark, given, replies.repair_trailing_commas) == [
+        '[{"a":"x,}"}]', '["\\",]"]', "[1]", 'no "open ,]', '{"a":[1]}'
+    ]
+    long = '["' + "ab\\n," * 50_000 + '",]'
+    assert values(spark, [long], replies.repair_trailing_commas) == [long[:-2] + "]"]
+
+
+CUT = {
+    '[{"a":1},{"a":2': ['{"a":1}'],
+    'Text: [{"a":"]"},{"a":"x, {"},{"a"': ['{"a":"]"}', '{"a":"x, {"}'],
+    "```json\n[1, 2, 3": ["1", "2"],
+    '["x","y': ['x'],
+    "[[1,2],[3": ["[1,2]"],
+    '[{"a":1,},{"b":[1,]},': ['{"a":1}', '{"b":[1]}'],
+    "[": [],
+    "no": [],
+    '{"a":[1': [],
+}
+
+
+def test_cut_replies_keep_complete_elements(spark):
+    got = values(spark, list(CUT), lambda c: replies.reply_elements(c, lenient=True))
+    assert got == list(CUT.values())
+    assert values(spark, list(CUT), replies.reply_elements) == [[]] * len(CUT)
+
+
 def test_video_urls(spark):
     given = [
         "https://www.youtube.com/embed/tX-_1?feature=oembed",

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from pairforge import constants as K
 from pairforge import schemas
-from pairforge.operators import lengths, pages, pairs, questions, recipes, split, summary, video
+from pairforge.operators import lengths, ordering, pages, pairs, questions, recipes, split, summary, video
 
 META = (1, "R", "basic_recipe", "conceptual", "beginner", "N/A", "Ecuador")
 CHAT = [("system", "s"), ("user", "u")]
@@ -310,6 +310,22 @@ def test_single_fields_equal_records(spark):
         assert "Exchange" not in single(frame)._jdf.queryExecution().executedPlan().toString()
 
 
+def test_order_numbers_and_slices(spark):
+    rows = [(i * 7 % 1000, i % 3, f"u{i}") for i in range(2000)]
+    frame = spark.createDataFrame(rows, "page_id int, pos int, href string").repartition(7)
+    got = ordering.with_order_numbers(frame, ["page_id", "pos", "href"], "number", 9).collect()
+    assert [r["number"] for r in sorted(got, key=lambda r: r["number"])] == list(range(2000))
+    assert [tuple(r)[:3] for r in sorted(got, key=lambda r: r["number"])] == sorted(rows)
+    unique = frame.dropDuplicates(["page_id", "pos"])
+    ordered = sorted({r[:2] for r in rows})
+    for start, cap in ((0, None), (5, None), (10, 40), (0, 3), (50, 40), (1999, None), (0, 10**6)):
+        out = pages.link_slice(unique, start, cap).collect()
+        assert sorted((r["page_id"], r["pos"]) for r in out) == ordered[: cap or None][start:]
+    plan = pages.link_slice(unique, 10, 40)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in plan and "Limit" not in plan and "Window" not in plan
+    assert ordering.with_order_numbers(frame.limit(0), ["page_id"], "n").count() == 0
+
+
 def test_failed_and_empty_pages(spark):
     got = page_rows(spark, None, "", "<!-- only --><script>var a='<p>x</p>'</script>")
     assert sorted(got) == [1, 2]

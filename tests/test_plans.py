@@ -9,7 +9,7 @@ import pytest
 from pairforge.plans.queries import QUERIES
 
 # written and read back inside the query, so building the frame already runs jobs
-EAGER = re.compile(r"^(scan_json|scan_jsonl|sink_|stream_|list_sessions|pick_split|job_flatten)")
+EAGER = re.compile(r"^(scan_json|scan_jsonl|scan_large|sink_|stream_|list_sessions|pick_split|job_flatten)")
 LAZY = sorted(name for name in QUERIES if not EAGER.match(name) and name != "batched_map")
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import collections
 import json
 import pathlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -53,14 +55,51 @@ def test_salvage_closes_a_cut_array(spark):
         (3, '[{"question":"a"},{"question":"b'),
         (4, '{"question":"a"}'),
         (5, '[{"question":"a"},'),
+        (6, '[{"question":"a, } ] \\" {"},{"question":"b","x":[{"y":"}"'),
+        (7, '[{"question":"a","x":[1,{"y":"]"}]} , {'),
+        (8, "["),
+        (9, '[{"question":'),
     ]
     frame = spark.createDataFrame(rows, "id int, body string")
     got = readers.salvage_arrays(frame, "body", schemas.RAW_QUESTION).collect()
     assert sorted((r["id"], r["position"], r["question"], r["salvaged"]) for r in got) == [
         (1, 0, "a", False), (1, 1, "b", False), (2, 0, "a", True), (2, 1, "b", True),
+        (3, 0, "a", True), (5, 0, "a", True), (6, 0, 'a, } ] " {', True), (7, 0, "a", True),
     ]
 
 
+ARRAY = [
+    {"question": "plain", "category": "c"},
+    {"question": "brackets ]}{[ and , \" \\\\", "category": None},
+    {"question": 'a "quoted" }, {"x":1}', "category": "é}ñ"},
+    {"question": "ends in a backslash \\\\"},
+    {"question": "", "category": "{" * 40, "nested": {"a": [{"b": "}"}, {}]}},
+    {},
+]
+
+
+def test_one_large_array_is_read_by_many_tasks(spark, tmp_path):
+    """Cuts fall into strings, between brackets and inside nested objects."""
+    rng = random.Random(2)
+    records = [dict(rng.choice(ARRAY), question_type=str(i)) for i in range(3000)]
+    text = json.dumps(records, ensure_ascii=False, indent=1)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text(text)
+    (tmp_path / "in" / "b.json").write_text(json.dumps(records[:5], separators=(",", ":")))
+    (tmp_path / "in" / "c.json").write_text(" [ ] \n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7001")
+    try:
+        got = readers.read_large_arrays(spark, str(tmp_path / "in"), schemas.RAW_QUESTION, str(tmp_path / "work"))
+        assert spark.read.option("lineSep", "}").text(str(tmp_path / "in")).rdd.getNumPartitions() > 20
+        rows = got.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    key = lambda r: (r.get("question"), r.get("category"), r.get("question_type"))
+    assert collections.Counter(key(r.asDict()) for r in rows) == collections.Counter(map(key, records + records[:5]))
+    whole = readers.read_records(spark, str(tmp_path / "in"), schemas.RAW_QUESTION)
+    assert collections.Counter(map(tuple, whole.collect())) == collections.Counter(map(tuple, rows))
+
+
 def test_split_choice(spark):
     frame = spark.createDataFrame([("test", 1), ("train", 2), ("dev", 3)], "split string, id int")
     assert [r["id"] for r in readers.pick_split(frame).collect()] == [2]
