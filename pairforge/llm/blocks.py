@@ -49,8 +49,8 @@ def pack(ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:
     bodies: list[bytes] = [b""] * blocks
     for w in np.unique(width):
         rows = np.flatnonzero(width == w)
-        bits = (grid[rows][:, :, None] >> np.arange(w, dtype=np.uint32)) & 1
-        packed = np.packbits(bits.astype(np.uint8).reshape(len(rows), -1), axis=1, bitorder="little")
+        bits = np.unpackbits(grid[rows].astype("<u4").view(np.uint8), axis=1, bitorder="little").reshape(len(rows), BLOCK, 32)
+        packed = np.packbits(bits[:, :, :w].reshape(len(rows), -1), axis=1, bitorder="little")
         for row, body in zip(rows, packed, strict=True):
             bodies[row] = body.tobytes()
     heads = np.zeros(blocks, _HEAD)
@@ -68,20 +68,39 @@ def block_starts(payload: bytes) -> np.ndarray:
     return np.frombuffer(payload, "<u4", int(np.frombuffer(payload, "<u4", 1, 4)[0]), 8)
 
 
+def _wide(bodies: np.ndarray, width: int) -> np.ndarray:
+    """Values of packed blocks of one width: bytes of a block a row."""
+    bits = np.zeros((len(bodies), BLOCK, 32), np.uint8)
+    bits[:, :, :width] = np.unpackbits(bodies, axis=1, bitorder="little").reshape(len(bodies), BLOCK, width)
+    return np.packbits(bits.reshape(len(bodies), -1), axis=1, bitorder="little").view("<u4")
+
+
+def open_blocks(payload: bytes, starts: np.ndarray) -> np.ndarray:
+    """The ids of some blocks, a block a row (the last one of a payload is filled up)."""
+    raw = np.frombuffer(payload, np.uint8)
+    starts = np.asarray(starts, np.int64)
+    heads = raw[starts[:, None] + np.arange(_HEAD.itemsize)].view(_HEAD).ravel()
+    values = np.empty((len(starts), BLOCK), np.uint32)
+    bodies = starts + _HEAD.itemsize
+    sizes = heads["width"].astype(np.int64) * BLOCK // 8
+    for width in np.unique(heads["width"]):
+        rows = np.flatnonzero(heads["width"] == width)
+        size = int(width) * BLOCK // 8
+        values[rows] = _wide(raw[bodies[rows][:, None] + np.arange(size)], int(width)) if size else 0
+    for row in np.flatnonzero(heads["exceptions"]):
+        at, n = int(bodies[row] + sizes[row]), int(heads["exceptions"][row])
+        values[row, np.frombuffer(payload, "<u2", n, at)] = np.frombuffer(payload, "<u4", n, at + 2 * n)
+    return values + heads["low"].astype(np.uint32)[:, None]
+
+
 def open_block(payload: bytes, start: int) -> np.ndarray:
     """The ids of one block (the last one of a payload is filled up)."""
-    head = np.frombuffer(payload, _HEAD, 1, start)[0]
-    at, width = start + _HEAD.itemsize, int(head["width"])
-    bits = np.unpackbits(np.frombuffer(payload, np.uint8, width * BLOCK // 8, at), bitorder="little").reshape(BLOCK, width)
-    values = (bits.astype(np.uint64) << np.arange(width, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
-    at, n = at + width * BLOCK // 8, int(head["exceptions"])
-    values[np.frombuffer(payload, "<u2", n, at)] = np.frombuffer(payload, "<u4", n, at + 2 * n)
-    return (values + head["low"]).astype(np.uint32)
+    return open_blocks(payload, np.array([start]))[0]
 
 
 def unpack(payload: bytes) -> np.ndarray:
     n = int(np.frombuffer(payload, "<u4", 1)[0])
-    return np.concatenate([open_block(payload, int(s)) for s in block_starts(payload)] or [np.zeros(0, np.uint32)])[:n]
+    return open_blocks(payload, block_starts(payload)).ravel()[:n]
 
 
 def write_token_blocks(documents: DataFrame, tokenizer: str, end_id: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -125,9 +144,9 @@ def write_token_blocks(documents: DataFrame, tokenizer: str, end_id: int = 0, ke
     return stored(ordered.mapInArrow(run, schema))
 
 
-def read_token_blocks(pages: DataFrame, key: str = "doc_id") -> DataFrame:
+def read_token_blocks(pages: DataFrame, key: str = "doc_id", with_ids: bool = True) -> DataFrame:
     """One row per document, from the payloads: key, start (ids of all documents
-    before it), n_tokens, ids_crc32 and ids (array of long).
+    before it), n_tokens, ids_crc32 and, if asked for, ids (array of long).
 
     The totals of the parts, one number per file part, give where each begins.
     """
@@ -145,16 +164,17 @@ def read_token_blocks(pages: DataFrame, key: str = "doc_id") -> DataFrame:
                 ends = np.cumsum(np.array(lengths, np.int64))
                 starts = ends - lengths
                 crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts, ends, strict=True)]
+                listed = [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids.astype(np.int64)))] if with_ids else []
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(keys, pa.int64()),
                         pa.array(starts + before[part] + first, pa.int64()),
                         pa.array(lengths, pa.int64()),
                         pa.array(crc, pa.int64()),
-                        pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids.astype(np.int64))),
+                        *listed,
                     ],
-                    names=["k", "start", "n_tokens", "ids_crc32", "ids"],
+                    names=["k", "start", "n_tokens", "ids_crc32", "ids"][: 4 + with_ids],
                 )
 
-    opened = pages.select("part", "first", "keys", "lengths", "payload").mapInArrow(run, "k long, start long, n_tokens long, ids_crc32 long, ids array<long>")
+    opened = pages.select("part", "first", "keys", "lengths", "payload").mapInArrow(run, "k long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids)
     return opened.withColumnRenamed("k", key)

@@ -38,7 +38,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = blocks.write_token_blocks(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
-    return blocks.read_token_blocks(pages).drop("ids")
+    return blocks.read_token_blocks(pages, with_ids=False)
 
 
 @query
