@@ -49,16 +49,22 @@ def pack(ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:
     bodies: list[bytes] = [b""] * blocks
     for w in np.unique(width):
         rows = np.flatnonzero(width == w)
-        bits = np.unpackbits(grid[rows].astype("<u4").view(np.uint8), axis=1, bitorder="little").reshape(len(rows), BLOCK, 32)
-        packed = np.packbits(bits[:, :, :w].reshape(len(rows), -1), axis=1, bitorder="little")
-        for row, body in zip(rows, packed, strict=True):
-            bodies[row] = body.tobytes()
+        # the upper bits of an exception are in its list
+        short = grid[rows].astype("<u2" if w <= 16 else "<u4")
+        bits = np.unpackbits(short.view(np.uint8), axis=1, bitorder="little").reshape(len(rows), BLOCK, 8 * short.itemsize)
+        packed, size = np.packbits(bits[:, :, :w].reshape(-1), bitorder="little").tobytes(), int(w) * BLOCK // 8
+        for at, row in enumerate(rows.tolist()):
+            bodies[row] = packed[at * size : (at + 1) * size]
     heads = np.zeros(blocks, _HEAD)
     heads["low"], heads["width"], heads["exceptions"] = low, width, over.sum(axis=1)
-    out = []
-    for row in range(blocks):
-        places = np.flatnonzero(over[row])
-        out.append(heads[row].tobytes() + bodies[row] + places.astype("<u2").tobytes() + grid[row, places].astype("<u4").tobytes())
+    head, step = heads.tobytes(), _HEAD.itemsize
+    places = np.nonzero(over)[1].astype("<u2").tobytes()
+    values = grid[over].astype("<u4").tobytes()
+    last = np.cumsum(over.sum(axis=1)).tolist()
+    out, e = [], 0
+    for row, f in enumerate(last):
+        out.append(head[row * step : (row + 1) * step] + bodies[row] + places[2 * e : 2 * f] + values[4 * e : 4 * f])
+        e = f
     sizes = np.array([len(x) for x in out], np.int64)
     starts = 8 + 4 * blocks + np.concatenate([[0], np.cumsum(sizes)[:-1]]) if blocks else np.zeros(0)
     return np.array([len(ids), blocks], "<u4").tobytes() + starts.astype("<u4").tobytes() + b"".join(out)
