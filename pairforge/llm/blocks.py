@@ -76,9 +76,10 @@ def block_starts(payload: bytes) -> np.ndarray:
 
 def _wide(bodies: np.ndarray, width: int) -> np.ndarray:
     """Values of packed blocks of one width: bytes of a block a row."""
-    bits = np.zeros((len(bodies), BLOCK, 32), np.uint8)
+    room = 16 if width <= 16 else 32
+    bits = np.zeros((len(bodies), BLOCK, room), np.uint8)
     bits[:, :, :width] = np.unpackbits(bodies, axis=1, bitorder="little").reshape(len(bodies), BLOCK, width)
-    return np.packbits(bits.reshape(len(bodies), -1), axis=1, bitorder="little").view("<u4")
+    return np.packbits(bits.reshape(len(bodies), -1), axis=1, bitorder="little").view(f"<u{room // 8}")
 
 
 def open_blocks(payload: bytes, starts: np.ndarray) -> np.ndarray:
