@@ -168,15 +168,19 @@ def pair_completeness(pairs: DataFrame, key: str, first_n: int = 100) -> DataFra
 
 def conversation_shape(pairs: DataFrame) -> DataFrame:
     """Distribution of message counts and first roles per side."""
-    sides = F.explode(
-        F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("conversation")) for s in SIDES])
+    # only the two figures of a conversation leave its row
+    sides = F.array(
+        *[
+            F.struct(
+                F.lit(s).alias("side"),
+                F.size(s).cast("long").alias("n_messages"),
+                F.try_element_at(s, F.lit(1))["role"].alias("first_role"),
+            )
+            for s in SIDES
+        ]
     )
-    rows = pairs.select(sides.alias("s")).select("s.side", "s.conversation")
-    return rows.groupBy(
-        "side",
-        F.size("conversation").cast("long").alias("n_messages"),
-        F.try_element_at("conversation", F.lit(1))["role"].alias("first_role"),
-    ).agg(F.count(F.lit(1)).alias("n"))
+    figures = pairs.select(F.explode(sides).alias("s")).select("s.*")
+    return figures.groupBy("side", "n_messages", "first_role").agg(F.count(F.lit(1)).alias("n"))
 
 
 def example_detail(measured: DataFrame, key: str, value: int) -> DataFrame:

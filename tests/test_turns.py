@@ -7,7 +7,6 @@ import re
 
 import pytest
 
-from pairforge import constants as K
 from pairforge.operators import lengths, turns
 from pairforge.plans.queries import QUERIES
 
