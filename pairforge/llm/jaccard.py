@@ -118,6 +118,13 @@ def near_duplicates(documents: DataFrame, words: int, threshold: int, key: str =
     are their own component.  Repeated rows are copies of each other.  Null keys
     take part but are never the smallest; an empty table gives no rows.
     """
+    classes = _classes(documents, words, threshold, key, text)
+    return classes.select(F.col("k").alias(key), F.col("n").alias("n_shingles"), "component_id")
+
+
+def _classes(documents: DataFrame, words: int, threshold: int, key: str, text: str) -> DataFrame:
+    """(k, h, n, component_id) per document: key, text hash, size of the set and
+    smallest key of the class."""
     source = documents.select(F.col(key).alias("k"), F.col(text).alias("t"), F.xxhash64(text).alias("h"))
     kind = source.schema["k"].dataType.simpleString()
     found = stored(_points(source, words, kind))
@@ -142,9 +149,9 @@ def near_duplicates(documents: DataFrame, words: int, threshold: int, key: str =
     named = each.join(label, each["point"] == label["node"], "left").select("point", "least", F.coalesce("component", "point").alias("component"))
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
     of_point = named.join(smallest, "component").select("point", "component_id")
-    linked_rows = points.where("n > 0").join(of_point, "point").select("k", "n", "component_id")
-    alone = points.where("n = 0").select("k", "n", F.col("k").alias("component_id"))
-    return linked_rows.unionByName(alone).select(F.col("k").alias(key), F.col("n").alias("n_shingles"), "component_id")
+    linked_rows = points.where("n > 0").join(of_point, "point").select("k", "h", "n", "component_id")
+    alone = points.where("n = 0").select("k", "h", "n", F.col("k").alias("component_id"))
+    return linked_rows.unionByName(alone)
 
 
 def _points(source: DataFrame, words: int, kind: str) -> DataFrame:
@@ -358,12 +365,27 @@ def _leaf_links(regions: DataFrame, threshold: int, words: int | None = None) ->
 
 def one_of_each_class(documents: DataFrame, words: int, threshold: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The document with the smallest key of each class of near duplicates, all
-    columns as they are.  Of rows that repeat a key one stays; rows with a null
-    key are never told apart and stay."""
-    classes = stored(near_duplicates(documents, words, threshold, key, text).select(key, "component_id"))
-    losers = classes.where(F.col(key) != F.col("component_id")).select(key).distinct()
-    kept = documents.join(losers, key, "left_anti")
-    again = stored(classes.groupBy(key).count().where("count > 1").where(F.col(key).isNotNull()).select(key))
-    if again.isEmpty():
+    columns as they are.
+
+    A row is judged by its key and its text's hash, so a text whose key also stands
+    on a near copy of something else does not go with it.  Of the rows of one key
+    that are left, the one with the smallest text hash stays (one of them, if they
+    repeat key and text).  Texts without words are in no class.  Rows with a null
+    key are never told apart and stay; an empty table gives no rows.  Whole texts
+    are compared, however long.
+    """
+    classes = stored(_classes(documents, words, threshold, key, text).select("k", "h", "component_id"))
+    losers = classes.where("k <> component_id").select("k", "h")
+    repeated = stored(classes.where("k is not null").groupBy("k").count().where("count > 1").select("k"))
+    several = not repeated.isEmpty()
+    if several:
+        left = classes.where("k = component_id").join(repeated, "k", "left_semi").select("k", "h")
+        best = left.groupBy("k").agg(F.min("h").alias("best"))
+        losers = losers.unionByName(left.join(best, "k").where("h <> best").select("k", "h"))
+    gone = losers.distinct().toDF("__k", "__h")
+    kept = documents.join(gone, (F.col(key) == F.col("__k")) & (F.xxhash64(text) == F.col("__h")), "left_anti")
+    if not several:
         return kept
-    return kept.join(again, key, "left_anti").unionByName(kept.join(again, key, "left_semi").dropDuplicates([key]))
+    again = repeated.toDF("__k")
+    same = F.col(key) == F.col("__k")
+    return kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates([key]))
