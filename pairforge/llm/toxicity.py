@@ -60,10 +60,12 @@ def held_out(key: str):
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, key: str, columns: list[str], rows: int) -> DataFrame:
     """At most ``rows`` labelled documents outside the held-out part, chosen by a
-    hash of the key: y and the given columns.  The bound makes the broadcast safe."""
+    hash of the key: y and the given columns, whatever the documents' other columns
+    are called.  The bound makes the broadcast safe."""
     known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull() & ~held_out(key))
     some = known.select(F.col(key).alias("label_key"), F.col(label).cast("int").alias("y")).orderBy(F.xxhash64("label_key"), "label_key").limit(rows)
-    return documents.join(F.broadcast(some), F.col(key) == F.col("label_key")).select("y", *columns)
+    texts = documents.select(F.col(key).alias("document_key"), F.struct(*columns).alias("row"))
+    return texts.join(F.broadcast(some), F.col("document_key") == F.col("label_key")).select("y", "row.*")
 
 
 @contextmanager
@@ -129,13 +131,19 @@ def toxicity_scores(documents: DataFrame, model: FactorizationMachine, threshold
 
 
 def without_toxic(documents: DataFrame, model: FactorizationMachine, threshold: float = 0.3, text: str = "text") -> DataFrame:
-    """The rows that score below the threshold, all columns as they are."""
+    """The rows that score below the threshold, all columns as they are.
+
+    Only the texts go to Python.  Null and empty texts get the score of no terms;
+    repeated rows and null keys are judged row by row.
+    """
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("double")
+    def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         terms, machine = Terms(), shared.value
-        for batch in slices(batches, text, 1 << 22):
-            scores = machine.scores([terms.of(t) for t in raw_texts(batch.column(text))])
-            yield batch.filter(pa.array(scores < threshold))
+        for part in texts:
+            batch = pa.RecordBatch.from_arrays([part], names=["t"])
+            found = [machine.scores([terms.of(t) for t in raw_texts(some.column("t"))]) for some in slices([batch], "t", 1 << 22)]
+            yield pa.array(np.concatenate(found) if found else np.zeros(0))
 
-    return documents.mapInArrow(run, documents.schema)
+    return documents.where(score(F.col(text)) < threshold)
