@@ -89,15 +89,17 @@ def hash_flags(hashes: DataFrame) -> np.ndarray:
 
 def by_flag(frame: DataFrame, column: str, flags: np.ndarray, flagged: bool) -> DataFrame:
     """The rows whose long hash may be among those of the flags, or the rows whose
-    hash surely is not; it spares a join most of its other rows."""
+    hash surely is not; it spares a join most of its other rows.  Only the hashes
+    go to Python.  With hashes in the millions all flags are set; the join then
+    meets all rows, and results are the same."""
     shared = frame.sparkSession.sparkContext.broadcast(flags)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            h = batch.column(column).to_numpy(zero_copy_only=False).view(np.uint64)
-            yield batch.filter(pa.array(shared.value[(h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] == flagged))
+    @F.arrow_udf("boolean")
+    def has_flag(hashes: pa.Array) -> pa.Array:
+        h = hashes.to_numpy(zero_copy_only=False).view(np.uint64)
+        return pa.array(shared.value[(h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
 
-    return frame.mapInArrow(run, frame.schema)
+    return frame.where(has_flag(F.col(column)) == F.lit(flagged))
 
 
 _SHIPPED: set[str] = set()

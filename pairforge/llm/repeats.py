@@ -220,7 +220,9 @@ def repeated_spans(documents: DataFrame, length: int = 400, key: str = "doc_id",
     small, windows = _refined(content, length, min(anchor, length))
     shards = max(1, math.ceil((small.agg(F.sum(F.octet_length("content"))).first()[0] or 0) / SHARD_BYTES))
     marked = _sharded(small, shards, length, kind)
-    spans = whole.unionByName(windows.select(*where)).unionByName(marked)
+    # each branch is written on its own: run side by side, their sorts and Python
+    # workers would share the executors' memory
+    spans = stored(whole).unionByName(stored(windows.select(*where))).unionByName(stored(marked))
     return spans.groupBy("k", "h").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans"))
 
 
