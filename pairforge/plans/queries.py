@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pairforge import constants as K
 from pairforge import schemas
 from pairforge.functions import chat, replies, text, urls
-from pairforge.operators import batches, lengths, pages, pairs, questions, recipes, split, summary, video
+from pairforge.operators import abbreviations, batches, lengths, pages, pairs, questions, recipes, split, summary, video
+from pairforge.operators.vocabulary import vocabulary_token_counts
 from pairforge.plans import derived as D
 from pairforge.plans import jobs
 from pairforge.plans import oracle as O
@@ -1165,6 +1166,81 @@ def _(spark, sf_dir):
     return D.table(spark, sf_dir, "documents").select("doc_id", text.token_count(F.col("text")).alias("n_tokens"))
 
 
+# a vocabulary of the beginnings of benchmark words; the SQL walks place by place
+VOCABULARY_SQL = f"""
+  with recursive piece as (
+      select substr(w, 1, n) as piece
+      from (select unnest(regexp_extract_all(lower(text), {O.lit(K.RX_WORD)})) as w from benchmark), range(1, 7) as r(n)
+      where n <= length(w)),
+    vocabulary as (select distinct piece from piece),
+    said as (select doc_id, unnest(regexp_extract_all(lower(text), {O.lit(K.RX_WORD)})) as word from documents),
+    counted as (select doc_id, word, count(*) as n from said group by all),
+    known as (select distinct word from said),
+    fits as (select word, p as at, max(l) as l from known, range(1, 7) as r(l), unnest(range(1, length(word) + 1)) as u(p)
+      where p + l - 1 <= length(word) and substr(word, p, l) in (select piece from vocabulary) group by word, p),
+    walk as (
+      select word, cast(1 as bigint) as at, 0 as n from known
+      union all select w.word, w.at + coalesce(f.l, 1), w.n + 1 from walk w left join fits f on f.word = w.word and f.at = w.at
+      where w.at <= length(w.word)),
+    cut as (select word, max(n) as n_tokens from walk group by word)
+  select d.doc_id, coalesce(cast(sum(c.n) as bigint), 0) as n_words, coalesce(cast(sum(c.n * t.n_tokens) as bigint), 0) as n_tokens
+  from documents d left join counted c on c.doc_id = d.doc_id left join cut t on t.word = c.word group by d.doc_id"""
+
+
+@query("vocabulary_token_counts", f"select * from ({VOCABULARY_SQL})")
+def _(spark, sf_dir):
+    said = D.table(spark, sf_dir, "benchmark").select(F.explode(text.words(F.col("text"))).alias("w"))
+    begins = F.explode(F.sequence(F.lit(1), F.least(F.lit(6), F.length("w"))))
+    vocabulary = said.select("w", begins.alias("n")).select(F.substring("w", F.lit(1), F.col("n")).alias("piece")).distinct()
+    return vocabulary_token_counts(D.table(spark, sf_dir, "documents"), ["doc_id"], vocabulary)
+
+
+# documents whose commas and conjunctions bring abbreviations with them
+ABBREVIATED_SQL = r"""abbreviated as (
+    select doc_id, replace(replace(text, ', ', ', e.g. '), ' and ', ' and dr. ') as text from documents),
+  dotted as (select unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}][\p{L}\p{N}.]*')) as token from abbreviated),
+  periods as (select regexp_replace(token, '[.]+$', '') as word, count(*) filter (where token like '%.') as k,
+    count(*) filter (where token not like '%.') as plain from dotted group by 1),
+  scored as (select word, k, plain,
+      2 * (k * ln(0.99::double) + plain * ln(0.01::double) - k * ln(share)
+           - case when plain > 0 then plain * ln(1 - share) else 0 end)
+      * exp(-chars) * (length(word) - chars + 1) / pow(chars, plain) as score
+    from (select *, length(replace(word, '.', '')) as chars, (select sum(k) / sum(k + plain) from periods) as share from periods)
+    where k >= 5 and regexp_matches(word, '\p{L}')),
+  listed as (select * from scored where score >= 0.3)"""
+
+
+def _abbreviated(spark, sf_dir) -> DataFrame:
+    seeded = F.replace(F.replace("text", F.lit(", "), F.lit(", e.g. ")), F.lit(" and "), F.lit(" and dr. "))
+    return D.table(spark, sf_dir, "documents").select("doc_id", seeded.alias("text"))
+
+
+@query("abbreviations", "select word, k as n_period, plain as n_plain, round(score, 4) as score from listed", ABBREVIATED_SQL)
+def _(spark, sf_dir):
+    return abbreviations.abbreviations(_abbreviated(spark, sf_dir)).withColumn("score", F.round("score", 4))
+
+
+# periods inside words are set aside as a noncharacter, then pieces are cut and joined
+@query(
+    "sentences_with_abbreviations",
+    rf"""select doc_id, row_number() over (partition by doc_id order by part) - 1 as sentence, body from (
+          select doc_id, part, {O.strip("string_agg(piece, '' order by i)")} as body from (
+            select *, count(*) filter (where not coalesce(goes_on, false))
+                over (partition by doc_id order by i rows between unbounded preceding and 1 preceding) as part
+            from (select p.doc_id, p.i, p.piece, l.word is not null as goes_on
+              from (select doc_id, i, replace(list[i], chr(64976), '.') as piece from (
+                  select doc_id, regexp_extract_all(regexp_replace(regexp_replace(text, '([\p{{L}}\p{{N}}])[.]([\p{{L}}\p{{N}}])',
+                    '\1' || chr(64976) || '\2', 'g'), '([\p{{L}}\p{{N}}])[.]([\p{{L}}\p{{N}}])', '\1' || chr(64976) || '\2', 'g'),
+                    {O.lit(K.RX_SENTENCE)}) as list from abbreviated), unnest(range(1, len(list) + 1)) as u(i)) p
+              left join listed l on l.word || '.' = regexp_extract(lower(p.piece), '[\p{{L}}\p{{N}}][\p{{L}}\p{{N}}.]*$')))
+          group by doc_id, part) where body <> ''""",
+    ABBREVIATED_SQL,
+)
+def _(spark, sf_dir):
+    docs = _abbreviated(spark, sf_dir)
+    return abbreviations.sentences_with_abbreviations(docs, ["doc_id"], abbreviations.abbreviations(docs))
+
+
 @query("token_count_side", "select conv_id, chosen_text, rejected_text, chosen_length, rejected_length from measured")
 def _(spark, sf_dir):
     return _measured(spark, sf_dir).select("conv_id", *lengths.MEASURED)
