@@ -32,7 +32,7 @@ from pairforge.llm.shingles import POWERS, mixed, prefix_hash
 
 ANCHOR = 64
 #: Contexts of an anchor that may meet in one shard, and bytes of a shard.
-SMALL_GROUP, SHARD_BYTES = 1024, 1 << 21
+SMALL_GROUP, SHARD_BYTES = 1024, 1 << 20
 #: Bytes of a long text that are read at once.
 PIECE = 1 << 21
 
@@ -92,31 +92,34 @@ def _pieces(text: bytes, length: int, size: int | None = None) -> Iterator[tuple
 
 
 def suffix_order(data: np.ndarray) -> np.ndarray:
-    """Suffix array by prefix doubling; only unresolved groups are sorted again."""
+    """Suffix array by prefix doubling; only unresolved groups are sorted again.
+    Places are 32-bit numbers while they fit."""
     n = len(data)
+    place_type = np.int32 if n < 1 << 30 else np.int64
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     key = np.zeros(n, np.uint64)
     for j in range(8):
-        key = (key << np.uint64(8)) | padded[j : j + n]
-    order = np.argsort(key, kind="stable")
-    new = np.concatenate([[True], key[order][1:] != key[order][:-1]])
-    rank = np.empty(n, np.int64)
-    group = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    rank[order] = group
+        key <<= np.uint64(8)
+        key |= padded[j : j + n]
+    order = np.argsort(key, kind="stable").astype(place_type)
+    key = key[order]
+    new = np.concatenate([[True], key[1:] != key[:-1]])
+    del key
+    rank = np.empty(n, place_type)
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n, dtype=place_type), place_type(0)))
     step = 8
     head = np.concatenate([new, [True]])
-    open_at = np.flatnonzero(~(head[:-1] & head[1:]))  # places in groups of two or more
+    open_at = np.flatnonzero(~(head[:-1] & head[1:])).astype(place_type)  # places in groups of two or more
     while len(open_at) and step < 2 * n:
         suffix = order[open_at]
-        after = np.where(suffix + step < n, rank[np.minimum(suffix + step, n - 1)] + 1, 0)
-        first = rank[suffix]
-        combined = first * (n + 1) + after
+        combined = rank[suffix].astype(np.int64) * (n + 1)
+        combined += np.where(suffix < n - step, rank[np.minimum(suffix, n - 1 - min(step, n - 1)) + min(step, n - 1)] + 1, 0)
         by = np.argsort(combined, kind="stable")
         suffix, combined = suffix[by], combined[by]
         order[open_at] = suffix
         new = np.concatenate([[True], combined[1:] != combined[:-1]])
-        place = np.maximum.accumulate(np.where(new, open_at, 0))
-        rank[suffix] = place
+        del by, combined
+        rank[suffix] = np.maximum.accumulate(np.where(new, open_at, place_type(0)))
         ends = np.concatenate([new[1:], [True]])
         open_at = open_at[~(new & ends)]
         step *= 2
@@ -153,13 +156,12 @@ class RunIndex:
 
     def matches(self) -> np.ndarray:
         """Longest match of each position with any other, in text order."""
-        place = np.arange(self.n)
-        out = np.zeros(self.n, np.int64)
+        reach = np.arange(self.n)
         for at, match in ((self.head_at, self.head_match), (self.tail_at, self.tail_match)):
-            reach = np.zeros(self.n, np.int64)
             np.maximum.at(reach, at, at + match)
-            out = np.maximum(out, np.maximum.accumulate(reach) - place)
-        return out
+        np.maximum.accumulate(reach, out=reach)
+        reach -= np.arange(self.n)
+        return reach
 
 
 def shard_repeats(segments: list[bytes], length: int) -> list[tuple[int, int, int]]:
