@@ -25,7 +25,7 @@ BUCKETS = 1 << 18
 #: Rows of the labelled sample that the model is fitted on.
 SAMPLE_ROWS = 20_000
 #: Words whose bucket a worker keeps.
-_KEPT = 300_000
+_KEPT = 100_000
 
 
 class Terms:
@@ -36,11 +36,11 @@ class Terms:
     """
 
     def __init__(self) -> None:
-        self.memo: dict[bytes, tuple[int, ...]] = {}
+        self.memo: dict[bytes, bytes] = {}  # a word's terms as 32-bit numbers in a row
 
-    def _terms(self, word: bytes) -> tuple[int, ...]:
+    def _terms(self, word: bytes) -> bytes:
         starts = [zlib.crc32(b"^" + word[:n]) % BUCKETS for n in range(4, 8) if len(word) >= n]
-        return (zlib.crc32(word) % BUCKETS, *starts)
+        return np.array([zlib.crc32(word) % BUCKETS, *starts], np.int32).tobytes()
 
     def of(self, text: bytes | None) -> np.ndarray:
         words, memo = set(words_of(text)), self.memo
@@ -49,8 +49,7 @@ class Terms:
         for w in words:
             if w not in memo:
                 memo[w] = self._terms(w)
-        out = set().union(*map(memo.__getitem__, words))
-        return np.sort(np.fromiter(out, np.int32, len(out)))
+        return np.unique(np.frombuffer(b"".join(map(memo.__getitem__, words)), np.int32))
 
 
 def held_out(key: str):
