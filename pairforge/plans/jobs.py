@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairforge.constants import MAX_TOKENS
+from pairforge.functions.text import token_count
 from pairforge.operators import lengths, pages, pairs, questions, recipes, split, summary, video
 from pairforge.sources.writers import write_csv, write_splits
 
@@ -115,6 +116,33 @@ def pages_to_recipes(
     return recipes.merge_recipes(existing, pages.recipe_records(fresh, rules).drop("page_id"))
 
 
+def crawl_to_recipes(
+    index_pages: DataFrame,
+    fetched: DataFrame,
+    existing: DataFrame,
+    site: str,
+    rules: pages.PageRules = pages.PageRules(),
+    start: int = 0,
+    max_links: int | None = None,
+) -> DataFrame:
+    """Existing recipes followed by those that the index pages lead to.
+
+    Links of the index pages are kept by address, each once and in the order of
+    their first place, cut to ``start`` and ``max_links`` and rid of the addresses
+    of ``existing``; only addresses move for that.  Of ``fetched`` (page_id, url,
+    html) the pages with such an address become records; a page that appears
+    several times under one address counts once, with its smallest page_id.
+    """
+    links = pages.extract_links(index_pages, site, rules.content, distinct=True)
+    if start or max_links:
+        links = pages.link_slice(links, start, max_links)
+    wanted = pages.pending_links(links, existing).select(F.col("href").alias("url"))
+    # one page of an address is chosen by keys alone, before any markup moves
+    first = fetched.groupBy("url").agg(F.min("page_id").alias("page_id")).join(wanted, "url", "left_semi")
+    fresh = fetched.join(first, ["url", "page_id"], "left_semi").dropDuplicates(["page_id"])
+    return recipes.merge_recipes(existing, pages.recipe_records(fresh, rules).drop("page_id"))
+
+
 def video_enrichment(
     recipe_table: DataFrame,
     video_pages: DataFrame,
@@ -141,7 +169,33 @@ def preference_train_set(
 def sft_train_set(
     rows: DataFrame, key: str, test_size: float = 0.1, seed: int = 42
 ) -> DataFrame:
-    """Rendered single-turn texts with their split; pack each split afterwards."""
+    """Rendered single-turn texts with their split; ``sft_blocks`` packs them."""
     usable = pairs.single_turn(pairs.standardize_turns(pairs.drop_multi_turn(rows)))
     texts = pairs.keep_columns(pairs.sft_rows(usable), [key, "text"])
     return split.train_test_split(texts, key, test_size, seed)
+
+
+def sft_blocks(
+    rows: DataFrame,
+    key: str,
+    out_dir: str,
+    max_len: int = 4096,
+    test_size: float = 0.1,
+    seed: int = 42,
+) -> DataFrame:
+    """(split, block, n_tokens, n_pieces, text): each split of the rendered texts,
+    packed into blocks of ``max_len`` tokens that hold no text of the other.
+
+    Texts are rendered, split and counted once (``texts``); both splits read that.
+    A split without rows has no blocks.
+    """
+    spark = rows.sparkSession
+    texts = sft_train_set(rows, key, test_size, seed).withColumn("n", token_count(F.col("text")))
+    texts.write.mode("overwrite").partitionBy("split").parquet(f"{out_dir}/texts")
+    counted = spark.read.schema(texts.schema).parquet(f"{out_dir}/texts")
+    packed = None
+    for name in ("train", "test"):
+        pieces = split.pack_sequences(counted.filter(F.col("split") == name), key, "text", max_len, seed, "n")
+        blocks = split.packed_blocks(pieces).select(F.lit(name).alias("split"), "block", "n_tokens", "n_pieces", "text")
+        packed = blocks if packed is None else packed.unionByName(blocks)
+    return packed

@@ -1627,6 +1627,30 @@ def _(spark, sf_dir):
     return merged.select("url", "title", joined("ingredients"), "instructions")
 
 
+ADDRESS_SQL = "'https://site.test/r/' || page_id"
+
+
+@query(
+    "job_crawl_to_recipes",
+    f"""select url, 'old' as title, '' as ingredients, '' as instructions from d_done
+        union all select {ADDRESS_SQL}, title, ingredients, instructions from ({RECORDS_SQL})
+        where {ADDRESS_SQL} in (select href from ({KEPT_SQL})) and {ADDRESS_SQL} not in (select url from d_done)""",
+    RECORD_CTES,
+)
+def _(spark, sf_dir):
+    found = D.d_page(spark, sf_dir)
+    address = F.concat(F.lit("https://site.test/r/"), F.col("page_id").cast("string"))
+    existing = D.d_done(spark, sf_dir).select(
+        F.lit("old").alias("title"),
+        "url",
+        *[F.lit("").alias(name) for name in ("image_url", "youtube_url")],
+        F.array().cast("array<string>").alias("ingredients"),
+        *[F.lit("").alias(name) for name in ("instructions", "full_content", "youtube_transcript")],
+    )
+    merged = jobs.crawl_to_recipes(found, found.withColumn("url", address), existing, "site.test")
+    return merged.select("url", "title", joined("ingredients"), "instructions")
+
+
 @query(
     "job_video_enrichment",
     f"""select t.id, v.votos, t.youtube_transcript, s.summary from told t join ({VOTES_SQL}) v on v.id = t.id
@@ -1664,6 +1688,27 @@ def _(spark, sf_dir):
     return jobs.sft_train_set(D.d_sft(spark, sf_dir), "conv_id")
 
 
+@query(
+    "job_sft_blocks",
+    """select split, block, cast(sum(n_tokens) as bigint) as n_tokens, count(*) as n_pieces,
+         string_agg(array_to_string(l[token_from + 1 : token_from + n_tokens], ''), ' ' order by s) as text
+       from sft_pieces group by split, block""",
+    f"""
+  sft as (select conv_id, text, h, case when r <= ceil(n * 0.1) then 'test' else 'train' end as split
+    from (select *, md5(conv_id || ':42') as h, row_number() over (order by md5(conv_id || ':42')) as r, count(*) over () as n
+          from ({SFT_SQL}))),
+  sft_laid as (select split, l, n, cast(coalesce(sum(n) over (partition by split order by h, conv_id
+      rows between unbounded preceding and 1 preceding), 0) as bigint) as s
+    from (select *, regexp_extract_all(text, {O.lit(K.RX_TOKEN_SPACED)}) as l,
+            cast(len(regexp_extract_all(text, {O.lit(K.RX_TOKEN)})) as bigint) as n from sft) where n > 0),
+  sft_pieces as (select split, b as block, s, l, greatest(s, b * 512) - s as token_from,
+      least(s + n, (b + 1) * 512) - greatest(s, b * 512) as n_tokens
+    from sft_laid, unnest(range(s // 512, (s + n - 1) // 512 + 1)) as t(b))""",
+)
+def _(spark, sf_dir):
+    return jobs.sft_blocks(D.d_sft(spark, sf_dir), "conv_id", scratch_path(spark, "sft"), 512)
+
+
 @query(
     "job_flatten_to_parquet",
     """select (select count(*) from d_pair) as n_rows, 'chosen, rejected, recipe_id, recipe_name, category' as columns,
