@@ -22,6 +22,8 @@ RX_END = r"(?<=[.!?])(?![.!?])(?!(?<=[\p{L}\p{N}]\.)[\p{L}\p{N}])"
 LIKELY, LEAST_SCORE = 0.99, 0.3
 #: A short word at the end of a few sentences only would score enough as well.
 LEAST_PERIODS = 5
+#: Tasks over which the pieces that end in one word are spread.
+WORD_PARTS = 64
 
 
 def period_statistics(texts: DataFrame, text: str = "text") -> DataFrame:
@@ -70,8 +72,9 @@ def sentences_with_abbreviations(
 
     ``keys`` identify a text.  Texts are cut at their end marks first; a piece
     that ends in a known word and one period goes on with the next piece.  The
-    table of known words is joined, so it may be of any size.  Null and empty
-    texts have no sentences.
+    table of known words is joined, so it may be of any size; as few words end most
+    of the pieces, it is joined in ``WORD_PARTS`` copies and the pieces are dealt
+    over them.  Null and empty texts have no sentences.
     """
     pieces = F.filter(F.split(text, RX_END), lambda p: p.rlike(r"[^.!?]"))
     cut = texts.select(*keys, F.posexplode(pieces).alias("_i", "_piece"))
@@ -80,12 +83,14 @@ def sentences_with_abbreviations(
     # no known word begins with a period, so pieces without a word match nothing, each by itself
     none = F.concat(F.lit("."), F.xxhash64(*keys, "_i").cast("string"))
     ended = cut.withColumn("_word", F.when(one_period, F.rtrim(last, F.lit("."))).otherwise(none))
-    listed = known.select(F.col(word).alias("_word"), F.lit(True).alias("_goes_on")).distinct()
+    ended = ended.withColumn("_part", F.pmod(F.xxhash64(*keys, "_i"), F.lit(WORD_PARTS)).cast("int"))
+    parts = F.explode(F.sequence(F.lit(0), F.lit(WORD_PARTS - 1))).alias("_part")
+    listed = known.select(F.col(word).alias("_word")).distinct().select("_word", parts, F.lit(True).alias("_goes_on"))
     in_text = Window.partitionBy(*keys).orderBy("_i")
     begins = F.coalesce(~F.lag("_goes_on").over(in_text), F.lit(True))
-    flagged = ended.join(listed, "_word", "left").withColumn("_goes_on", F.coalesce("_goes_on", F.lit(False)))
+    flagged = ended.join(listed, ["_word", "_part"], "left").withColumn("_goes_on", F.coalesce("_goes_on", F.lit(False)))
     numbered = flagged.withColumn("_begins", begins.cast("int")).withColumn("_sentence", F.sum("_begins").over(in_text))
-    parts = F.sort_array(F.collect_list(F.struct("_i", "_piece")))
-    whole = numbered.groupBy(*keys, "_sentence").agg(strip(F.array_join(F.transform(parts, lambda p: p["_piece"]), "")).alias("body"))
+    in_order = F.sort_array(F.collect_list(F.struct("_i", "_piece")))
+    whole = numbered.groupBy(*keys, "_sentence").agg(strip(F.array_join(F.transform(in_order, lambda p: p["_piece"]), "")).alias("body"))
     order = Window.partitionBy(*keys).orderBy("_sentence")
     return whole.where(F.col("body") != "").select(*keys, (F.row_number().over(order) - 1).cast("long").alias("sentence"), "body")

@@ -110,3 +110,12 @@ def test_split_of_very_long_texts(spark):
     known = spark.createDataFrame([("dr",)], "word string")
     sizes = {r["k"]: r["n"] for r in sentences_with_abbreviations(docs, ["k"], known).groupBy("k").count().withColumnRenamed("count", "n").collect()}
     assert sizes == {0: 1, 1: 1, 2: 2}
+
+
+def test_pieces_of_one_frequent_word_are_spread(spark):
+    docs = spark.createDataFrame([(i, f"a dr. b{i} dr. c. d") for i in range(50)], "k long, text string")
+    found = sentences_with_abbreviations(docs, ["k"], spark.createDataFrame([("dr",), ("dr",), (None,)], "word string"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"Join \[_word#\d+, _part#\d+\]", plan)
+    got = {(r["k"], r["sentence"]): r["body"] for r in found.collect()}
+    assert got == {(i, n): b for i in range(50) for n, b in enumerate([f"a dr. b{i} dr. c.", "d"])}
