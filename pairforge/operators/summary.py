@@ -6,6 +6,7 @@ unique, so partitioning by them spreads evenly.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -15,6 +16,11 @@ from pairforge import constants as K
 from pairforge.functions.text import content_words, let, sentences
 
 
+#: Text of one task.  As words with their counts and sort keys it takes some 60
+#: times its size in memory, so the tasks' sizes mustn't follow those of the table.
+TASK_BYTES = 8 << 20
+
+
 def default_stop_words(language: str = "spanish") -> list[str]:
     from pyspark.ml.feature import StopWordsRemover
 
@@ -22,6 +28,17 @@ def default_stop_words(language: str = "spanish") -> list[str]:
     return StopWordsRemover.loadDefaultStopWords(language)
 
 
+def spread_texts(texts: DataFrame, keys: Sequence[str], text: str = "text") -> DataFrame:
+    """The rows shuffled by ``keys`` into tasks of about ``TASK_BYTES`` of text.
+
+    Spark sizes tasks by the bytes shuffled, which says little about the words made
+    of them, so the texts are measured first and the number of tasks is given.
+    """
+    size = texts.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    tasks = max(texts.sparkSession.sparkContext.defaultParallelism, math.ceil(size / TASK_BYTES))
+    return texts.repartition(tasks, *keys)
+
+
 def word_frequency(
     texts: DataFrame, keys: Sequence[str], text: str = "text", stop_words: list[str] | None = None
 ) -> DataFrame:
@@ -32,8 +49,7 @@ def word_frequency(
     """
     stop_words = default_stop_words() if stop_words is None else stop_words
     return (
-        texts.select(*keys, text)
-        .repartition(*keys)
+        spread_texts(texts.select(*keys, text), keys, text)
         .select(*keys, F.explode_outer(content_words(F.col(text), stop_words)).alias("word"))
         .filter(F.col("word").isNotNull())
         .groupBy(*keys, "word")

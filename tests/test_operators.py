@@ -364,3 +364,16 @@ def test_several_replies_make_one_pair(spark):
     asked = spark.createDataFrame([(1, "q")], "recipe_id long, question string")
     said = spark.createDataFrame([(1, "q", "a", "b"), (1, "q", "c", "d")], "recipe_id long, question string, chosen string, rejected string")
     assert [(r["chosen"], r["rejected"]) for r in recipes.attach_responses(asked, said).collect()] == [("c", "d")]
+
+
+def test_tasks_of_text_operators_stay_small(spark, monkeypatch):
+    monkeypatch.setattr(summary, "TASK_BYTES", 1 << 12)
+    rows = [(i, f"uno dos tres {i}. " * 60) for i in range(400)]  # some 400 kB
+    docs = spark.createDataFrame(rows, "k long, text string")
+    for found in (
+        summary.word_frequency(docs, ["k"], "text", []),
+    ):
+        assert found.rdd.getNumPartitions() >= 90
+    got = {(r["k"], r["word"]): r["n"] for r in summary.word_frequency(docs, ["k"], "text", []).collect()}
+    assert len(got) == 4 * 400 and set(got.values()) == {60}
+    assert summary.word_frequency(docs.limit(0), ["k"], "text", []).isEmpty()
