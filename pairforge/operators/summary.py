@@ -82,7 +82,7 @@ def sentence_scores(
 ) -> DataFrame:
     """Sum of word frequencies over every word occurrence of a sentence."""
     stop_words = default_stop_words() if stop_words is None else stop_words
-    spread = texts.select(*keys, text).repartition(*keys)
+    spread = spread_texts(texts.select(*keys, text), keys, text)
     split = spread.select(*keys, sentences(F.col(text)).alias("_sentences"))
     return _scored(split, keys, stop_words).select(
         *keys, F.col("sentence").cast("long").alias("sentence"), "score"
@@ -128,7 +128,7 @@ def extractive_summary(
     closing join all reuse that partitioning.
     """
     stop_words = default_stop_words() if stop_words is None else stop_words
-    spread = texts.repartition(*keys).withColumn("_sentences", _to_summarise(F.col(text), k))
+    spread = spread_texts(texts, keys, text).withColumn("_sentences", _to_summarise(F.col(text), k))
     best = Window.partitionBy(*keys).orderBy(F.col("score").desc(), "sentence")
     picks = (
         _scored(spread, keys, stop_words)
