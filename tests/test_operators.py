@@ -372,6 +372,9 @@ def test_tasks_of_text_operators_stay_small(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "k long, text string")
     for found in (
         summary.word_frequency(docs, ["k"], "text", []),
+        summary.sentence_scores(docs, ["k"], "text", []),
+        summary.top_sentences(docs, ["k"], "text", 2, []),
+        summary.extractive_summary(docs, ["k"], "text", 2, []),
     ):
         assert found.rdd.getNumPartitions() >= 90
     got = {(r["k"], r["word"]): r["n"] for r in summary.word_frequency(docs, ["k"], "text", []).collect()}
