@@ -46,3 +46,11 @@ def test_only_needed_columns_are_read(spark, sf_dir):
     plan = plan_of(spark, "questions_with_recipe", sf_dir)
     assert "PushedFilters: [IsNotNull(role), EqualTo(role,user)" in plan
     assert "html" not in plan_of(spark, "pending_pairs", sf_dir)
+
+
+def test_lists_of_words_are_made_after_the_recipe_join(spark, sf_dir):
+    from pairforge.plans.queries import _asked
+
+    plan = _asked(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" in plan.split("Join Inner")[0]
+    assert "regexp_extract_all" not in plan.split("Join Inner")[1]
