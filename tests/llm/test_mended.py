@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import random
+
 import numpy as np
 from pyspark.sql import functions as F
 
-from pairforge.llm import jaccard, toxicity
+from pairforge.llm import jaccard, repeats, toxicity
 from pairforge.llm.common import by_flag
 from pairforge.llm.shingles import shingle_sets, word_hashes
 
@@ -78,3 +80,22 @@ def test_flags_part_the_rows(spark):
     some, others = by_flag(rows, "h", flags, True), by_flag(rows, "h", flags, False)
     assert some.columns == rows.columns and some.where("id < 10").count() == 10
     assert some.count() + others.count() == 1000 and others.where("id < 10").isEmpty()
+
+
+def test_contexts_without_shared_longer_strings_go(spark, monkeypatch):
+    """A line of 100 bytes in many texts, its surroundings all different: too short
+    for a repeat of 400 bytes, so no context is fetched for it."""
+    draw = random.Random(3)
+    line = "".join(draw.choice("abcdefgh ") for _ in range(100))
+
+    def words():
+        return "".join(draw.choice("klmnopqrst ") for _ in range(500))
+
+    twice = words()
+    rows = [(i, words() + line + words()) for i in range(30)] + [(30 + i, words() + twice + words()) for i in range(2)]
+    asked, contents = [], repeats._contents
+    monkeypatch.setattr(repeats, "_contents", lambda source, contexts, kind: contents(source, asked.append(contexts) or contexts, kind))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in repeats.without_repeats(docs).collect()}
+    assert {r["k"] for r in asked[0].collect()} == {30, 31}
+    assert got == {i: [(500, 1000)] if i >= 30 else [] for i in range(32)}
