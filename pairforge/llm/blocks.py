@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairforge.llm.common import raw_texts, slices, stored
-from pairforge.llm.tokens import WordEncoder
+from pairforge.llm.tokens import kept_encoder
 
 BLOCK = 256
 #: Share of a block's values that its width must hold.
@@ -123,7 +123,7 @@ def write_token_blocks(documents: DataFrame, tokenizer: str, end_id: int = 0, ke
     schema = "part int, page int, first long, keys array<long>, lengths array<long>, payload binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = WordEncoder(tokenizer), TaskContext.get().partitionId()
+        encoder, part = kept_encoder(tokenizer), TaskContext.get().partitionId()
         page, first, end = 0, 0, end_id.to_bytes(4, "little")
         keys: list[int | None] = []
         held: list[bytes] = []

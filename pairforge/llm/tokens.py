@@ -53,10 +53,14 @@ class WordMemo(dict):
         super().__init__()
         self.many, self.old = many, {}
 
-    def learn(self, texts: list[list[str]]) -> None:
+    def turn(self) -> None:
+        """A new generation, if this one is full."""
         if len(self) > KEPT_WORDS:
             self.old = dict(self)
             self.clear()
+
+    def learn(self, texts: list[list[str]]) -> None:
+        self.turn()
         words = [w for w in set().union(*texts) if w not in self]
         if self.old:
             self.update({w: self.old[w] for w in words if w in self.old})
@@ -66,12 +70,30 @@ class WordMemo(dict):
             self.update(zip(part, self.many(part), strict=True))
 
 
+class PieceMemo(WordMemo):
+    """A memo that finds the value of an unknown word when it is asked for: words
+    that need no company are not gathered first."""
+
+    def __init__(self, one: Callable[[str], object]):
+        super().__init__(lambda words: list(map(one, words)))
+        self.one = one
+
+    def learn(self, texts: list[list[str]]) -> None:
+        self.turn()
+
+    def __missing__(self, word: str):
+        value = self.old.get(word)
+        self[word] = value = self.one(word) if value is None else value
+        return value
+
+
 _LATIN = "\xc0-\xd6\xd8-\xf6\xf8-\xff"
 #: Texts whose normal form and pieces need no Unicode tables.
 _SHORT = "'s|'t|'re|'ve|'m|'ll|'d|"
 _PLAIN_TEXT = re.compile(f"[\\n -~{_LATIN}]*").fullmatch
 _PLAIN_DROPPED = re.compile(f"{_SHORT}[a-z{_LATIN}]+|[0-9]|[^\\sa-z0-9{_LATIN}]+").findall
-_PLAIN_SPACED = re.compile(f"{_SHORT} ?[A-Za-z{_LATIN}]+| ?[0-9]+| ?[^\\sA-Za-z0-9{_LATIN}]+|\\s+(?!\\S)|\\s+").findall
+# the most frequent first: what begins with a letter or a space is no short form
+_PLAIN_SPACED = re.compile(f" ?[A-Za-z{_LATIN}]+|{_SHORT} ?[0-9]+| ?[^\\sA-Za-z0-9{_LATIN}]+|\\s+(?!\\S)|\\s+").findall
 
 
 def _byte_characters() -> dict[int, int]:
@@ -97,6 +119,7 @@ class Pieces:
             raise ValueError("words of this vocabulary are not known to stand alone")
         self.words = bare_words if self.dropped else spaced_words
         self.bytes = _byte_characters()
+        self.space = chr(self.bytes[32])
         self.special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         for token in self.tokenizer.get_added_tokens_decoder().values():
             if _SPECIAL_SPACE.search(token.content) or token.lstrip or token.rstrip or token.single_word:
@@ -116,7 +139,12 @@ class Pieces:
 
     def spelt(self, piece: str) -> str:
         """A plain piece in the stand-in characters of its bytes."""
-        return piece if piece.isalpha() and piece.isascii() else piece.encode().decode("latin-1").translate(self.bytes)
+        if piece.isascii():
+            if piece.isalpha():
+                return piece
+            if piece[0] == " " and piece[1:].isalpha():
+                return self.space + piece[1:]
+        return piece.encode().decode("latin-1").translate(self.bytes)
 
     def of(self, word: str) -> list[str]:
         if self.mark in word:
@@ -139,9 +167,9 @@ class WordEncoder:
         self.pieces = Pieces(path)
         self.model = self.pieces.tokenizer.model
         self.id_bytes = [i.to_bytes(4, "little") for i in range(self.pieces.tokenizer.get_vocab_size())]
-        self.piece_ids = WordMemo(lambda pieces: [self._piece(p) for p in pieces])
+        self.piece_ids = PieceMemo(self._piece)
         self.memo = WordMemo(self._many)
-        self.plain = WordMemo(lambda pieces: [self._piece(self.pieces.spelt(p)) for p in pieces])
+        self.plain = PieceMemo(lambda piece: self._piece(self.pieces.spelt(piece)))
 
     def _piece(self, piece: str) -> bytes:
         if piece[0] == "\0":
@@ -159,6 +187,19 @@ class WordEncoder:
         return by_pieces(texts, self.pieces, self.plain, self.memo, b"".join)
 
 
+_KEPT: dict[tuple[str, float], WordEncoder] = {}
+
+
+def kept_encoder(path: str) -> WordEncoder:
+    """The encoder of a tokenizers file.  A worker keeps the last one, with the words
+    it met, for the tasks that follow."""
+    key = path, os.path.getmtime(path)
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = WordEncoder(path)
+    return _KEPT[key]
+
+
 def by_pieces(texts: list[str], pieces: Pieces, plain: WordMemo, words: WordMemo, total: Callable) -> list:
     """For each text, ``total`` over the values of its plain pieces, or of its
     words where it isn't plain."""

@@ -5,11 +5,13 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from pairforge.llm import jaccard, repeats, toxicity
 from pairforge.llm.common import by_flag
 from pairforge.llm.shingles import shingle_sets, word_hashes
+from pairforge.llm.tokens import _KEPT, kept_encoder
 
 A = " ".join(f"w{i}" for i in range(60))
 NEAR_A = A.replace("w59", "other")
@@ -99,3 +101,13 @@ def test_contexts_without_shared_longer_strings_go(spark, monkeypatch):
     got = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in repeats.without_repeats(docs).collect()}
     assert {r["k"] for r in asked[0].collect()} == {30, 31}
     assert got == {i: [(500, 1000)] if i >= 30 else [] for i in range(32)}
+
+
+def test_a_worker_keeps_its_encoder():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder = kept_encoder(path)
+    first = encoder.encode(["some words, it's 12", "éé\x1c  \n x"])
+    asked = []
+    encoder.plain.one = lambda piece: asked.append(piece) or b""
+    assert kept_encoder(path) is encoder and encoder.encode(["some words, it's 12"]) == first[:1] and not asked
+    _KEPT.clear()
