@@ -6,10 +6,11 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from pairforge.llm import jaccard, repeats, toxicity
-from pairforge.llm.common import by_flag
+from pairforge.llm.common import BATCH_BYTES, bound_batches, by_flag
 from pairforge.llm.shingles import shingle_sets, word_hashes
 from pairforge.llm.tokens import _KEPT, kept_encoder
 
@@ -103,6 +104,37 @@ def test_contexts_without_shared_longer_strings_go(spark, monkeypatch):
     assert got == {i: [(500, 1000)] if i >= 30 else [] for i in range(32)}
 
 
+def test_rows_without_repeats_skip_python(spark):
+    """Only rows that may have repeats go through Python, the others stay as they are."""
+    docs = spark.createDataFrame([(1, "é" * 3, 3), (2, None, None), (None, "", 0)], "doc_id long, text string, n_chars int")
+    plan = repeats.without_repeats(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.split("MapInArrow")[0].count("Union") == 1
+    got = {r["doc_id"]: (r["n_bytes"], r["spans"], bytes(r["kept"])) for r in repeats.without_repeats(docs).collect()}
+    assert got == {1: (6, [], "ééé".encode()), 2: (0, [], b""), None: (0, [], b"")}
+    assert sorted(map(str, repeats.texts_without_repeats(docs, 200).collect())) == sorted(map(str, docs.collect()))
+
+
+def test_batches_are_bounded_in_bytes(spark):
+    """10,000 long texts are no batch."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.unset(name)
+        bound_batches(spark)
+        long = spark.range(0, 9000, 1, 1).select(F.expr("repeat('word ', 1000)").alias("t"))
+        assert max(r["n"] for r in long.mapInArrow(sizes, "n long").collect()) < 2 * BATCH_BYTES
+        spark.conf.set(name, "1m")
+        bound_batches(spark)
+        assert spark.conf.get(name).startswith("1")
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_a_worker_keeps_its_encoder():
     path = public_tokenizers.path("byte_bpe_50k.json")
     encoder = kept_encoder(path)
