@@ -104,6 +104,25 @@ def test_contexts_without_shared_longer_strings_go(spark, monkeypatch):
     assert got == {i: [(500, 1000)] if i >= 30 else [] for i in range(32)}
 
 
+def test_parts_of_a_grown_string_are_one_row(spark, monkeypatch):
+    """A passage in many texts, met from several anchors and grown in several ways:
+    the part around a string at one place goes on once."""
+    monkeypatch.setattr(repeats, "SMALL_GROUP", 2)
+    written, stored = [], repeats.stored
+    monkeypatch.setattr(repeats, "stored", lambda frame, *by: written.append(stored(frame, *by)) or written[-1])
+    draw = random.Random(5)
+    passage = "".join(draw.choice("abcdefgh ") for _ in range(430))
+    around = ["".join(draw.choice("klmnopqrst ") for _ in range(300)) for _ in range(12)]
+    docs = spark.createDataFrame([(i, a + passage + a[::-1]) for i, a in enumerate(around)], "doc_id long, text string")
+    got = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in repeats.without_repeats(docs).collect()}
+    assert all(len(s) == 1 and 290 < s[0][0] <= 300 and 730 <= s[0][1] < 740 for s in got.values())  # letters beside it may agree
+    parts = [frame for frame in written if {"same", "low"} <= set(frame.columns)]
+    assert len(parts) > 5
+    for frame in parts:
+        places = frame.selectExpr("k", "start + low as place")
+        assert places.count() == places.distinct().count()
+
+
 def test_rows_without_repeats_skip_python(spark):
     """Only rows that may have repeats go through Python, the others stay as they are."""
     docs = spark.createDataFrame([(1, "é" * 3, 3), (2, None, None), (None, "", 0)], "doc_id long, text string, n_chars int")
