@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairforge.llm.common import raw_texts, slices
-from pairforge.llm.tokens import SPACE, Pieces, WordMemo, by_pieces
+from pairforge.llm.tokens import SPACE, PieceMemo, Pieces, WordMemo, by_pieces
 
 #: Characters per chunk.
 CHUNK = 1 << 16
@@ -156,7 +156,7 @@ class TokenCounter:
         self.transducer = Transducer(path)
         self.piece_counts = WordMemo(lambda pieces: [1 if p[0] == "\0" else self.transducer.count(p) for p in pieces])
         self.memo = WordMemo(self._many)
-        self.plain = WordMemo(lambda pieces: [self.transducer.count(self.pieces.spelt(p)) for p in pieces])
+        self.plain = PieceMemo(lambda piece: self.transducer.count(self.pieces.spelt(piece)))
 
     def _many(self, words: list[str]) -> list[int]:
         cut = [self.pieces.of(w) for w in words]

@@ -8,6 +8,7 @@ are looked up likewise, and a new piece is merged by the library's model.
 
 from __future__ import annotations
 
+import codecs
 import os
 import re
 from collections.abc import Callable
@@ -21,7 +22,7 @@ _ODD = re.compile("[\x1c-\x1f]")
 _SPECIAL_SPACE = re.compile(f"[{SPACE}]")
 
 #: Words kept per worker and generation; two generations are alive at most.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 400_000
 
 
 def load(path: str):
@@ -96,11 +97,11 @@ _PLAIN_DROPPED = re.compile(f"{_SHORT}[a-z{_LATIN}]+|[0-9]|[^\\sa-z0-9{_LATIN}]+
 _PLAIN_SPACED = re.compile(f" ?[A-Za-z{_LATIN}]+|{_SHORT} ?[0-9]+| ?[^\\sA-Za-z0-9{_LATIN}]+|\\s+(?!\\S)|\\s+").findall
 
 
-def _byte_characters() -> dict[int, int]:
+def _byte_characters() -> str:
     """The printable stand-in of each byte in byte-level vocabularies."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in shown]
-    return {b: b for b in shown} | {b: 256 + i for i, b in enumerate(rest)}
+    return "".join(chr(b if b in shown else 256 + rest.index(b)) for b in range(256))
 
 
 class Pieces:
@@ -118,8 +119,7 @@ class Pieces:
         if self.dropped != ("Lowercase" in before) or (not self.dropped and "use_regex=True" not in cut):
             raise ValueError("words of this vocabulary are not known to stand alone")
         self.words = bare_words if self.dropped else spaced_words
-        self.bytes = _byte_characters()
-        self.space = chr(self.bytes[32])
+        self.shown = _byte_characters()
         self.special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         for token in self.tokenizer.get_added_tokens_decoder().values():
             if _SPECIAL_SPACE.search(token.content) or token.lstrip or token.rstrip or token.single_word:
@@ -139,12 +139,7 @@ class Pieces:
 
     def spelt(self, piece: str) -> str:
         """A plain piece in the stand-in characters of its bytes."""
-        if piece.isascii():
-            if piece.isalpha():
-                return piece
-            if piece[0] == " " and piece[1:].isalpha():
-                return self.space + piece[1:]
-        return piece.encode().decode("latin-1").translate(self.bytes)
+        return codecs.charmap_decode(piece.encode(), "strict", self.shown)[0]
 
     def of(self, word: str) -> list[str]:
         if self.mark in word:
@@ -169,7 +164,7 @@ class WordEncoder:
         self.id_bytes = [i.to_bytes(4, "little") for i in range(self.pieces.tokenizer.get_vocab_size())]
         self.piece_ids = PieceMemo(self._piece)
         self.memo = WordMemo(self._many)
-        self.plain = PieceMemo(lambda piece: self._piece(self.pieces.spelt(piece)))
+        self.plain = PieceMemo(self._plain)
 
     def _piece(self, piece: str) -> bytes:
         if piece[0] == "\0":
@@ -177,6 +172,10 @@ class WordEncoder:
         known = self.id_bytes
         return b"".join([known[t.id] for t in self.model.tokenize(piece)])
 
+    def _plain(self, piece: str) -> bytes:
+        known = self.id_bytes
+        return b"".join([known[t.id] for t in self.model.tokenize(self.pieces.spelt(piece))])
+
     def _many(self, words: list[str]) -> list[bytes]:
         cut = [self.pieces.of(w) for w in words]
         self.piece_ids.learn(cut)
@@ -200,11 +199,17 @@ def kept_encoder(path: str) -> WordEncoder:
     return _KEPT[key]
 
 
-def by_pieces(texts: list[str], pieces: Pieces, plain: WordMemo, words: WordMemo, total: Callable) -> list:
+def by_pieces(texts: list[str], pieces: Pieces, plain: PieceMemo, words: WordMemo, total: Callable) -> list:
     """For each text, ``total`` over the values of its plain pieces, or of its
-    words where it isn't plain."""
-    cut = [pieces.plain(t) for t in texts]
-    other = [pieces.words(t) if c is None else None for t, c in zip(texts, cut, strict=True)]
-    plain.learn([c for c in cut if c is not None])
-    words.learn([w for w in other if w is not None])
-    return [total(map(words.__getitem__, w) if c is None else map(plain.__getitem__, c)) for c, w in zip(cut, other, strict=True)]
+    words where it isn't plain.  The pieces of one text are looked up before the
+    next is cut, so that few are held at once."""
+    plain.turn()
+    found, get = [], plain.__getitem__
+    for t in texts:
+        cut = pieces.plain(t)
+        found.append(None if cut is None else total(map(get, cut)))
+    other = {at: pieces.words(texts[at]) for at, value in enumerate(found) if value is None}
+    words.learn(list(other.values()))
+    for at, cut in other.items():
+        found[at] = total(map(words.__getitem__, cut))
+    return found

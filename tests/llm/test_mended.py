@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pairforge.llm import jaccard, repeats, toxicity
 from pairforge.llm.common import BATCH_BYTES, bound_batches, by_flag
 from pairforge.llm.shingles import shingle_sets, word_hashes
-from pairforge.llm.tokens import _KEPT, kept_encoder
+from pairforge.llm.tokens import _KEPT, WordEncoder, kept_encoder
 
 A = " ".join(f"w{i}" for i in range(60))
 NEAR_A = A.replace("w59", "other")
@@ -162,3 +162,15 @@ def test_a_worker_keeps_its_encoder():
     encoder.plain.one = lambda piece: asked.append(piece) or b""
     assert kept_encoder(path) is encoder and encoder.encode(["some words, it's 12"]) == first[:1] and not asked
     _KEPT.clear()
+
+
+def test_texts_are_looked_up_one_at_a_time():
+    """The pieces of a text are let go before the next text is cut."""
+    encoder, order = WordEncoder(public_tokenizers.path("byte_bpe_50k.json")), []
+    cut, one = encoder.pieces.plain, encoder.plain.one
+    encoder.pieces.plain = lambda text: order.append("cut") or cut(text)
+    encoder.plain.one = lambda piece: order.append(piece) or one(piece)
+    texts = ["qqa é", "\tno plain\t text", "qqb é"]
+    want = [e.ids for e in encoder.pieces.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == want
+    assert order == ["cut", "qqa", " é", "cut", "cut", "qqb"]
