@@ -123,6 +123,24 @@ def test_parts_of_a_grown_string_are_one_row(spark, monkeypatch):
         assert places.count() == places.distinct().count()
 
 
+def test_only_shared_sides_of_an_anchor_go_on(spark, monkeypatch):
+    """Passages a little too short, in many texts: a string grown to the side where
+    the texts differ makes no row."""
+    monkeypatch.setattr(repeats, "SMALL_GROUP", 2)
+    written, stored = [], repeats.stored
+    monkeypatch.setattr(repeats, "stored", lambda frame, *by: written.append(stored(frame, *by)) or written[-1])
+    draw = random.Random(6)
+
+    def words(n):
+        return "".join(draw.choice("abcdefgh ") for _ in range(n))
+
+    passages = [words(380) for _ in range(8)]
+    docs = spark.createDataFrame([(i, "".join(words(300) + p for p in passages) + words(300)) for i in range(6)], "doc_id long, text string")
+    assert all(r["spans"] == [] for r in repeats.without_repeats(docs).collect())
+    first = next(frame for frame in written if {"same", "low"} <= set(frame.columns))
+    assert first.count() > 6 and first.groupBy("group").count().where("count = 1").isEmpty()
+
+
 def test_rows_without_repeats_skip_python(spark):
     """Only rows that may have repeats go through Python, the others stay as they are."""
     docs = spark.createDataFrame([(1, "é" * 3, 3), (2, None, None), (None, "", 0)], "doc_id long, text string, n_chars int")
