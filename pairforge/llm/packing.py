@@ -34,9 +34,13 @@ WELL_FILLED = 0.995
 Bins = list[list[int]]
 
 
+def filled(items: list[int], lengths: list[int]) -> int:
+    return sum(map(lengths.__getitem__, items))
+
+
 def best_fit(bins: Bins, items: list[int], lengths: list[int], limit: int) -> Bins:
     """Put items, in the given order, each where the least room is left over."""
-    room = [limit - sum(lengths[i] for i in b) for b in bins]
+    room = [limit - filled(b, lengths) for b in bins]
     order = sorted((r, b) for b, r in enumerate(room) if r)
     for item in items:
         n = lengths[item]
@@ -59,12 +63,12 @@ def longest_first(items, lengths: list[int]) -> list[int]:
 def fitness(bins: Bins, lengths: list[int], limit: int) -> float:
     """Mean squared fill: of two packings, the one with fuller bins is nearer to
     one bin less."""
-    return sum((sum(lengths[i] for i in b) / limit) ** 2 for b in bins) / max(len(bins), 1)
+    return sum([(filled(b, lengths) / limit) ** 2 for b in bins]) / max(len(bins), 1)
 
 
 def crossover(a: Bins, b: Bins, lengths: list[int], limit: int, draw: random.Random) -> Bins:
     """A child of b with some well-filled whole bins of a."""
-    full = sorted(a, key=lambda g: -sum(lengths[i] for i in g))
+    full = sorted(a, key=lambda g: -filled(g, lengths))
     some = full[: max(1, len(full) // 2)]
     injected = [list(g) for g in draw.sample(some, max(1, len(some) // 2))]
     taken = {i for g in injected for i in g}
@@ -74,7 +78,7 @@ def crossover(a: Bins, b: Bins, lengths: list[int], limit: int, draw: random.Ran
             kept.append(list(g))
         else:
             displaced += [i for i in g if i not in taken]
-    kept.sort(key=lambda g: sum(lengths[i] for i in g))
+    kept.sort(key=lambda g: filled(g, lengths))
     opened = min(len(kept), draw.randint(1, 4))  # mutation: the least filled bins are opened
     displaced += [i for g in kept[:opened] for i in g]
     return best_fit(injected + kept[opened:], longest_first(displaced, lengths), lengths, limit)
@@ -86,7 +90,13 @@ def evolve(population: list[Bins], lengths: list[int], limit: int, draw: random.
     It ends early once a packing has as few bins as the lengths allow.
     """
     least = -(-sum(lengths) // limit)
-    worth = lambda p: (-len(p), fitness(p, lengths, limit))
+    known: dict[int, tuple[Bins, tuple[int, float]]] = {}  # a packing is measured once
+
+    def worth(p: Bins) -> tuple[int, float]:
+        if id(p) not in known:
+            known[id(p)] = p, (-len(p), fitness(p, lengths, limit))
+        return known[id(p)][1]
+
     while len(population) < POPULATION and not any(len(p) <= least for p in population):
         if not population:
             population.append(best_fit([], longest_first(range(len(lengths)), lengths), lengths, limit))

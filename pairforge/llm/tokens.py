@@ -4,6 +4,8 @@ Both supported vocabularies cut a text at white space before they merge, so the
 ids of a text are the ids of its words in order.  A worker keeps the words
 met lately with the little-endian bytes of their ids; the pieces of a new word
 are looked up likewise, and a new piece is merged by the library's model.
+Where the vocabulary drops white space, plain texts are cut together as one array
+of bytes, and each distinct piece of them is looked up once.
 """
 
 from __future__ import annotations
@@ -13,6 +15,9 @@ import os
 import re
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+
 #: White space as the vocabularies' own patterns see it (Unicode White_Space).
 SPACE = "\t\n\x0b\x0c\r \x85\xa0     　" + "".join(map(chr, range(0x2000, 0x200B)))
 _WORDS = re.compile(f"[^{SPACE}]+")
@@ -96,6 +101,36 @@ _PLAIN_DROPPED = re.compile(f"{_SHORT}[a-z{_LATIN}]+|[0-9]|[^\\sa-z0-9{_LATIN}]+
 # the most frequent first: what begins with a letter or a space is no short form
 _PLAIN_SPACED = re.compile(f" ?[A-Za-z{_LATIN}]+|{_SHORT} ?[0-9]+| ?[^\\sA-Za-z0-9{_LATIN}]+|\\s+(?!\\S)|\\s+").findall
 
+#: Bytes of a plain text in lower case: letters, digits, white space and the rest.
+_LETTER, _DIGIT, _BLANK, _REST = range(4)
+_KIND = np.full(256, _REST, np.uint8)
+_KIND[ord("a") : ord("z") + 1] = _KIND[0x80:] = _LETTER
+_KIND[ord("0") : ord("9") + 1] = _DIGIT
+_KIND[[ord("\n"), ord(" ")]] = _BLANK
+
+
+def dropped_pieces(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What ``_PLAIN_DROPPED`` finds in a plain text in lower case, as (starts, lengths,
+    the bytes of all pieces one after the other)."""
+    if not len(data):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), data
+    kind = _KIND[data]
+    first = np.concatenate([[True], kind[1:] != kind[:-1]]) | (kind == _DIGIT)
+    # an apostrophe that begins a run of the rest may begin a short form
+    mark = np.flatnonzero(data == ord("'"))
+    mark = mark[first[mark]]
+    one, two = (np.append(data, [0, 0])[mark + i] for i in (1, 2))
+    size = 2 * np.isin(one, list(b"stmd"))
+    size[((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))] = 3
+    mark, size = mark[size > 0], size[size > 0]
+    first[mark + 1] = False
+    after = mark + size
+    first[after[after < len(data)]] = True
+    starts = np.flatnonzero(first)
+    lengths = np.diff(starts, append=len(data))
+    piece = kind[starts] != _BLANK
+    return starts[piece], lengths[piece], data[kind != _BLANK]
+
 
 def _byte_characters() -> str:
     """The printable stand-in of each byte in byte-level vocabularies."""
@@ -133,10 +168,13 @@ class Pieces:
     def plain(self, text: str) -> list[str] | None:
         """The pieces of a plain text, spelt as in the text (lower case where the
         vocabulary has it); None for any other text."""
-        if not _PLAIN_TEXT(text) or (self.mark in text and self._special.search(text)):
+        if not self.is_plain(text):
             return None
         return _PLAIN_DROPPED(text.lower()) if self.dropped else _PLAIN_SPACED(text)
 
+    def is_plain(self, text: str) -> bool:
+        return bool(_PLAIN_TEXT(text)) and not (self.mark in text and self._special.search(text))
+
     def spelt(self, piece: str) -> str:
         """A plain piece in the stand-in characters of its bytes."""
         return codecs.charmap_decode(piece.encode(), "strict", self.shown)[0]
@@ -183,7 +221,28 @@ class WordEncoder:
         return [b"".join(map(get, p)) for p in cut]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        return by_pieces(texts, self.pieces, self.plain, self.memo, b"".join)
+        if not self.pieces.dropped:
+            return by_pieces(texts, self.pieces, self.plain, self.memo, b"".join)
+        found: list[bytes | None] = [None] * len(texts)
+        at = [i for i, t in enumerate(texts) if self.pieces.is_plain(t)]
+        for i, ids in zip(at, self._dropped([texts[i] for i in at]), strict=True):
+            found[i] = ids
+        return by_words(found, texts, self.pieces, self.memo, b"".join)
+
+    def _dropped(self, texts: list[str]) -> list[bytes]:
+        """The ids of plain texts, if the vocabulary drops white space."""
+        raw = [t.lower().encode() for t in texts]
+        ends = np.cumsum([len(t) + 1 for t in raw], dtype=np.int64)
+        starts, lengths, data = dropped_pieces(np.frombuffer(b"\n".join(raw), np.uint8))
+        places = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+        words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(places), pa.py_buffer(data)).dictionary_encode()
+        self.plain.turn()
+        ids = pa.array(list(map(self.plain.__getitem__, words.dictionary.to_numpy(zero_copy_only=False).tolist())), pa.large_binary()).take(words.indices)
+        _, borders, content = ids.buffers()
+        borders = np.frombuffer(borders, np.int64)[: len(ids) + 1] if len(ids) else np.zeros(1, np.int64)
+        cuts = borders[np.concatenate([[0], np.searchsorted(starts, ends)])].tolist()
+        held = memoryview(content) if content else b""
+        return [bytes(held[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 _KEPT: dict[tuple[str, float], WordEncoder] = {}
@@ -208,6 +267,11 @@ def by_pieces(texts: list[str], pieces: Pieces, plain: PieceMemo, words: WordMem
     for t in texts:
         cut = pieces.plain(t)
         found.append(None if cut is None else total(map(get, cut)))
+    return by_words(found, texts, pieces, words, total)
+
+
+def by_words(found: list, texts: list[str], pieces: Pieces, words: WordMemo, total: Callable) -> list:
+    """``found``, filled up where it is None: ``total`` over the values of the words."""
     other = {at: pieces.words(texts[at]) for at, value in enumerate(found) if value is None}
     words.learn(list(other.values()))
     for at, cut in other.items():

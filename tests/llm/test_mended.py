@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pairforge.llm import jaccard, repeats, toxicity
 from pairforge.llm.common import BATCH_BYTES, bound_batches, by_flag
 from pairforge.llm.shingles import shingle_sets, word_hashes
-from pairforge.llm.tokens import _KEPT, WordEncoder, kept_encoder
+from pairforge.llm.tokens import _KEPT, PieceMemo, WordEncoder, kept_encoder, load
 
 A = " ".join(f"w{i}" for i in range(60))
 NEAR_A = A.replace("w59", "other")
@@ -192,3 +192,35 @@ def test_texts_are_looked_up_one_at_a_time():
     want = [e.ids for e in encoder.pieces.tokenizer.encode_batch(texts, add_special_tokens=False)]
     assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == want
     assert order == ["cut", "qqa", " é", "cut", "cut", "qqb"]
+
+
+def test_distinct_pieces_are_looked_up_once():
+    """op2_best_fit_packing: however often a piece stands in the texts of a batch."""
+    asked = []
+
+    class Counted(PieceMemo):
+        def __getitem__(self, piece):
+            asked.append(piece)
+            return super().__getitem__(piece)
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder = WordEncoder(path)
+    encoder.plain = Counted(encoder._plain)
+    texts = ["some Words, " * 200, "it's some 12 words\n" * 100, ""]
+    found = encoder.encode(texts)
+    assert sorted(asked) == sorted({"some", "words", ",", "it", "'s", "1", "2"})
+    library = load(path)
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_pieces_of_a_batch_are_those_of_the_library():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, library, draw = WordEncoder(path), load(path), random.Random(7)
+    letters = "stmdrevlaxyz'' \n.,!?0123ÀéßÞÿSTMRELVD"
+    texts = ["", "'", " ", "'s", "''s", "it's", "'LL'RE'x", "x'", "x''d'd 1'st", "\n\n'", "é's's", "日本 x's", "a\tb 'll", "a\x1cb"]
+    texts += ["".join(draw.choice(letters) for _ in range(draw.randrange(60))) for _ in range(2000)]
+    texts += [f"it's {t} there" for t in encoder.pieces.special]
+    found = encoder.encode(texts)
+    for t, x in zip(texts, found, strict=True):
+        assert np.frombuffer(x, "<u4").tolist() == library.encode(t, add_special_tokens=False).ids, t
+    assert encoder.encode([]) == [] and encoder.encode(["", " \n"]) == [b"", b""]
