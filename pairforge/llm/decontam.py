@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairforge.llm.common import raw_texts, slices, with_texts
+from pairforge.llm.common import lean, raw_texts, slices, with_texts
 
 #: Text per shard, and items whose windows are searched for at once.
 SHARD_BYTES, ITEMS_AT_ONCE = 1 << 22, 20_000
@@ -214,7 +214,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = 10,
                 names=["k", "n_words", "spans", "items"],
             )
 
-    found = source.mapInArrow(run, f"k {kind}, n_words long, spans array<struct<start:int,end:int>>, items array<string>")
+    found = source.mapInArrow(lean(run), f"k {kind}, n_words long, spans array<struct<start:int,end:int>>, items array<string>")
     return found.withColumnRenamed("k", key)
 
 
@@ -233,7 +233,7 @@ def texts_without_hits(documents: DataFrame, benchmark: DataFrame, window: int =
             keep = pa.array([not s or bool(words_of(t)) for t, s in zip(texts, spans, strict=True)])
             yield with_texts(batch, text, texts).filter(keep)
 
-    return documents.mapInArrow(run, documents.schema)
+    return documents.mapInArrow(lean(run), documents.schema)
 
 
 def _without_words(text: bytes, spans: list[tuple[int, int]]) -> bytes:

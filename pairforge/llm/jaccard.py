@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairforge.llm.common import by_flag, hash_flags, raw_texts, slices, stored
+from pairforge.llm.common import by_flag, hash_flags, lean, raw_texts, slices, stored
 from pairforge.llm.components import components
 from pairforge.llm.shingles import set_id, shingle_sets
 
@@ -176,7 +176,7 @@ def _points(source: DataFrame, words: int, kind: str) -> DataFrame:
             none = [pa.nulls(len(part), like), pa.nulls(len(part), pa.int64())]
             yield pa.RecordBatch.from_arrays([*none, pa.array(seen[part]), pa.nulls(len(part), pa.int64()), pa.nulls(len(part), pa.binary()), pa.array(part.astype(np.int32))], names=names)
 
-    return source.mapInArrow(run, f"k {kind}, h long, n long, point long, sketch binary, counter int")
+    return source.mapInArrow(lean(run), f"k {kind}, h long, n long, point long, sketch binary, counter int")
 
 
 def _firsts(source: DataFrame, words: int, threshold: int, frequency: np.ndarray) -> DataFrame:
@@ -195,7 +195,7 @@ def _firsts(source: DataFrame, words: int, threshold: int, frequency: np.ndarray
             if shingle:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(shingle).view(np.int64)), pa.array(np.concatenate(point))], names=["shingle", "point"])
 
-    return source.select("t").mapInArrow(run, "shingle long, point long")
+    return source.select("t").mapInArrow(lean(run), "shingle long, point long")
 
 
 def _with_partner(members: DataFrame, one: DataFrame, threshold: int) -> DataFrame:
@@ -239,7 +239,7 @@ def _with_partner(members: DataFrame, one: DataFrame, threshold: int) -> DataFra
                     part.append(value)
         yield from done()
 
-    return dealt.mapInArrow(run, "region long, point long, n long").unionByName(sized.where(~small).select("region", "point", "n"))
+    return dealt.mapInArrow(lean(run), "region long, point long, n long").unionByName(sized.where(~small).select("region", "point", "n"))
 
 
 def _texts_of(source: DataFrame, one: DataFrame) -> DataFrame:
@@ -258,7 +258,7 @@ def _sets(texts: DataFrame, words: int) -> DataFrame:
             sets = shingle_sets(raw_texts(batch.column("t")), words)
             yield pa.RecordBatch.from_arrays([batch.column("point"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["point", "shingles"])
 
-    return texts.mapInArrow(run, "point long, shingles binary")
+    return texts.mapInArrow(lean(run), "point long, shingles binary")
 
 
 def _leaf() -> str:
@@ -319,7 +319,7 @@ def _cells(rest: DataFrame, threshold: int, depth: int) -> DataFrame:
                     out[3].append(row["size"])
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, (pa.int64(), pa.int64(), pa.binary(), pa.int64()), strict=True)], names=["region", "point", "shingles", "parent_size"])
 
-    return joined.mapInArrow(run, "region long, point long, shingles binary, parent_size long")
+    return joined.mapInArrow(lean(run), "region long, point long, shingles binary, parent_size long")
 
 
 def _blocks(rest: DataFrame) -> DataFrame:
@@ -360,7 +360,7 @@ def _leaf_links(regions: DataFrame, threshold: int, words: int | None = None) ->
                 sets.append(shingles)
         yield from done()
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(lean(run), "a long, b long")
 
 
 def one_of_each_class(documents: DataFrame, words: int, threshold: int, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairforge.llm.common import raw_texts, slices, stored
+from pairforge.llm.common import lean, raw_texts, slices, stored
 from pairforge.llm.tokens import WordEncoder
 
 #: Pieces per block, on average.
@@ -188,7 +188,7 @@ def _packed(rest: DataFrame, blocks: int, limit: int, seed: int, level: int) ->
         if turn:  # each island gets the best packing of the one before it in the ring
             elite = F.coalesce(F.lag(F.element_at("population", 1)).over(ring), F.last(F.element_at("population", 1)).over(ring.rowsBetween(0, Window.unboundedFollowing)))
             state = state.withColumn("population", F.concat(F.array(elite), "population")).drop("bins", "fit")
-        state = stored(state.mapInArrow(run, schema))
+        state = stored(state.mapInArrow(lean(run), schema))
     best = state.groupBy("block").agg(F.max_by(F.struct("rows", "lengths", F.element_at("population", 1).alias("of")), F.struct(-F.col("bins"), "fit", "island")).alias("b"))
 
     def laid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,7 +204,7 @@ def _packed(rest: DataFrame, blocks: int, limit: int, seed: int, level: int) ->
                 arrays = [np.array(best["rows"], np.int64)[order], n[order], (((np.int64(level) << 31) + block) << 31) + of[order], offsets, filled]
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()) for a in arrays], names=["row", "length", "sequence_id", "offset", "filled"])
 
-    return best.mapInArrow(laid, "row long, length long, sequence_id long, offset long, filled long")
+    return best.mapInArrow(lean(laid), "row long, length long, sequence_id long, offset long, filled long")
 
 
 def token_pieces(documents: DataFrame, tokenizer: str, limit: int = 2048, end_id: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -237,7 +237,7 @@ def token_pieces(documents: DataFrame, tokenizer: str, limit: int = 2048, end_id
             )
 
     kind = source.schema["k"].dataType.simpleString()
-    return stored(source.mapInArrow(run, f"row long, k {kind}, piece int, start long, length long, ids_crc32 long")).withColumnRenamed("k", key)
+    return stored(source.mapInArrow(lean(run), f"row long, k {kind}, piece int, start long, length long, ids_crc32 long")).withColumnRenamed("k", key)
 
 
 def packed_documents(documents: DataFrame, tokenizer: str, limit: int = 2048, end_id: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:

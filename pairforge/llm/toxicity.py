@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairforge.llm.common import raw_texts, slices
+from pairforge.llm.common import hand_back, lean, raw_texts, slices
 from pairforge.llm.decontam import words_of
 from pairforge.llm.factorization import FactorizationMachine
 
@@ -104,8 +104,8 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, key: str = "doc_id", t
             model = FactorizationMachine(BUCKETS).fit(rows, y)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
 
-    ordered = sample.mapInArrow(featurize, "y int, terms binary").repartition(1).sortWithinPartitions(F.xxhash64("terms"), "y")
-    found = ordered.mapInArrow(fit, "model binary").first()
+    ordered = sample.mapInArrow(lean(featurize), "y int, terms binary").repartition(1).sortWithinPartitions(F.xxhash64("terms"), "y")
+    found = ordered.mapInArrow(lean(fit), "model binary").first()
     return pickle.loads(found["model"]) if found else FactorizationMachine(BUCKETS).fit([], np.zeros(0))
 
 
@@ -125,7 +125,7 @@ def toxicity_scores(documents: DataFrame, model: FactorizationMachine, threshold
             scores = machine.scores([terms.of(t) for t in raw_texts(batch.column("t"))])
             yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(scores)], names=["k", "score"])
 
-    scored = source.mapInArrow(run, f"k {kind}, score double").withColumnRenamed("k", key)
+    scored = source.mapInArrow(lean(run), f"k {kind}, score double").withColumnRenamed("k", key)
     return scored.select(key, held_out(key).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
@@ -144,5 +144,7 @@ def without_toxic(documents: DataFrame, model: FactorizationMachine, threshold:
             batch = pa.RecordBatch.from_arrays([part], names=["t"])
             found = [machine.scores([terms.of(t) for t in raw_texts(some.column("t"))]) for some in slices([batch], "t", 1 << 22)]
             yield pa.array(np.concatenate(found) if found else np.zeros(0))
+        del terms, machine
+        hand_back()
 
     return documents.where(score(F.col(text)) < threshold)

@@ -9,7 +9,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from pairforge.llm import jaccard, repeats, toxicity
+from pairforge.llm import common, decontam, jaccard, packing, repeats, toxicity
 from pairforge.llm.common import BATCH_BYTES, bound_batches, by_flag
 from pairforge.llm.shingles import shingle_sets, word_hashes
 from pairforge.llm.tokens import _KEPT, PieceMemo, WordEncoder, kept_encoder, load
@@ -224,3 +224,33 @@ def test_pieces_of_a_batch_are_those_of_the_library():
     for t, x in zip(texts, found, strict=True):
         assert np.frombuffer(x, "<u4").tolist() == library.encode(t, add_special_tokens=False).ids, t
     assert encoder.encode([]) == [] and encoder.encode(["", " \n"]) == [b"", b""]
+
+
+def test_a_task_hands_back_what_it_has_freed(spark, monkeypatch):
+    """pipeline: idle workers count for their executor, so a task's own objects are
+    gone, and what they held is handed back, before its worker is idle."""
+    events = []
+
+    class Table:
+        def __del__(self):
+            events.append("freed")
+
+    def run(batches):
+        table = Table()
+        for batch in batches:
+            events.append(batch)
+            yield batch
+        assert table
+
+    common.hand_back()
+    monkeypatch.setattr(common, "hand_back", lambda: events.append("handed back"))
+    assert list(common.lean(run)(iter([1, 2]))) == [1, 2] and events == [1, 2, "freed", "handed back"]
+
+    wrapped, lean = [], common.lean
+    for module in (decontam, jaccard, packing, repeats):
+        monkeypatch.setattr(module, "lean", lambda run: wrapped.append(run) or lean(run))
+    docs = spark.createDataFrame([(1, A), (2, A), (3, B)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "w1 w2 w3")], "item_id long, text string")
+    left = repeats.texts_without_repeats(decontam.texts_without_hits(jaccard.one_of_each_class(docs, 5, 80), items), 200)
+    assert packing.packed_documents(left, public_tokenizers.path("word_bpe_49k.json")).count() == 2
+    assert {f.__qualname__.split(".")[0] for f in wrapped} >= {"texts_without_hits", "_points", "_firsts", "repeated_spans", "texts_without_repeats", "token_pieces"}
