@@ -9,6 +9,11 @@ Two sets within the radius r = 1 - threshold of each other are linked.
    The smallest point that a shingle leads among those holding it there is a
    pivot; a point belongs to the region of each pivot that leads one of its
    first shingles.  Two linked points share such a shingle, hence a region.
+   The first shingle that both hold leads the smaller set's order even earlier, and
+   their sizes are close: a point that meets no such partner at a shingle stays out
+   of that region.  First shingles move once, packed; what their sketches allow
+   to be linked in a region goes on, named by its smallest point, so that copies
+   that meet in many regions go on as one.
 3. A region too large for one task is split again by Voronoi cells of some of
    its own points: a point goes to its nearest pivot and, as a boundary point,
    to every pivot at most 2 r farther than that.  For linked x, y and the cell p
@@ -21,6 +26,7 @@ Two sets within the radius r = 1 - threshold of each other are linked.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +40,17 @@ from pairforge.llm.shingles import set_id, shingle_sets
 
 #: Points and shingles that one task joins at once.
 LEAF_POINTS, LEAF_SHINGLES = 1024, 4_000_000
+#: Leaves' points that one task compares by sketches at most.
+SKETCH_LEAVES = 32
+#: First shingles that a bucket of the join holds, that a worker packs at once, and
+#: that one row has at most: the JVM keeps rows of half a megabyte badly.
+BUCKET_FIRSTS, PACK_FIRSTS, ROW_FIRSTS = 1 << 18, 1 << 18, 1 << 13
+#: Bytes of a packed first shingle: what is kept of its hash, the point, its kind.
+HASH_BYTES, FIRST_BYTES = 5, 5 + 8 + 1
+#: Ratio of sizes of a class, and the largest class.
+SIZE_STEP, LAST_CLASS = 1.12, 126
+#: Bits of the flags that keep texts from being moved.
+TEXT_FLAG_BITS = 23
 #: Cells per split, and splits before blocks.
 PIVOTS, DEPTH = 8, 4
 #: Classes of a sketch.
@@ -47,6 +64,21 @@ def _in_first(n: int, threshold: int) -> int:
     return n - -(-n * threshold // 100) + 1
 
 
+def _in_first_of_smaller(n: int, threshold: int) -> int:
+    """Shingles of n of which a linked set of n or more holds one: they have at
+    least 2 n t / (100 + t) in common."""
+    return n - -(-2 * n * threshold // (100 + threshold)) + 1
+
+
+def size_class(n: int) -> int:
+    return min(LAST_CLASS, int(math.log(n) / math.log(SIZE_STEP)))
+
+
+def classes_apart(threshold: int) -> int:
+    """The classes that the sizes of linked sets lie apart at most."""
+    return int(math.log(100 / max(threshold, 1)) / math.log(SIZE_STEP) + 1e-9) + 1
+
+
 def linked(common: np.ndarray, total: np.ndarray, threshold: int) -> np.ndarray:
     """100 * intersection >= threshold * union, where total is the sum of sizes."""
     return 100 * common >= threshold * (total - common)
@@ -134,15 +166,15 @@ def _classes(documents: DataFrame, words: int, threshold: int, key: str, text: s
     for row in counters:
         frequency[row["counter"]] = row["n"]
 
-    firsts = _firsts(source, words, threshold, frequency)  # cheaper to make twice than to keep
-    led = firsts.groupBy("shingle").agg(F.min("point").alias("region"), F.max("point").alias("other")).where("region <> other")
-    members = stored(firsts.join(led, "shingle").select("region", "point").distinct())
+    n_firsts = points.agg(F.sum(F.expr(f"n * {100 - threshold} div 100 + 1"))).first()[0] or 0
+    firsts = _firsts(source, words, threshold, frequency, -(-n_firsts // BUCKET_FIRSTS) or 1)
+    members = stored(_members(firsts, threshold).distinct())
 
     one = points.groupBy("point").agg(F.min(F.struct("k", "h")).alias("one"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     one = stored(one.join(members.select("point").distinct(), "point", "left_semi"))
     members = stored(_with_partner(members, one, threshold))
     one = stored(one.join(members.select("point").distinct(), "point", "left_semi").select("point", "one"))
-    edges = stored(_all_links(members, _texts_of(source, one), words, threshold))
+    edges = stored(_all_links(members, source, one, words, threshold))
     label = components(edges)
 
     each = points.where("n > 0").groupBy("point").agg(F.min("k").alias("least"))
@@ -179,56 +211,175 @@ def _points(source: DataFrame, words: int, kind: str) -> DataFrame:
     return source.mapInArrow(lean(run), f"k {kind}, h long, n long, point long, sketch binary, counter int")
 
 
-def _firsts(source: DataFrame, words: int, threshold: int, frequency: np.ndarray) -> DataFrame:
+def pack_firsts(shingle: np.ndarray, point: np.ndarray, kind: np.ndarray, buckets: int) -> tuple[np.ndarray, list[bytes]]:
+    """First shingles by bucket: the bucket of each row, and its bytes.
+
+    Of a hash its last 40 bits are kept, in order, byte plane by byte plane; of
+    shingles that agree in them all, one region more is looked at, no link is lost.
+    """
+    short = shingle & np.uint64((1 << 8 * HASH_BYTES) - 1)
+    order = np.argsort(short, kind="stable")
+    short, point, kind = short[order], point[order], kind[order]
+    bucket = (short * np.uint64(buckets) >> np.uint64(8 * HASH_BYTES)).astype(np.int64)
+    cut = np.union1d(np.flatnonzero(np.diff(bucket, prepend=-1)), np.arange(0, len(bucket), ROW_FIRSTS))
+    planes = short.view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES]
+    parts = zip(cut.tolist(), [*cut[1:].tolist(), len(bucket)], strict=True)
+    return bucket[cut], [planes[a:b].T.tobytes() + point[a:b].tobytes() + kind[a:b].tobytes() for a, b in parts]
+
+
+def unpack_firsts(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(kept part of the hash, point, kind) of packed first shingles."""
+    n = len(packed) // FIRST_BYTES
+    planes = np.zeros((n, 8), np.uint8)
+    planes[:, :HASH_BYTES] = np.frombuffer(packed, np.uint8, n * HASH_BYTES).reshape(HASH_BYTES, n).T
+    point = np.frombuffer(packed, np.int64, n, n * HASH_BYTES)
+    return planes.view(np.uint64)[:, 0], point, np.frombuffer(packed, np.uint8, n, n * (HASH_BYTES + 8))
+
+
+def meeting(shingle: np.ndarray, point: np.ndarray, kind: np.ndarray, apart: int) -> tuple[np.ndarray, np.ndarray]:
+    """(region, point) of the points that meet a possible partner at a shingle.
+
+    A kind is twice the class of a size, and one more where the shingle is among
+    the first of a smaller set.  Two points are possible partners if their classes
+    are at most ``apart`` apart and the one of the smaller class is so marked (of
+    one class: either).  In the order below the nearest of a point's possible
+    partners above is the next point, below the last marked one.
+    """
+    order = np.lexsort((point, kind ^ np.uint8(1), shingle))
+    shingle, point, kind = shingle[order], point[order], kind[order]
+    same = np.zeros(len(shingle) + 1, bool)  # as the one before
+    same[1:-1] = shingle[1:] == shingle[:-1]
+    good = same[:-1] | same[1:]
+    good[1:] &= ~(same[1:-1] & (point[1:] == point[:-1]))  # a copy
+    shingle, point, kind = shingle[good], point[good], kind[good]
+    if not len(shingle):
+        return point, point
+    size, marked = (kind >> np.uint8(1)).astype(np.int64), (kind & np.uint8(1)).astype(bool)
+    above = np.zeros(len(shingle), bool)
+    above[:-1] = marked[:-1] & (shingle[1:] == shingle[:-1]) & (size[1:] - size[:-1] <= apart)
+    last = np.maximum.accumulate(np.where(marked, np.arange(len(shingle)), -1))
+    last = np.concatenate([[-1], last[:-1]])
+    below = (last >= 0) & (shingle[last] == shingle) & (size - size[last] <= apart)
+    stays = above | below
+    shingle, point = shingle[stays], point[stays]
+    if not len(shingle):
+        return point, point
+    start = np.flatnonzero(np.concatenate([[True], shingle[1:] != shingle[:-1]]))
+    region = np.repeat(np.minimum.reduceat(point, start), np.diff(np.append(start, len(shingle))))
+    return region, point
+
+
+def _firsts(source: DataFrame, words: int, threshold: int, frequency: np.ndarray, buckets: int) -> DataFrame:
+    """(bucket, firsts): the first shingles of all points, packed."""
     shared = source.sparkSession.sparkContext.broadcast(frequency)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
+        shingle, point, kind, held, total = [], [], [], set(), 0
+
+        def packed() -> pa.RecordBatch:
+            bucket, parts = pack_firsts(np.concatenate(shingle), np.concatenate(point), np.concatenate(kind), buckets)
+            return pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(parts, pa.binary())], names=["bucket", "firsts"])
+
         for batch in slices(batches, "t"):
-            shingle, point = [], []
             for s in shingle_sets(raw_texts(batch.column("t")), words):
-                if len(s):
-                    order = np.lexsort((s, counts[(s >> np.uint64(64 - FREQUENCY_BITS)).astype(np.int64)]))
-                    first = s[order[: _in_first(len(s), threshold)]]
-                    shingle.append(first)
-                    point.append(np.full(len(first), set_id(s), np.int64))
-            if shingle:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(shingle).view(np.int64)), pa.array(np.concatenate(point))], names=["shingle", "point"])
+                name = set_id(s)
+                if not len(s) or name in held:
+                    continue
+                held.add(name)
+                order = np.lexsort((s, counts[(s >> np.uint64(64 - FREQUENCY_BITS)).astype(np.int64)]))
+                first = s[order[: _in_first(len(s), threshold)]]
+                marks = np.full(len(first), 2 * size_class(len(s)), np.uint8)
+                marks[: _in_first_of_smaller(len(s), threshold)] += 1
+                shingle.append(first)
+                point.append(np.full(len(first), name, np.int64))
+                kind.append(marks)
+                total += len(first)
+                if total >= PACK_FIRSTS:
+                    yield packed()
+                    shingle, point, kind, held, total = [], [], [], set(), 0
+        if total:
+            yield packed()
+
+    return source.select("t").mapInArrow(lean(run), "bucket long, firsts binary")
+
+
+def _members(firsts: DataFrame, threshold: int) -> DataFrame:
+    """(region, point) of the points that meet others at a first shingle; rows may repeat."""
+    apart = classes_apart(threshold)
+    dealt = firsts.repartition("bucket").sortWithinPartitions("bucket")
 
-    return source.select("t").mapInArrow(lean(run), "shingle long, point long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now: int | None = None
+        held: list[tuple] = []
+
+        def done() -> Iterator[pa.RecordBatch]:
+            region, point = meeting(*(np.concatenate(x) for x in zip(*held, strict=True)), apart)
+            if len(region):
+                yield pa.RecordBatch.from_arrays([pa.array(region), pa.array(point)], names=["region", "point"])
+
+        for batch in batches:
+            for bucket, packed in zip(batch.column("bucket").to_pylist(), batch.column("firsts").to_pylist(), strict=True):
+                if bucket != now:
+                    if held:
+                        yield from done()
+                    now, held = bucket, []
+                held.append(unpack_firsts(packed))
+        if held:
+            yield from done()
+
+    return dealt.mapInArrow(lean(run), "region long, point long")
+
+
+def possible_groups(n: np.ndarray, sketches: np.ndarray, threshold: int) -> np.ndarray:
+    """A number per point, equal for those that a chain of possible links joins: the
+    sketches (a row each) allow a small enough difference."""
+    order = np.argsort(n, kind="stable")
+    n, fine = n[order], sketches[order].astype(np.int16)
+    coarse = fine.reshape(len(n), -1, 4).sum(axis=2, dtype=np.int16)
+    label = np.arange(len(n))
+    least = np.searchsorted(n, -(-n * threshold // 100))  # the first that is not too small
+    for i in range(len(n)):
+        near = np.arange(least[i], i)
+        for counts in (coarse, fine):
+            if len(near):
+                both = n[near] + n[i]
+                apart = np.abs(counts[near] - counts[i]).sum(axis=1)
+                near = near[linked((both - apart) // 2, both, threshold)]
+        for other in np.unique(label[near]):
+            if other != label[i]:
+                low, high = sorted((other, label[i]))
+                label[label == high] = low
+    out = np.empty_like(label)
+    out[order] = label
+    return out
 
 
 def _with_partner(members: DataFrame, one: DataFrame, threshold: int) -> DataFrame:
-    """Members of a region that a link is possible for: to some other member the
-    sketches allow a small enough difference.  Large regions keep all members."""
+    """(region, point, n) of the members of a region that a link is possible for, as
+    regions of what may be linked, named by the smallest point.  Points that meet in
+    several regions meet in one of these.  Very large regions keep all members."""
     sizes = members.groupBy("region").agg(F.count("*").alias("size"))
     sized = members.join(sizes, "region").join(one.select("point", "n", "sketch"), "point")
-    small = F.col("size") <= LEAF_POINTS
+    small = F.col("size") <= SKETCH_LEAVES * LEAF_POINTS
     dealt = sized.where(small).select("region", "point", "n", "sketch").repartition("region").sortWithinPartitions("region")
 
-    def possible(n: list[int], sketches: list[bytes]) -> np.ndarray:
-        counts = np.frombuffer(b"".join(sketches), np.uint8).reshape(-1, SKETCH).astype(np.int16)
-        total = np.array(n, np.int64)
-        good = np.zeros(len(n), bool)
-        for i in range(len(n)):
-            if not good[i]:
-                apart = np.abs(counts - counts[i]).sum(axis=1)
-                both = total + total[i]
-                near = linked((both - apart) // 2, both, threshold)
-                near[i] = False
-                good |= near
-                good[i] = near.any()
-        return good
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now: int | None = None
         held: tuple[list, list, list] = ([], [], [])
 
         def done() -> Iterator[pa.RecordBatch]:
-            good = possible(*held[1:]) if len(held[0]) > 1 else np.zeros(1, bool)
+            if len(held[0]) < 2:
+                return
+            point, n = (np.array(x, np.int64) for x in held[:2])
+            label = possible_groups(n, np.frombuffer(b"".join(held[2]), np.uint8).reshape(-1, SKETCH), threshold)
+            order = np.argsort(label, kind="stable")
+            start = np.flatnonzero(np.diff(label[order], prepend=-1))
+            size = np.diff(np.append(start, len(order)))
+            name = np.repeat(np.minimum.reduceat(point[order], start), size)
+            good = np.repeat(size > 1, size)
             if good.any():
-                point, n = (np.array(x, np.int64)[good] for x in held[:2])
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), now, np.int64)), pa.array(point), pa.array(n)], names=["region", "point", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(name[good]), pa.array(point[order][good]), pa.array(n[order][good])], names=["region", "point", "n"])
 
         for batch in batches:
             for region, *row in zip(*(batch.column(c).to_pylist() for c in ("region", "point", "n", "sketch")), strict=True):
@@ -239,17 +390,19 @@ def _with_partner(members: DataFrame, one: DataFrame, threshold: int) -> DataFra
                     part.append(value)
         yield from done()
 
-    return dealt.mapInArrow(lean(run), "region long, point long, n long").unionByName(sized.where(~small).select("region", "point", "n"))
+    found = dealt.mapInArrow(lean(run), "region long, point long, n long")
+    return found.unionByName(sized.where(~small).select("region", "point", "n")).distinct()
 
 
-def _texts_of(source: DataFrame, one: DataFrame) -> DataFrame:
-    """The text of one document per point.
+def _with_texts(points: DataFrame, source: DataFrame, one: DataFrame) -> DataFrame:
+    """Rows of points with the text of one of their documents.
 
     A filter keeps most other texts from being moved; the join is exact.
     """
     wanted = one.select("point", F.col("one.k").alias("wk"), F.col("one.h").alias("wh"))
-    some = by_flag(source.where("t is not null"), "h", hash_flags(wanted.select("wh")), True)
-    return some.join(wanted, (F.col("h") == F.col("wh")) & F.col("k").eqNullSafe(F.col("wk"))).select("point", "t")
+    some = by_flag(source.where("t is not null"), "h", hash_flags(wanted.select("wh"), TEXT_FLAG_BITS), True)
+    rows = points.join(wanted, "point")
+    return some.join(rows, (F.col("h") == F.col("wh")) & F.col("k").eqNullSafe(F.col("wk"))).select(*points.columns, "t")
 
 
 def _sets(texts: DataFrame, words: int) -> DataFrame:
@@ -265,15 +418,16 @@ def _leaf() -> str:
     return f"size <= 16 or (size <= {LEAF_POINTS} and weight <= {LEAF_SHINGLES})"
 
 
-def _all_links(members: DataFrame, texts: DataFrame, words: int, threshold: int) -> DataFrame:
+def _all_links(members: DataFrame, source: DataFrame, one: DataFrame, words: int, threshold: int) -> DataFrame:
     """Links (a, b) of all regions; regions beyond a leaf are split first."""
     sizes = members.groupBy("region").agg(F.count("*").alias("size"), F.sum("n").alias("weight"))
     large = stored(sizes.where(f"not ({_leaf()})"))
     if large.isEmpty():
-        return _leaf_links(members.join(texts, "point"), threshold, words).distinct()
-    links = [_leaf_links(members.join(large, "region", "left_anti").join(texts, "point"), threshold, words)]
+        return _leaf_links(_with_texts(members.select("region", "point"), source, one), threshold, words).distinct()
+    in_leaves = members.join(large, "region", "left_anti").select("region", "point")
+    links = [_leaf_links(_with_texts(in_leaves, source, one), threshold, words)]
     of_large = members.join(large, "region")
-    sets = _sets(texts.join(of_large.select("point").distinct(), "point", "left_semi"), words)
+    sets = _sets(_with_texts(of_large.select("point").distinct(), source, one), words)
     todo = stored(of_large.join(sets, "point").select("region", "point", "shingles", F.lit(None).cast("long").alias("parent_size")))
     for depth in range(DEPTH + 1):
         sizes = todo.groupBy("region").agg(F.count("*").alias("size"), F.sum(F.expr("octet_length(shingles) div 8")).alias("weight"), F.max("parent_size").alias("parent_size"))

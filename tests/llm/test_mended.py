@@ -254,3 +254,73 @@ def test_a_task_hands_back_what_it_has_freed(spark, monkeypatch):
     left = repeats.texts_without_repeats(decontam.texts_without_hits(jaccard.one_of_each_class(docs, 5, 80), items), 200)
     assert packing.packed_documents(left, public_tokenizers.path("word_bpe_49k.json")).count() == 2
     assert {f.__qualname__.split(".")[0] for f in wrapped} >= {"texts_without_hits", "_points", "_firsts", "repeated_spans", "texts_without_repeats", "token_pieces"}
+
+
+def first_shingles(sets, threshold):
+    """(shingle, point, kind) of sets of numbers, in the order of the numbers."""
+    rows = []
+    for point, s in enumerate(sets):
+        for i, w in enumerate(sorted(s)[: jaccard._in_first(len(s), threshold)]):
+            rows.append((w, point, 2 * jaccard.size_class(len(s)) + (i < jaccard._in_first_of_smaller(len(s), threshold))))
+    return tuple(np.array(column, kind) for column, kind in zip(zip(*rows, strict=True), (np.uint64, np.int64, np.uint8), strict=True))
+
+
+def test_linked_sets_meet_and_others_stay_out():
+    draw = random.Random(11)
+    for threshold in (60, 80, 85, 100):
+        sets = []
+        for _ in range(60):
+            base = draw.sample(range(400), draw.randint(1, 60))
+            sets += [base, [x if draw.random() < 0.95 else draw.randrange(400) for x in base]]
+        sets = [frozenset(s) for s in sets]
+        shingle, point, kind = first_shingles(sets, threshold)
+        twice = [np.concatenate([x, x]) for x in (shingle, point, kind)]  # copies
+        region, member = jaccard.meeting(*twice, jaccard.classes_apart(threshold))
+        regions = {}
+        for r, p in zip(region.tolist(), member.tolist(), strict=True):
+            regions.setdefault(r, set()).add(p)
+        for a in range(len(sets)):
+            for b in range(a):
+                if 100 * len(sets[a] & sets[b]) >= threshold * len(sets[a] | sets[b]) and sets[a] != sets[b]:
+                    assert any({a, b} <= found for found in regions.values())
+        assert len(regions) and len(member) < len(point)
+    small, large = frozenset(range(30)), frozenset(range(300))  # share a first shingle, not their size
+    assert not len(jaccard.meeting(*first_shingles([small, large], 80), jaccard.classes_apart(80))[0])
+
+
+def test_packed_first_shingles_come_back():
+    draw = np.random.default_rng(4)
+    shingle, point = draw.integers(0, 1 << 64, 3000, np.uint64), draw.integers(-1 << 62, 1 << 62, 3000)
+    kind = draw.integers(0, 254, 3000).astype(np.uint8)
+    bucket, parts = jaccard.pack_firsts(shingle, point, kind, 7)
+    assert bucket.tolist() == list(range(7)) and sum(map(len, parts)) == 3000 * jaccard.FIRST_BYTES
+    found = [np.concatenate(x) for x in zip(*map(jaccard.unpack_firsts, parts), strict=True)]
+    wanted = zip((shingle & np.uint64((1 << 40) - 1)).tolist(), point.tolist(), kind.tolist(), strict=True)
+    assert sorted(zip(*(x.tolist() for x in found), strict=True)) == sorted(wanted)
+
+
+def test_first_shingles_move_once_and_packed(spark):
+    texts = [" ".join(f"{c}{i}" for i in range(400)) for c in "abcdefgh"]
+    source = spark.createDataFrame([(t,) for t in texts], "t string").repartition(2)
+    packed = jaccard._firsts(source, 5, 80, np.zeros(1 << jaccard.FREQUENCY_BITS, np.int64), 3).collect()
+    assert len(packed) <= 2 * 3 and sum(len(row["firsts"]) for row in packed) == 8 * 80 * jaccard.FIRST_BYTES
+    assert not jaccard._members(spark.createDataFrame(packed), 80).count()
+
+
+def test_points_that_meet_in_several_regions_go_on_once(spark):
+    sets = {p: np.arange(300, dtype=np.uint64) + np.uint64(q) for p, q in ((5, 0), (6, 1), (9, 900), (-3, 2000), (-2, 3000))}
+    one = spark.createDataFrame([(p, len(s), bytearray(jaccard.sketch(s))) for p, s in sets.items()], "point long, n long, sketch binary")
+    rows = [(-3, 5), (-3, 6), (-3, -3), (-2, 5), (-2, 6), (-2, -2), (5, 5), (5, 6)]
+    members = spark.createDataFrame(rows, "region long, point long")
+    one = one.withColumn("sketch", F.when(F.col("point") < 0, F.lit(bytearray(b"\x09" * 256))).otherwise(F.col("sketch")))
+    found = jaccard._with_partner(members, one, 80).collect()
+    assert sorted(map(tuple, found)) == [(5, 5, 300), (5, 6, 300)]
+
+
+def test_flags_of_other_widths(spark):
+    hashes = spark.range(500).select(F.xxhash64("id").alias("h"))
+    for bits in (8, 23):
+        flags = common.hash_flags(hashes.where("h % 5 = 0"), bits)
+        assert len(flags) == 1 << bits and flags.any()
+        some, none = by_flag(hashes, "h", flags, True), by_flag(hashes, "h", flags, False)
+        assert some.count() + none.count() == 500 and some.where("h % 5 = 0").count() == hashes.where("h % 5 = 0").count()
