@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairforge.llm.common import by_flag, hash_flags, lean, raw_texts, slices, stored
@@ -43,7 +43,7 @@ LEAF_POINTS, LEAF_SHINGLES = 1024, 4_000_000
 #: Leaves' points that one task compares by sketches at most.
 SKETCH_LEAVES = 32
 #: First shingles that a bucket of the join holds, that a worker packs at once, and
-#: that one row has at most: the JVM keeps rows of half a megabyte badly.
+#: that one row has at most (larger rows are humongous objects of the JVM's heap).
 BUCKET_FIRSTS, PACK_FIRSTS, ROW_FIRSTS = 1 << 18, 1 << 18, 1 << 13
 #: Bytes of a packed first shingle: what is kept of its hash, the point, its kind.
 HASH_BYTES, FIRST_BYTES = 5, 5 + 8 + 1
@@ -537,9 +537,18 @@ def one_of_each_class(documents: DataFrame, words: int, threshold: int, key: str
         best = left.groupBy("k").agg(F.min("h").alias("best"))
         losers = losers.unionByName(left.join(best, "k").where("h <> best").select("k", "h"))
     gone = losers.distinct().toDF("__k", "__h")
-    kept = documents.join(gone, (F.col(key) == F.col("__k")) & (F.xxhash64(text) == F.col("__h")), "left_anti")
+    sure, rest = _parted(documents, F.xxhash64(text), gone.select("__h"))
+    kept = sure.unionByName(rest.join(gone, (F.col(key) == F.col("__k")) & (F.xxhash64(text) == F.col("__h")), "left_anti"))
     if not several:
         return kept
     again = repeated.toDF("__k")
+    sure, rest = _parted(kept, F.xxhash64(key), again.select(F.xxhash64("__k")))
     same = F.col(key) == F.col("__k")
-    return kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates([key]))
+    return sure.unionByName(rest.join(again, same, "left_anti")).unionByName(rest.join(again, same, "left_semi").dropDuplicates([key]))
+
+
+def _parted(rows: DataFrame, value: Column, hashes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose hash surely is not among the given ones, which need no join
+    and don't move, and all others."""
+    flags, hashed = hash_flags(hashes, TEXT_FLAG_BITS), rows.withColumn("__x", value)
+    return tuple(by_flag(hashed, "__x", flags, flagged).drop("__x") for flagged in (False, True))

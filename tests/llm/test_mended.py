@@ -317,6 +317,17 @@ def test_points_that_meet_in_several_regions_go_on_once(spark):
     assert sorted(map(tuple, found)) == [(5, 5, 300), (5, 6, 300)]
 
 
+def test_texts_that_stay_are_not_moved(spark, monkeypatch):
+    """Only rows whose hash is flagged go into the join with what is dropped."""
+    seen, old = [], jaccard._parted
+    monkeypatch.setattr(jaccard, "_parted", lambda *given: seen.append(old(*given)) or seen[-1])
+    rows = [(1, A, 0, "x"), (5, NEAR_A, 0, "x"), (5, B, 0, "x"), (9, B, 0, "x"), *((20 + i, f"alone {i}", 0, "x") for i in range(200))]
+    found = kept(spark, rows)
+    assert len(found) == 202 and found[:2] == [(1, A), (5, B)]
+    sure, rest = (frame.count() for frame in seen[0])
+    assert sure + rest == len(rows) and rest <= 5
+
+
 def test_flags_of_other_widths(spark):
     hashes = spark.range(500).select(F.xxhash64("id").alias("h"))
     for bits in (8, 23):
